@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from routecov.operators.sizing import broadcast_if_small
+
 PU, DO = "pu_location_id", "do_location_id"
 
 
@@ -20,15 +22,16 @@ def _ids(zones: DataFrame, col: str = "location_id") -> DataFrame:
 
 
 def keep_zones(trips: DataFrame, zones: DataFrame, col: str = "location_id") -> DataFrame:
-    """Both ends in the zone list (two left-semi joins)."""
-    z = _ids(zones, col)
+    """Both ends in the zone list (two broadcast left-semi joins when
+    the list is proven small; the trip side is never shuffled for it)."""
+    z = broadcast_if_small(_ids(zones, col))
     return (trips.join(z, trips[PU] == z["_zone"], "left_semi")
             .join(z, trips[DO] == z["_zone"], "left_semi"))
 
 
 def drop_zones(trips: DataFrame, zones: DataFrame, col: str = "location_id") -> DataFrame:
     """Neither end in the zone list (two left-anti joins)."""
-    z = _ids(zones, col)
+    z = broadcast_if_small(_ids(zones, col))
     return (trips.join(z, trips[PU] == z["_zone"], "left_anti")
             .join(z, trips[DO] == z["_zone"], "left_anti"))
 
@@ -56,9 +59,13 @@ def trip_frequency(trips: DataFrame, zones: DataFrame | None = None,
     t = t.where(F.col(PU).isNotNull() & F.col(DO).isNotNull())
     if exclude_same_zone:
         t = drop_same_zone(t)
-    if zones is not None:
+    if zones is not None and isolated is not None:
+        # one allow-list (zones minus isolated) -> two semi joins instead of four
+        allowed = _ids(zones).join(_ids(isolated), "_zone", "left_anti")
+        t = keep_zones(t, allowed, "_zone")
+    elif zones is not None:
         t = keep_zones(t, zones)
-    if isolated is not None:
+    elif isolated is not None:
         t = drop_zones(t, isolated)
     return t.groupBy(PU, DO).agg(F.count(F.lit(1)).alias("frequency"))
 

@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 
 from routecov import schemas
 from routecov.functions.geo import haversine_m
+from routecov.operators.sizing import broadcast_if_small
 
 
 def neighbor_distance(pairs: DataFrame, centroids: DataFrame) -> DataFrame:
     """(location_id, neighbor_location_id) -> + distance (int metres)
     between the two zone centroids; two equi-joins on the centroid table."""
+    centroids = broadcast_if_small(centroids)
     start = centroids.select(F.col("location_id").alias("_s"),
                              F.col("avg_lat").alias("_slat"), F.col("avg_lon").alias("_slon"))
     end = centroids.select(F.col("location_id").alias("_e"),

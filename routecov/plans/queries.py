@@ -12,10 +12,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from routecov.functions.geo import haversine_km
 from routecov.functions.paths import path_text
+from routecov.operators import clean as cl
+from routecov.operators import components as comp
 from routecov.operators import coverage as cov
 from routecov.operators import frequency as fq
+from routecov.operators import graph as gr
+from routecov.operators import profile as pf
 from routecov.operators import recommend as rec
+from routecov.operators import shortest_path as sp
+from routecov.operators import zones as zn
 from routecov.plans import fixture_plans as fx
 from routecov.plans.pipeline import recommend_routes
 from routecov.sources import testdata as td
@@ -66,3 +73,319 @@ def r6_route_recommendation(spark, sf):
     report = recommend_routes(td.trips(spark, sf), fx.edges(spark, sf), td.zones(spark, sf),
                               isolated=td.isolated_zones(spark, sf))
     return _text(report.route_percentage)
+
+
+def _round(df: DataFrame, *cols: str, digits: int = 6) -> DataFrame:
+    """Round float aggregates whose last bits depend on summation order."""
+    for c in cols:
+        df = df.withColumn(c, F.round(c, digits))
+    return df
+
+
+def _paths_text(col: str, sep: str = ";"):
+    return F.array_join(F.transform(col, lambda p: F.array_join(p, ",")), sep)
+
+
+# --- aggregations and profiles ---------------------------------------------
+
+@query("a2_same_zone_distribution")
+def a2_same_zone_distribution(spark, sf):
+    return fq.same_zone_distribution(fx.trip_frequency(spark, sf))
+
+
+@query("a4_to_zone_distribution")
+def a4_to_zone_distribution(spark, sf):
+    return fq.to_zone_distribution(fx.trip_frequency(spark, sf))
+
+
+@query("a5_zones_per_borough")
+def a5_zones_per_borough(spark, sf):
+    return zn.zones_per_borough(fx.parsed_zones(spark, sf))
+
+
+@query("a6_mean_stddev")
+def a6_mean_stddev(spark, sf):
+    return _round(pf.mean_stddev(td.outlier_values(spark, sf), "value"), "mean", "stddev")
+
+
+@query("a7_total_trips")
+def a7_total_trips(spark, sf):
+    return fq.total_trips(fx.trip_frequency(spark, sf))
+
+
+@query("a8_adjacency")
+def a8_adjacency(spark, sf):
+    adj = gr.adjacency(fx.edges(spark, sf))
+    return adj.select("src", F.array_join(F.transform(
+        "neighbours", lambda n: F.concat_ws(":", n.dst.cast("string"), n.weight.cast("string"))), ",")
+        .alias("neighbours"))
+
+
+@query("a10_covered_sub_paths")
+def a10_covered_sub_paths(spark, sf):
+    return (cov.covered_sub_paths(fx.path_frequency(spark, sf))
+            .select(path_text("trip_path").alias("trip_path"), _paths_text("sub_paths").alias("sub_paths")))
+
+
+@query("a11_distinct_pickup_zones")
+def a11_distinct_pickup_zones(spark, sf):
+    return pf.distinct_values(td.trips(spark, sf), "pu_location_id")
+
+
+@query("a12_column_summary")
+def a12_column_summary(spark, sf):
+    return _round(pf.column_summary(td.metered_trips(spark, sf), "passenger_count"), "mean", "stddev")
+
+
+@query("a13_top_pickup_zones")
+def a13_top_pickup_zones(spark, sf):
+    return pf.top_value_counts(cl.clean_metered_trips(td.metered_trips(spark, sf)), "pulocationID", 5)
+
+
+@query("a14_top_undirected_route")
+def a14_top_undirected_route(spark, sf):
+    top = pf.top_undirected_routes(cl.clean_metered_trips(td.metered_trips(spark, sf)))
+    return top.withColumn("trip_route", path_text("trip_route"))
+
+
+@query("a15_boundary_stats")
+def a15_boundary_stats(spark, sf):
+    return zn.boundary_stats(fx.parsed_zones(spark, sf))
+
+
+@query("a16_row_count")
+def a16_row_count(spark, sf):
+    return pf.row_count(td.trips(spark, sf))
+
+
+# --- geospatial -------------------------------------------------------------
+
+def _boundary_text(col: str = "boundary"):
+    return F.array_join(F.transform(col, lambda ring: F.array_join(F.transform(
+        ring, lambda p: F.concat_ws(" ", p.x.cast("bigint").cast("string"), p.y.cast("bigint").cast("string"))),
+        ",")), ";")
+
+
+@query("g1_parse_zones")
+def g1_parse_zones(spark, sf):
+    z = fx.parsed_zones(spark, sf)
+    return z.select("borough", "location_id", _boundary_text().alias("boundary"))
+
+
+@query("g1_rejected_zones")
+def g1_rejected_zones(spark, sf):
+    return zn.rejected_zones(td.raw_zone_polygons(spark, sf)).select("LocationID", "borough")
+
+
+@query("g2_zone_centroids")
+def g2_zone_centroids(spark, sf):
+    return zn.zone_centroids(fx.parsed_zones(spark, sf))
+
+
+@query("g5_neighbor_distance")
+def g5_neighbor_distance(spark, sf):
+    return fx.neighbor_distance(spark, sf)
+
+
+@query("g4_distance_km")
+def g4_distance_km(spark, sf):
+    c = td.centroids(spark, sf)
+    p = td.neighbor_pairs(spark, sf)
+    a = c.select(F.col("location_id").alias("_a"), F.col("avg_lat").alias("lat1"), F.col("avg_lon").alias("lon1"))
+    b = c.select(F.col("location_id").alias("_b"), F.col("avg_lat").alias("lat2"), F.col("avg_lon").alias("lon2"))
+    return (p.join(a, p.location_id == a._a).join(b, p.neighbor_location_id == b._b)
+            .select("location_id", "neighbor_location_id",
+                    haversine_km("lat1", "lon1", "lat2", "lon2").alias("distance_km")))
+
+
+# --- graph ------------------------------------------------------------------
+
+@query("n1_graph_edges")
+def n1_graph_edges(spark, sf):
+    return gr.edge_list(fx.edges(spark, sf))
+
+
+@query("n2_graph_nodes")
+def n2_graph_nodes(spark, sf):
+    return gr.nodes(fx.edges(spark, sf))
+
+
+@query("n3_edge_pairs")
+def n3_edge_pairs(spark, sf):
+    return gr.edge_list(fx.edges(spark, sf), weighted=False)
+
+
+@query("n4_neighbours")
+def n4_neighbours(spark, sf):
+    return gr.neighbours(fx.edges(spark, sf), 7, with_weights=True)
+
+
+@query("n5_add_edges")
+def n5_add_edges(spark, sf):
+    new = td.isolated_zones(spark, sf).select(F.col("location_id").alias("src"), F.lit(0).alias("dst"))
+    return gr.add_edges(fx.edges(spark, sf), new)
+
+
+@query("n6_undirected")
+def n6_undirected(spark, sf):
+    return gr.undirected(fx.edges(spark, sf).where(F.col("src") < F.col("dst")))
+
+
+@query("n7_from_adjacency")
+def n7_from_adjacency(spark, sf):
+    return gr.from_adjacency(gr.adjacency(fx.edges(spark, sf)))
+
+
+@query("n8_shortest_paths")
+def n8_shortest_paths(spark, sf):
+    e = fx.edges(spark, sf)
+    out = sp.shortest_paths(e, gr.nodes(e).select(F.col("node").alias("source")))
+    return out.withColumn("path", path_text("path"))
+
+
+@query("n9_unreachable_pairs")
+def n9_unreachable_pairs(spark, sf):
+    e = fx.edges_in_borough(spark, sf)
+    freq = fx.pair_frequency_all(spark, sf)
+    paths = sp.shortest_paths(e, freq.select(F.col("pu_location_id").alias("source")))
+    return sp.unreachable_pairs(freq, paths)
+
+
+@query("n11_connected_components")
+def n11_connected_components(spark, sf):
+    return comp.connected_components(fx.edges_in_borough(spark, sf))
+
+
+@query("n12_graph_check")
+def n12_graph_check(spark, sf):
+    return gr.graph_check(fx.edges(spark, sf), td.zones(spark, sf))
+
+
+# --- paths and recommendation ----------------------------------------------
+
+@query("j2_readable_paths")
+def j2_readable_paths(spark, sf):
+    names = rec.zone_names(td.zones(spark, sf))
+    return _text(rec.readable_paths(fx.path_frequency(spark, sf), names).select("trip_path", "route"))
+
+
+@query("j3_contained_pairs")
+def j3_contained_pairs(spark, sf):
+    pairs = cov.contained_pairs(fx.path_frequency(spark, sf))
+    return pairs.select(path_text("parent").alias("parent"), path_text("child").alias("child"), "frequency")
+
+
+@query("t3_top_k_paths")
+def t3_top_k_paths(spark, sf):
+    return _text(rec.top_k_paths(cov.coverage_count(fx.path_frequency(spark, sf)), 20, 4))
+
+
+@query("r1_top_k_routes")
+def r1_top_k_routes(spark, sf):
+    return _text(rec.top_k_routes(cov.coverage_count(fx.path_frequency(spark, sf)), td.zones(spark, sf), 25, 3))
+
+
+@query("r3_overall_coverage")
+def r3_overall_coverage(spark, sf):
+    paths = fx.path_frequency(spark, sf)
+    chosen = rec.top_k_paths(cov.coverage_count(paths), 25, 3)
+    return rec.overall_coverage(chosen, paths)
+
+
+@query("r4_sub_path_frequency")
+def r4_sub_path_frequency(spark, sf):
+    return cov.sub_path_frequency(fx.path_frequency(spark, sf)).withColumn("sub_path", path_text("sub_path"))
+
+
+# --- filters and cleaning ---------------------------------------------------
+
+@query("f5_borough_trip_frequency")
+def f5_borough_trip_frequency(spark, sf):
+    z = td.zones(spark, sf).where(F.col("borough") == "ASIA")
+    return fq.trip_frequency(td.trips(spark, sf), zones=z)
+
+
+@query("f7_code_list_filter")
+def f7_code_list_filter(spark, sf):
+    return (cl.code_list_filter(td.metered_trips(spark, sf))
+            .select("PULocationID", "DOLocationID", "payment_type", "RatecodeID", "passenger_count", "fare_amount"))
+
+
+@query("f9_sigma_filter")
+def f9_sigma_filter(spark, sf):
+    ev = td.outlier_values(spark, sf)
+    return cl.within_sigma(ev, ev, "value").select("event_id", "value")
+
+
+@query("f10_file_month_filter")
+def f10_file_month_filter(spark, sf):
+    m = td.metered_trips(spark, sf)
+    return (m.where(cl.year_month_of("tpep_pickup_datetime") == cl.year_month_of_file("file_path"))
+            .select("PULocationID", "DOLocationID", "file_path"))
+
+
+@query("f14_clean_metered_trips")
+def f14_clean_metered_trips(spark, sf):
+    return cl.clean_metered_trips(td.metered_trips(spark, sf))
+
+
+def _fhv_raw(spark, sf):
+    t = td.trips(spark, sf)
+    return t.select(F.col("pu_datetime").alias("pickup_datetime"), F.col("do_datetime").alias("dropOff_datetime"),
+                    F.col("pu_location_id").cast("string").alias("PUlocationID"),
+                    F.col("do_location_id").cast("string").alias("DOlocationID"))
+
+
+@query("f15_clean_fhv_trips")
+def f15_clean_fhv_trips(spark, sf):
+    return cl.clean_fhv_trips(_fhv_raw(spark, sf))
+
+
+@query("p8_unify_providers")
+def p8_unify_providers(spark, sf):
+    return cl.unify_trips({"yellow": [td.metered_trips(spark, sf)], "fhv": [_fhv_raw(spark, sf)]})
+
+
+@query("l1_zone_lookup_clean")
+def l1_zone_lookup_clean(spark, sf):
+    return zn.clean_zone_lookup(td.raw_zone_lookup(spark, sf))
+
+
+# --- set operations ---------------------------------------------------------
+
+def _areas(spark, sf):
+    z = td.zones(spark, sf)
+    return z.select("location_id").unionAll(z.where(F.col("borough") == "ASIA").select("location_id"))
+
+
+def _allowed(spark, sf):
+    return td.zones(spark, sf).where(F.col("borough") == "AMERICA").select("location_id")
+
+
+@query("u4_excluded_areas")
+def u4_excluded_areas(spark, sf):
+    return pf.excluded_areas(_areas(spark, sf), _allowed(spark, sf))
+
+
+@query("u6_service_area_violations")
+def u6_service_area_violations(spark, sf):
+    return pf.service_area_violations(td.trips(spark, sf), _areas(spark, sf), _allowed(spark, sf),
+                                      pu="pu_location_id", do="do_location_id")
+
+
+# --- zone list exports ------------------------------------------------------
+
+@query("k9_connected_zone_lists")
+def k9_connected_zone_lists(spark, sf):
+    z = td.zones(spark, sf)
+    nodes = fx.graph_zones(spark, sf)
+    connected = (z.join(nodes, "location_id", "left_semi")
+                 .join(td.isolated_zones(spark, sf), "location_id", "left_anti"))
+    return zn.borough_zone_lists(connected, z)
+
+
+@query("k10_isolated_zone_lists")
+def k10_isolated_zone_lists(spark, sf):
+    z = td.zones(spark, sf)
+    iso = z.join(td.isolated_zones(spark, sf), "location_id", "left_semi")
+    return zn.borough_zone_lists(iso, z)
