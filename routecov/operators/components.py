@@ -31,14 +31,14 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None,
 
     for _ in range(max_rounds):
         from_nbrs = (und.join(labels, und.a == labels.node)
-                     .select(F.col("b").alias("node"), "label"))
-        m1 = (labels.union(from_nbrs).groupBy("node").agg(F.min("label").alias("label")))
+                     .select(F.col("b").alias("node"), "label", F.lit(None).cast("bigint").alias("_old")))
+        m1 = (labels.select("node", "label", F.col("label").alias("_old")).unionByName(from_nbrs)
+              .groupBy("node").agg(F.min("label").alias("label"), F.min("_old").alias("_old")))
         hop = m1.select(F.col("node").alias("_n"), F.col("label").alias("_l2"))
-        m2 = (m1.join(hop, m1.label == hop._n, "left")
-              .select("node", F.least("label", F.coalesce("_l2", "label")).alias("label")))
         step = cut_lineage(
-            m2.join(labels.select("node", F.col("label").alias("_old")), "node")
-            .select("node", "label", (F.col("label") < F.col("_old")).alias("_changed")))
+            m1.join(hop, m1.label == hop._n, "left")
+            .select("node", F.least("label", F.coalesce("_l2", "label")).alias("label"), "_old")
+            .withColumn("_changed", F.col("label") < F.col("_old")))
         labels = step.select("node", "label")
         if step.where("_changed").isEmpty():
             break

@@ -5,8 +5,8 @@ inside executor tasks.  Here all sources advance together as frontier
 relaxation over the edge table:
 
     state(source, node, best)   best = struct(dist, hops, path)
-    round: frontier ⋈ edges  ->  min(best) per (source, node)
-           -> full outer join with state, keep the smaller struct
+    round: frontier ⋈ edges -> candidates; state ∪ candidates
+           -> min(best) per (source, node), remembering the previous best
            -> checkpoint; the rows that improved are the next frontier
 
 The struct order (dist, hops, path) is a total order, so ties between equal
@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from routecov.operators.sizing import broadcast_if_small
 from routecov.session import cut_lineage
 
 _BEST = "best"
@@ -40,12 +41,18 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "sour
     Returns (source, node, dist, hops, path array<bigint>); the source itself
     is included with dist 0.  Unreachable nodes have no row (the reference
     returns a one-element path there, see SURVEY Q3).
+
+    Per round: frontier ⋈ edges (broadcast when the edge table is proven
+    small) -> candidates, unioned with the state and reduced by one grouped
+    ``min`` per (source, node) that also keeps the previous best, so the
+    "improved" flag costs no extra join.  One shuffle per round.
     """
-    e = edges.select(F.col("src").cast("bigint").alias("src"),
-                     F.col("dst").cast("bigint").alias("dst"),
-                     F.col("weight").cast("bigint").alias("weight"))
+    e = cut_lineage(edges.select(F.col("src").cast("bigint").alias("src"),
+                                 F.col("dst").cast("bigint").alias("dst"),
+                                 F.col("weight").cast("bigint").alias("weight")))
     if not e.where(F.col("weight") < 0).isEmpty():
         raise ValueError("shortest_paths needs non-negative edge weights")
+    e = broadcast_if_small(e)
 
     seed = (sources.select(F.col(source_col).cast("bigint").alias("source"))
             .where(F.col("source").isNotNull()).distinct())
@@ -61,14 +68,14 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "sour
                         _best(F.col(f"{_BEST}.dist") + F.col("weight"),
                               F.col(f"{_BEST}.hops") + 1,
                               F.concat(F.col(f"{_BEST}.path"), F.array(F.col("dst"))))
-                        .alias("cand"))
-                .groupBy("source", "node").agg(F.min("cand").alias("cand")))
-        merged = state.join(cand, ["source", "node"], "full_outer")
-        improved = F.col("cand").isNotNull() & (F.col(_BEST).isNull() | (F.col("cand") < F.col(_BEST)))
-        step = cut_lineage(merged.select(
-            "source", "node",
-            F.when(improved, F.col("cand")).otherwise(F.col(_BEST)).alias(_BEST),
-            improved.alias("_changed")))
+                        .alias(_BEST),
+                        F.lit(False).alias("_old")))
+        merged = state.select("source", "node", _BEST, F.lit(True).alias("_old")).unionByName(cand)
+        step = cut_lineage(
+            merged.groupBy("source", "node")
+            .agg(F.min(_BEST).alias(_BEST), F.min(F.when(F.col("_old"), F.col(_BEST))).alias("_prev"))
+            .select("source", "node", _BEST,
+                    (F.col("_prev").isNull() | (F.col(_BEST) < F.col("_prev"))).alias("_changed")))
         frontier = step.where("_changed").select("source", "node", _BEST)
         state = step.select("source", "node", _BEST)
         if frontier.isEmpty():
@@ -85,8 +92,11 @@ def path_frequency(freq: DataFrame, edges: DataFrame) -> DataFrame:
 
     Same-zone pairs are skipped; shortest paths run once per distinct pick-up
     zone (not once per pair); pairs without a path are dropped (see
-    ``unreachable_pairs``)."""
-    pairs = freq.where(F.col("pu_location_id") != F.col("do_location_id"))
+    ``unreachable_pairs``).  The pair table (at most zones² rows) is
+    materialised once, so the trip aggregation is not recomputed for the
+    final join."""
+    pairs = cut_lineage(freq.where(F.col("pu_location_id") != F.col("do_location_id"))
+                        .select("pu_location_id", "do_location_id", "frequency"))
     sp = shortest_paths(edges, pairs.select(F.col("pu_location_id").alias("source")))
     return (pairs.join(sp, (pairs.pu_location_id == sp.source) & (pairs.do_location_id == sp.node))
             .select(F.col("path").alias("trip_path"), F.col("frequency").cast("bigint").alias("frequency")))
