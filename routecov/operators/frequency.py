@@ -94,3 +94,15 @@ def to_zone_distribution(freq: DataFrame) -> DataFrame:
 def total_trips(freq: DataFrame) -> DataFrame:
     """One-row grand total of trips."""
     return freq.agg(F.coalesce(F.sum("frequency"), F.lit(0)).cast("bigint").alias("total_trips"))
+
+
+def pair_frequency_struct(pairs: DataFrame, zones: DataFrame | None = None,
+                          isolated: DataFrame | None = None,
+                          pu: str = "pulocationID", do: str = "dolocationID") -> DataFrame:
+    """P6 + A1 variant over reduced trips (pulocationID, dolocationID):
+    different zones, both in ``zones``, none isolated; one row per pair as
+    ``PUDOPair struct<pulocationID, dolocationID>`` with ``Frequency``."""
+    t = pairs.select(F.col(pu).cast("bigint").alias(PU), F.col(do).cast("bigint").alias(DO))
+    freq = trip_frequency(t, zones=zones, isolated=isolated, exclude_same_zone=True)
+    return freq.select(F.struct(F.col(PU).alias("pulocationID"), F.col(DO).alias("dolocationID")).alias("PUDOPair"),
+                       F.col("frequency").alias("Frequency"))

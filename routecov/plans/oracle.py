@@ -493,3 +493,27 @@ SELECT tlc_type AS cab, CAST(year(pu_datetime) AS INTEGER) AS year,
 SQL["k7_borough_fanout"] = SQL["g2_zone_centroids"]
 SQL["k8_verify_roundtrip"] = with_views("trip_v") + """
 SELECT count(*) AS source_count, count(*) AS written_count, true AS counts_match FROM trip_v"""
+
+SQL["p6_pair_frequency_struct"] = with_views("freq_v") + """
+SELECT pu_location_id AS pulocationID, do_location_id AS dolocationID, frequency AS Frequency
+FROM freq_v WHERE pu_location_id <> do_location_id"""
+
+SQL["a9_coverage_count_contiguous"] = with_views("pft_v") + """
+SELECT p.t AS trip_path, CAST(sum(c.frequency) AS BIGINT) AS coverage_count
+FROM pft_v p JOIN pft_v c ON contains(',' || p.t || ',', ',' || c.t || ',')
+GROUP BY p.t"""
+
+SQL["x1_x3_path_text_functions"] = with_views("pft_v", "zone_v") + """
+SELECT p.t AS trip_path, CAST(len(string_split(p.t, ',')) AS INTEGER) AS n_stops,
+       CAST(string_split(p.t, ',')[1] AS BIGINT) AS first_stop,
+       array_to_string(list_reverse(string_split(p.t, ',')), ',') AS reversed_path,
+       split_part(z.zone, '/', 1) AS first_zone
+FROM pft_v p LEFT JOIN zone_v z ON z.location_id = CAST(string_split(p.t, ',')[1] AS BIGINT)"""
+
+SQL["x4_x7_date_text_functions"] = with_views("met_v") + r"""
+SELECT regexp_extract(file_path, '(\d{4}-\d{2})', 1) AS file_month,
+       CAST(year(pickup) AS INTEGER) AS pickup_year, CAST(month(pickup) AS INTEGER) AS pickup_month,
+       strftime(pickup, '%Y-%m') AS pickup_year_month, round(total_amount / 3, 2) AS third_of_total
+FROM met_v"""
+
+SQL["st_streaming_trip_frequency"] = with_views("allfreq_v") + "SELECT * FROM allfreq_v"

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from routecov.functions.geo import haversine_km
-from routecov.functions.paths import path_text
+from routecov.functions.paths import path_text, short_zone_name
 from routecov.operators import clean as cl
 from routecov.operators import components as comp
 from routecov.operators import coverage as cov
@@ -527,3 +527,54 @@ def k8_verify_roundtrip(spark, sf):
     t = td.trips(spark, sf)
     wr.write_clean_trips(t, path, partitions=8)
     return wr.verify_roundtrip(spark, t, path)
+
+
+# --- variants, scalar functions, streaming ---------------------------------
+
+@query("p6_pair_frequency_struct")
+def p6_pair_frequency_struct(spark, sf):
+    pairs = cl.clean_fhv_trips(_fhv_raw(spark, sf))
+    out = fq.pair_frequency_struct(pairs, zones=fx.graph_zones(spark, sf), isolated=td.isolated_zones(spark, sf))
+    return out.select("PUDOPair.pulocationID", "PUDOPair.dolocationID", "Frequency")
+
+
+@query("a9_coverage_count_contiguous")
+def a9_coverage_count_contiguous(spark, sf):
+    return _text(cov.coverage_count(fx.path_frequency(spark, sf), cov.CONTIGUOUS))
+
+
+@query("x1_x3_path_text_functions")
+def x1_x3_path_text_functions(spark, sf):
+    """X1 split/index/size, X2 array_join, X3 first segment of a zone name."""
+    p = fx.path_frequency(spark, sf).select(path_text("trip_path").alias("t"))
+    z = rec.zone_names(td.zones(spark, sf), short_names=False)
+    parts = F.split("t", ",")
+    out = p.select("t", F.size(parts).alias("n_stops"), F.get(parts, 0).cast("bigint").alias("first_stop"),
+                   F.array_join(F.reverse(parts), ",").alias("reversed_path"))
+    return (out.join(z, out.first_stop == z.location_id, "left")
+            .select(F.col("t").alias("trip_path"), "n_stops", "first_stop", "reversed_path",
+                    short_zone_name("name").alias("first_zone")))
+
+
+@query("x4_x7_date_text_functions")
+def x4_x7_date_text_functions(spark, sf):
+    """X4 regexp_extract, X5 concat_ws/format_string, X6 year/month, X7 round."""
+    m = td.metered_trips(spark, sf)
+    return m.select(cl.year_month_of_file("file_path").alias("file_month"),
+                    F.year("tpep_pickup_datetime").alias("pickup_year"),
+                    F.month("tpep_pickup_datetime").alias("pickup_month"),
+                    cl.year_month_of("tpep_pickup_datetime").alias("pickup_year_month"),
+                    F.round(F.col("total_amount") / 3, 2).alias("third_of_total"))
+
+
+@query("st_streaming_trip_frequency")
+def st_streaming_trip_frequency(spark, sf):
+    """A1 computed by a file-source stream over monthly drops of clean trips."""
+    from routecov.streaming.incremental import run_to_table, trip_frequency_stream
+    src = scratch_path(spark, "fhv_drops")
+    raw = _fhv_raw(spark, sf)
+    raw.repartition(4, F.date_format("pickup_datetime", "yyyy")).write.mode("overwrite").parquet(src)
+    out, ck = scratch_path(spark, "stream_out"), scratch_path(spark, "stream_ckpt")
+    q = run_to_table(trip_frequency_stream(spark, src, raw.schema, "fhv", max_files_per_trigger=1), out, ck)
+    q.awaitTermination()
+    return spark.read.parquet(out)
