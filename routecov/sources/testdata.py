@@ -24,8 +24,17 @@ LAT0, LON0 = 40.0, -73.0
 MICRO = 1_000_000               # WKT coordinates in micro-degrees (exact sums)
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Read one test table.  Its schema is inferred once per path and then
+    declared, so later reads skip the footer-inference pass."""
+    path = f"{sf_dir}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        schema = _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(schema).parquet(path)
 
 
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
