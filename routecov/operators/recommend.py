@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from routecov.functions.paths import short_zone_name
 from routecov.operators.coverage import SUBSEQUENCE, contained_pairs, unique_paths
+from routecov.session import cut_lineage
 
 
 def top_k_paths(coverage: DataFrame, k: int, m: int) -> DataFrame:
@@ -47,8 +48,11 @@ def readable_paths(df: DataFrame, names: DataFrame, path_col: str = "trip_path",
 
 def top_k_routes(coverage: DataFrame, lookup: DataFrame, k: int, m: int,
                  short_names: bool = True) -> DataFrame:
-    """Top-k paths as human-readable routes (route, coverage_count, trip_path)."""
-    top = top_k_paths(coverage, k, m)
+    """Top-k paths as human-readable routes (route, coverage_count, trip_path).
+
+    The top-k table (at most k rows) is checkpointed once: the route
+    assembly reads it twice, and it sits on top of the whole coverage job."""
+    top = cut_lineage(top_k_paths(coverage, k, m))
     return readable_paths(top, zone_names(lookup, short_names)).select("route", "coverage_count", "trip_path")
 
 
