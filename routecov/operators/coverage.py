@@ -6,8 +6,9 @@ zone, in order, inside the parent; so each parent emits its ordered end-point
 pairs (P[i], P[j]), i <= j, and joins the children on (first, last): an
 equi-join whose output is only the candidate pairs that can match, checked
 exactly by the subsequence (or contiguous) test.  Cost is Σ|P|² rows instead
-of n² pairs, with no cross join; hot end-point keys are split by AQE's
-skew-join handling.
+of n² pairs, with no cross join.  The child table (one row per distinct
+path) is broadcast when proven small, so a hot end-point key costs no
+shuffle skew; beyond the bound AQE's skew-join splitting applies.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from routecov.functions.paths import is_contiguous, is_subsequence
+from routecov.operators.sizing import broadcast_if_small
 
 SUBSEQUENCE, CONTIGUOUS = "subsequence", "contiguous"
 
@@ -27,13 +29,18 @@ def unique_paths(path_freq: DataFrame) -> DataFrame:
 
 
 def endpoint_pairs(parents: DataFrame) -> DataFrame:
-    """(parent, first, last) for every ordered element pair i <= j of parent."""
-    p = parents.select("parent")
-    at_i = p.select("parent", F.posexplode("parent").alias("i", "first"))
-    return (at_i.select("parent", "first",
-                        F.explode(F.slice("parent", F.col("i") + 1, F.size("parent") - F.col("i")))
-                        .alias("last"))
-            .distinct())
+    """(parent, first, last) for every ordered element pair i <= j of parent.
+
+    The pairs of one parent are generated and de-duplicated inside its row
+    (``array_distinct``), so this side needs no shuffle."""
+    p = F.col("parent")
+    n = F.size(p)
+    pairs = F.array_distinct(F.flatten(F.transform(
+        F.sequence(F.lit(0), n - 1),
+        lambda i: F.transform(F.slice(p, i + 1, n - i),
+                              lambda x: F.struct(F.get(p, i).alias("first"), x.alias("last"))))))
+    return (parents.where(n > 0).select("parent", F.explode(pairs).alias("_e"))
+            .select("parent", "_e.first", "_e.last"))
 
 
 def contained_pairs(path_freq: DataFrame, containment: str = SUBSEQUENCE) -> DataFrame:
@@ -47,6 +54,9 @@ def contained_pairs(path_freq: DataFrame, containment: str = SUBSEQUENCE) -> Dat
                             F.col("trip_path")[0].alias("c_first"),
                             F.element_at("trip_path", -1).alias("c_last"))
     test = is_subsequence if containment == SUBSEQUENCE else is_contiguous
+    # children are one row per distinct path (bounded by zones²): broadcast
+    # them once proven small, so the Σ|P|² side is never shuffled
+    children = broadcast_if_small(children)
     return (keys.join(children, (keys["first"] == children.c_first) & (keys["last"] == children.c_last))
             .where(test(F.col("child"), F.col("parent")))
             .select("parent", "child", "frequency"))

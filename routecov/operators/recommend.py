@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from routecov.functions.paths import short_zone_name
 from routecov.operators.coverage import SUBSEQUENCE, contained_pairs, unique_paths
+from routecov.operators.sizing import broadcast_if_small
 from routecov.session import cut_lineage
 
 
@@ -36,6 +37,7 @@ def readable_paths(df: DataFrame, names: DataFrame, path_col: str = "trip_path",
     Distinct paths are exploded with their positions, left-joined to the
     names, and re-assembled in position order; the result joins back on the
     path.  No UDF and no driver-side map."""
+    names = broadcast_if_small(names)
     paths = df.select(F.col(path_col).alias("_p")).distinct()
     stops = paths.select("_p", F.posexplode("_p").alias("_pos", "_id"))
     named = (stops.join(names, stops._id == names.location_id, "left")

@@ -32,26 +32,38 @@ def write_sorted_tsv(df: DataFrame, path: str, order: list, **kw) -> None:
     write_sorted_csv(df, path, order, sep="\t", **kw)
 
 
+# Salt buckets per key: a hot key (one zone pair or provider/year holding a
+# third of all rows) is spread over this many tasks and files.
+DEFAULT_SALT_BUCKETS = 8
+
+
+def _salt(df: DataFrame, buckets: int):
+    """Deterministic salt (row hash), so task retries write the same rows."""
+    return F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(buckets))
+
+
 def write_clean_trips(df: DataFrame, path: str, by_provider: bool = False,
-                      partitions: int | None = None) -> None:
-    """K4/K5: clean trips hash-partitioned on (pu, do) so a later
-    aggregation or join on the pair is co-located; ``by_provider`` adds a
-    tlc_type folder level."""
+                      partitions: int | None = None, salt_buckets: int = DEFAULT_SALT_BUCKETS) -> None:
+    """K4/K5: clean trips hash-partitioned on (pu, do) plus a salt, so the
+    rows of one pair sit in a few files while a hot pair is split over
+    ``salt_buckets`` tasks; ``by_provider`` adds a tlc_type folder level."""
+    keys = ["tlc_type"] if by_provider else []
+    keys += ["pu_location_id", "do_location_id"]
+    n = partitions or (DEFAULT_PER_PROVIDER_PARTITIONS if by_provider else DEFAULT_TOTAL_PARTITIONS)
+    out = df.repartition(n, *keys, _salt(df, salt_buckets)).write.mode("overwrite")
     if by_provider:
-        n = partitions or DEFAULT_PER_PROVIDER_PARTITIONS
-        (df.repartition(n, "tlc_type", "pu_location_id", "do_location_id")
-         .write.mode("overwrite").partitionBy("tlc_type").parquet(path))
-    else:
-        n = partitions or DEFAULT_TOTAL_PARTITIONS
-        (df.repartition(n, "pu_location_id", "do_location_id")
-         .write.mode("overwrite").parquet(path))
+        out = out.partitionBy("tlc_type")
+    out.parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, keys: list[str], partitions: int | None = None) -> None:
+def write_partitioned(df: DataFrame, path: str, keys: list[str], partitions: int | None = None,
+                      salt_buckets: int = DEFAULT_SALT_BUCKETS) -> None:
     """K6/K7: one job writing a ``key=value`` folder per key combination
     (provider/year, borough) instead of a loop of filtered writes.  Rows are
-    first clustered by the keys so each task writes few files."""
-    d = df.repartition(partitions, *keys) if partitions else df.repartition(*keys)
+    clustered by the keys plus a salt: each folder gets at most
+    ``salt_buckets`` files and a hot key is written by that many tasks."""
+    salted = [*keys, _salt(df, salt_buckets)]
+    d = df.repartition(partitions, *salted) if partitions else df.repartition(*salted)
     d.write.mode("overwrite").partitionBy(*keys).parquet(path)
 
 

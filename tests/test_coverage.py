@@ -96,3 +96,9 @@ def test_coverage_plan_has_no_cartesian_or_python(spark):
     plan = cov.coverage_count(paths(spark, STEP4))._jdf.queryExecution().executedPlan().toString()
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
         assert bad not in plan
+
+
+def test_repeated_nodes_count_child_once(spark):
+    got = dict(rows(as_text(cov.coverage_count(paths(spark, [("1,2,1,3", 1), ("1,3", 4), ("2,1", 2)]))),
+                    "trip_path", "coverage_count"))
+    assert got == {"1,2,1,3": 7, "1,3": 4, "2,1": 2}
