@@ -38,8 +38,10 @@ DEFAULT_SALT_BUCKETS = 8
 
 
 def _salt(df: DataFrame, buckets: int):
-    """Deterministic salt (row hash), so task retries write the same rows."""
-    return F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(buckets))
+    """Round-robin salt within each input task (row position mod buckets):
+    identical duplicate rows are spread too, which a row hash would not do.
+    For a given input split the positions are the same on a retry."""
+    return F.pmod(F.monotonically_increasing_id(), F.lit(buckets))
 
 
 def write_clean_trips(df: DataFrame, path: str, by_provider: bool = False,
