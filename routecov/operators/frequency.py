@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from routecov.operators.sizing import broadcast_if_small
+from routecov.session import cut_lineage
 
 PU, DO = "pu_location_id", "do_location_id"
 
@@ -71,8 +72,11 @@ def trip_frequency(trips: DataFrame, zones: DataFrame | None = None,
 
 
 def _share(df: DataFrame, keys: list[str]) -> DataFrame:
-    agg = df.groupBy(*keys).agg(F.sum("frequency").alias("frequency"))
-    total = df.select(F.sum("frequency")).scalar()
+    """Grouped sum with its percent of the total.  The grouped result is
+    materialised once and the total is summed from it, so the input (the
+    trip aggregation) is computed once, not again for the total."""
+    agg = cut_lineage(df.groupBy(*keys).agg(F.sum("frequency").alias("frequency")))
+    total = agg.select(F.sum("frequency")).scalar()
     return agg.withColumn("percentage", F.col("frequency") * 100 / total)
 
 

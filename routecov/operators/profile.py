@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from routecov.functions.paths import undirected_pair
+from routecov.operators.sizing import broadcast_if_small
+from routecov.session import cut_lineage
 
 
 def row_count(df: DataFrame) -> DataFrame:
@@ -44,23 +46,25 @@ def column_summary(df: DataFrame, col: str, accuracy: int = 10000) -> DataFrame:
 def top_value_counts(df: DataFrame, col: str, n: int = 5) -> DataFrame:
     """The n most frequent values with their share of all rows, in
     percent rounded to 2 places.  ``count(col)`` skips NULLs while the
-    denominator counts every row (Q21)."""
-    total = df.select(F.count(F.lit(1))).scalar()
-    return (df.groupBy(col)
-            .agg(F.count(col).alias("trips"),
-                 F.round(F.try_divide(F.count(col), total) * 100.0, 2).alias("percentage"))
+    denominator counts every row (Q21).  One pass over the input: the grouped
+    counts are materialised and the row total is summed from them."""
+    grouped = cut_lineage(df.groupBy(col).agg(F.count(col).alias("trips"),
+                                              F.count(F.lit(1)).alias("_rows")))
+    total = grouped.select(F.sum("_rows")).scalar()
+    return (grouped.select(col, "trips",
+                           F.round(F.try_divide(F.col("trips"), total) * 100.0, 2).alias("percentage"))
             .orderBy(F.desc("trips"), F.asc(col))
             .limit(n))
 
 
 def top_undirected_routes(df: DataFrame, pu: str = "pulocationID", do: str = "dolocationID",
                           n: int = 1) -> DataFrame:
-    """Most frequent unordered zone pairs with their (unrounded) share."""
-    total = df.select(F.count(F.lit(1))).scalar()
-    return (df.withColumn("trip_route", undirected_pair(pu, do))
-            .groupBy("trip_route")
-            .agg(F.count(F.lit(1)).alias("counts"),
-                 (F.count(F.lit(1)) / total * 100).alias("percentage"))
+    """Most frequent unordered zone pairs with their (unrounded) share;
+    one pass over the input, total summed from the materialised groups."""
+    grouped = cut_lineage(df.withColumn("trip_route", undirected_pair(pu, do))
+                          .groupBy("trip_route").agg(F.count(F.lit(1)).alias("counts")))
+    total = grouped.select(F.sum("counts")).scalar()
+    return (grouped.withColumn("percentage", F.col("counts") / total * 100)
             .orderBy(F.desc("counts"), F.asc("trip_route"))
             .limit(n))
 
@@ -80,8 +84,10 @@ def excluded_areas(areas: DataFrame, allowed: DataFrame) -> DataFrame:
 def service_area_violations(trips: DataFrame, areas: DataFrame, allowed: DataFrame,
                             pu: str = "pulocationID", do: str = "dolocationID") -> DataFrame:
     """Zones served (as pick-up or drop-off) that lie in ``areas`` but not
-    in ``allowed``: (pick-ups ∩ excluded) ∪ (drop-offs ∩ excluded), distinct
-    (U3, U4, U5)."""
-    excluded = excluded_areas(areas, allowed).select("location_id")
-    pus, dos = served_zones(trips, pu, do)
-    return pus.intersect(excluded).union(dos.intersect(excluded)).distinct()
+    in ``allowed``: (pick-ups ∩ excluded) ∪ (drop-offs ∩ excluded) (U3-U5).
+
+    One pass over the trips: both ends are exploded into one column and
+    de-duplicated with a partial aggregate before the (small) semi join."""
+    excluded = excluded_areas(areas, allowed).select("location_id").distinct()
+    served = trips.select(F.explode(F.array(F.col(pu), F.col(do))).alias("location_id")).distinct()
+    return served.join(broadcast_if_small(excluded), "location_id", "left_semi")
