@@ -102,3 +102,31 @@ def test_repeated_nodes_count_child_once(spark):
     got = dict(rows(as_text(cov.coverage_count(paths(spark, [("1,2,1,3", 1), ("1,3", 4), ("2,1", 2)]))),
                     "trip_path", "coverage_count"))
     assert got == {"1,2,1,3": 7, "1,3": 4, "2,1": 2}
+
+
+def _brute_coverage(table, contiguous=False):
+    def sub(c, p):
+        if contiguous:
+            return any(p[i:i + len(c)] == c for i in range(len(p) - len(c) + 1))
+        it = iter(p)
+        return all(x in it for x in c)
+    merged = {}
+    for path, f in table:
+        merged[path] = merged.get(path, 0) + f
+    return {",".join(map(str, p)): sum(f for c, f in merged.items() if sub(list(c), list(p)))
+            for p in merged}
+
+
+@pytest.mark.parametrize("seed,mode", [(11, "subsequence"), (12, "subsequence"), (13, "contiguous")])
+def test_coverage_matches_brute_force(spark, seed, mode):
+    import random
+    rnd = random.Random(seed)
+    table = []
+    for _ in range(60):
+        n = rnd.randint(1, 6)
+        table.append((tuple(rnd.randrange(8) for _ in range(n)), rnd.randint(1, 9)))
+    data = [(",".join(map(str, p)), f) for p, f in table]
+    got = dict(rows(as_text(cov.coverage_count(paths(spark, data), mode)), "trip_path", "coverage_count"))
+    want = _brute_coverage(table, contiguous=(mode == "contiguous"))
+    assert got == want
+    assert all(got[k] >= dict(data).get(k, 0) for k in got)
