@@ -8,7 +8,9 @@ LONG = T.LongType()
 INT = T.IntegerType()
 DOUBLE = T.DoubleType()
 STRING = T.StringType()
-TS = T.TimestampType()
+# Trip times are local wall-clock times without a zone: TIMESTAMP_NTZ keeps
+# them independent of the session time zone.
+TS = T.TimestampNTZType()
 
 # Clean, unified trips (one row per trip).
 TRIP = T.StructType([

@@ -119,3 +119,14 @@ def test_graph_building_blocks(spark):
     assert rows(gr.undirected(e)) == [(1, 2, 3), (2, 1, 3), (2, 3, 4), (3, 2, 4)]
     assert rows(gr.from_adjacency(gr.adjacency(e))) == rows(e)
     assert gr.empty_graph(spark).count() == 0
+
+
+def test_readme_step3_chain_example(spark):
+    """README step 3: pairs ((1,4),2), ((2,4),1), ((1,2),1), ((3,5),1) on the
+    chain 1-2-3-4-5 give paths 1,2,3,4 / 2,3,4 / 1,2 / 3,4,5."""
+    chain = [(a, a + 1, 1) for a in range(1, 5)]
+    e = gr.undirected(edge_df(spark, chain))
+    freq = spark.createDataFrame([(1, 4, 2), (2, 4, 1), (1, 2, 1), (3, 5, 1)],
+                                 "pu_location_id bigint, do_location_id bigint, frequency bigint")
+    got = sorted((",".join(map(str, r["trip_path"])), r["frequency"]) for r in sp.path_frequency(freq, e).collect())
+    assert got == [("1,2", 1), ("1,2,3,4", 2), ("2,3,4", 1), ("3,4,5", 1)]
