@@ -17,6 +17,15 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 2_000_000
 
 
+def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    ``offset(max_rows).isEmpty()`` runs through Spark's incremental take
+    (CollectLimit with offset): it scans a few partitions, widens only when
+    needed, stops as soon as row max_rows + 1 is seen, and returns at most one
+    row -- cheap even when ``df`` is a very large table."""
+    return df.offset(max_rows).isEmpty()
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if is_small(df, max_rows) else df

@@ -95,3 +95,13 @@ def test_profiles(spark):
     assert rows(pf.service_area_violations(df, areas, allowed)) == [(1,), (3,)]
     s = pf.column_summary(spark.range(1, 101).select(F.col("id").cast("double").alias("x")), "x").collect()[0]
     assert (s["count"], s["min"], s["p50"], s["max"]) == (100, 1.0, 50.0, 100.0)
+
+
+def test_size_proof(spark):
+    from routecov.operators.sizing import broadcast_if_small, is_small
+    assert is_small(spark.range(10), 10) and not is_small(spark.range(11), 10)
+    assert is_small(spark.range(0), 0)
+    big = spark.range(0, 10_000_000, 1, 16)
+    assert not is_small(big, 1000)
+    plan = big.join(broadcast_if_small(spark.range(5)), "id")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
