@@ -32,8 +32,9 @@ def write_sorted_tsv(df: DataFrame, path: str, order: list, **kw) -> None:
     write_sorted_csv(df, path, order, sep="\t", **kw)
 
 
-# Salt buckets per key: a hot key (one zone pair or provider/year holding a
-# third of all rows) is spread over this many tasks and files.
+# Salt buckets per key when an explicit partition count is requested: a hot
+# key (one zone pair or provider/year holding a third of all rows) is spread
+# over this many tasks and files.
 DEFAULT_SALT_BUCKETS = 8
 
 
@@ -44,15 +45,27 @@ def _salt(df: DataFrame, buckets: int):
     return F.pmod(F.monotonically_increasing_id(), F.lit(buckets))
 
 
+def _cluster(df: DataFrame, keys: list[str], partitions: int | None, salt_buckets: int) -> DataFrame:
+    """Cluster rows by ``keys`` before a write.
+
+    Default: the REBALANCE hint -- AQE sizes the output partitions from the
+    data (``spark.sql.adaptive.advisoryPartitionSizeInBytes``) and splits a
+    skewed key over several tasks, so file sizes follow the data volume
+    instead of a fixed count.  With ``partitions`` (e.g. 100, the reference's
+    layout) it is a hash repartition on the keys plus a salt."""
+    if partitions is None:
+        return df.hint("rebalance", *keys)
+    return df.repartition(partitions, *keys, _salt(df, salt_buckets))
+
+
 def write_clean_trips(df: DataFrame, path: str, by_provider: bool = False,
                       partitions: int | None = None, salt_buckets: int = DEFAULT_SALT_BUCKETS) -> None:
-    """K4/K5: clean trips hash-partitioned on (pu, do) plus a salt, so the
-    rows of one pair sit in a few files while a hot pair is split over
-    ``salt_buckets`` tasks; ``by_provider`` adds a tlc_type folder level."""
-    keys = ["tlc_type"] if by_provider else []
-    keys += ["pu_location_id", "do_location_id"]
-    n = partitions or (DEFAULT_PER_PROVIDER_PARTITIONS if by_provider else DEFAULT_TOTAL_PARTITIONS)
-    out = df.repartition(n, *keys, _salt(df, salt_buckets)).write.mode("overwrite")
+    """K4/K5: clean trips clustered on (pu, do) (plus tlc_type folders with
+    ``by_provider``).  ``partitions=DEFAULT_TOTAL_PARTITIONS`` (or
+    ``DEFAULT_PER_PROVIDER_PARTITIONS`` by provider) reproduces the
+    reference's fixed file counts."""
+    keys = (["tlc_type"] if by_provider else []) + ["pu_location_id", "do_location_id"]
+    out = _cluster(df, keys, partitions, salt_buckets).write.mode("overwrite")
     if by_provider:
         out = out.partitionBy("tlc_type")
     out.parquet(path)
@@ -61,12 +74,9 @@ def write_clean_trips(df: DataFrame, path: str, by_provider: bool = False,
 def write_partitioned(df: DataFrame, path: str, keys: list[str], partitions: int | None = None,
                       salt_buckets: int = DEFAULT_SALT_BUCKETS) -> None:
     """K6/K7: one job writing a ``key=value`` folder per key combination
-    (provider/year, borough) instead of a loop of filtered writes.  Rows are
-    clustered by the keys plus a salt: each folder gets at most
-    ``salt_buckets`` files and a hot key is written by that many tasks."""
-    salted = [*keys, _salt(df, salt_buckets)]
-    d = df.repartition(partitions, *salted) if partitions else df.repartition(*salted)
-    d.write.mode("overwrite").partitionBy(*keys).parquet(path)
+    (provider/year, borough) instead of a loop of filtered writes; rows are
+    clustered by the keys first so each task writes few folders."""
+    _cluster(df, keys, partitions, salt_buckets).write.mode("overwrite").partitionBy(*keys).parquet(path)
 
 
 def verify_roundtrip(spark: SparkSession, df: DataFrame, path: str, fmt: str = "parquet",

@@ -74,16 +74,22 @@ def test_seed_lists(spark):
 
 def test_hot_key_is_spread_over_several_files(spark):
     d = fresh() + "/hot"
-    hot = spark.range(4000).select(F.lit("yellow").alias("tlc_type"), F.lit(None).cast("timestamp").alias("pu_datetime"),
+    hot = spark.range(0, 200000, 1, 8).select(F.lit("yellow").alias("tlc_type"), F.lit(None).cast("timestamp").alias("pu_datetime"),
                                    F.lit(None).cast("timestamp").alias("do_datetime"),
                                    F.lit(1).cast("bigint").alias("pu_location_id"),
                                    (F.col("id") % 2 + 2).alias("do_location_id"))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        wr.write_clean_trips(hot, d, partitions=16, salt_buckets=4)
+        wr.write_clean_trips(hot, d + "/salted", partitions=16, salt_buckets=4)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    back = spark.read.parquet(d)
-    assert back.count() == 4000
-    files = back.where("do_location_id = 2").select("_metadata.file_path").distinct().count()
-    assert files > 1  # one hot pair is written by several tasks
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2k")
+    try:
+        wr.write_clean_trips(hot, d + "/rebalanced")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    for sub in ("salted", "rebalanced"):
+        back = spark.read.parquet(d + "/" + sub)
+        assert back.count() == 200000
+        files = back.where("do_location_id = 2").select("_metadata.file_path").distinct().count()
+        assert files > 1, sub  # one hot pair is written by several tasks
