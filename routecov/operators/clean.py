@@ -19,7 +19,9 @@ from routecov.schemas import PROVIDER_COLUMNS
 # Allowed payment types and rate codes of metered trips.
 VALID_PAYMENT_TYPES = (1, 2, 3)
 VALID_RATE_CODES = (1, 5, 6)
-YEAR_MONTH_PATTERN = r"(\d{4}-\d{2})"
+# A yyyy-MM token standing on its own (not inside a longer run of letters or
+# digits such as the UUIDs Spark puts into part-file names).
+YEAR_MONTH_PATTERN = r"(?<![0-9A-Za-z])(\d{4}-\d{2})(?![0-9A-Za-z])"
 
 YELLOW_COLUMNS = {"pickup": "tpep_pickup_datetime", "dropoff": "tpep_dropoff_datetime",
                   "pu": "PULocationID", "do": "DOLocationID"}

@@ -27,20 +27,22 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).distinct().orderBy(col)
 
 
-def column_summary(df: DataFrame, col: str, accuracy: int = 10000) -> DataFrame:
-    """Count, mean, stddev, min, 25/50/75 %, max of one column, one row.
+def column_summary(df: DataFrame, col: str) -> DataFrame:
+    """A12 (exact part): count, mean, sample stddev, min, max of one column."""
+    x = F.col(col)
+    return df.agg(F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("stddev"),
+                  F.min(x).alias("min"), F.max(x).alias("max"))
+
 
-    Percentiles are ``percentile_approx`` (bounded memory per task, like
-    ``DataFrame.summary``): exact percentiles would hold every value of the
-    column in one aggregation buffer."""
+def column_percentiles(df: DataFrame, col: str, accuracy: int = 10000) -> DataFrame:
+    """A12 (quartiles): 25/50/75 % by ``percentile_approx``, as in
+    ``DataFrame.summary``.  The sketch keeps per-task memory bounded; its rank
+    error is at most N / accuracy.  Exact percentiles would buffer every
+    distinct value of the column in one aggregation task."""
     x = F.col(col)
-    return df.agg(
-        F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("stddev"),
-        F.min(x).alias("min"),
-        F.percentile_approx(x, 0.25, accuracy).alias("p25"),
-        F.percentile_approx(x, 0.5, accuracy).alias("p50"),
-        F.percentile_approx(x, 0.75, accuracy).alias("p75"),
-        F.max(x).alias("max"))
+    return df.agg(F.percentile_approx(x, 0.25, accuracy).alias("p25"),
+                  F.percentile_approx(x, 0.5, accuracy).alias("p50"),
+                  F.percentile_approx(x, 0.75, accuracy).alias("p75"))
 
 
 def top_value_counts(df: DataFrame, col: str, n: int = 5) -> DataFrame:

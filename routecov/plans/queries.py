@@ -141,6 +141,13 @@ def a12_column_summary(spark, sf):
     return _round(pf.column_summary(td.metered_trips(spark, sf), "passenger_count"), "mean", "stddev")
 
 
+@query("a12_column_percentiles_approx")
+def a12_column_percentiles_approx(spark, sf):
+    """Approximate quartiles (Spark's sketch): no SQL twin, rows-only check;
+    tests bound the rank error against exact quartiles."""
+    return pf.column_percentiles(td.metered_trips(spark, sf), "passenger_count")
+
+
 @query("a13_top_pickup_zones")
 def a13_top_pickup_zones(spark, sf):
     return pf.top_value_counts(cl.clean_metered_trips(td.metered_trips(spark, sf)), "pulocationID", 5)

@@ -94,7 +94,30 @@ def test_profiles(spark):
     assert rows(pf.excluded_areas(areas, allowed)) == [(1,), (1,), (3,)]
     assert rows(pf.service_area_violations(df, areas, allowed)) == [(1,), (3,)]
     s = pf.column_summary(spark.range(1, 101).select(F.col("id").cast("double").alias("x")), "x").collect()[0]
-    assert (s["count"], s["min"], s["p50"], s["max"]) == (100, 1.0, 50.0, 100.0)
+    assert (s["count"], s["min"], s["max"]) == (100, 1.0, 100.0)
+
+
+def test_approx_percentiles_within_rank_bound(spark):
+    import bisect
+    vals = [float((i * 7919) % 1000) for i in range(50000)]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    acc = 100
+    q = pf.column_percentiles(df, "x", accuracy=acc).collect()[0]
+    srt = sorted(vals)
+    n = len(srt)
+    for p, name in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75")):
+        lo = bisect.bisect_left(srt, q[name])
+        hi = bisect.bisect_right(srt, q[name])
+        target = p * n
+        assert lo - n / acc <= target <= hi + n / acc, (name, q[name])
+
+
+def test_year_month_token_ignores_uuid_digits(spark):
+    df = spark.createDataFrame(
+        [("/ck/e115e50f-1234-56ab-9f00/file_month=1995-03/part-00000-8f6c-2000-11ae.parquet",),
+         ("/trips/yellow_tripdata_2021-03.parquet",), ("/x/part-1234-56.parquet",)], "p string")
+    got = [r[0] for r in df.select(cl.year_month_of_file("p")).collect()]
+    assert got == ["1995-03", "2021-03", "1234-56"]
 
 
 def test_size_proof(spark):
