@@ -7,8 +7,6 @@ querying it are ordinary Spark jobs and its size is never a driver limit.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -117,7 +115,3 @@ def graph_check(edges: DataFrame, zones: DataFrame) -> DataFrame:
                     (node_count == zone_count).alias("counts_match"),
                     iso.alias("isolated_count")))
 
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    """U1 for edge frames."""
-    return reduce(lambda a, b: a.unionByName(b), frames)

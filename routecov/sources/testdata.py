@@ -14,8 +14,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from routecov.functions.geo import haversine_m
-
 # Fixture parameters (documented in FIXTURES.md §3).
 EDGE_OFFSETS = (1, 5, 20, 24)   # zone n neighbours (n + k) mod ring size
 RING_SIZE = 25                  # number of zones (nations)
@@ -175,5 +173,5 @@ def outlier_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 __all__ = [
     "EDGE_OFFSETS", "RING_SIZE", "ISOLATED_MOD", "ISOLATED_REM", "table", "zones",
     "raw_zone_lookup", "trips", "metered_trips", "isolated_zones", "centroids",
-    "neighbor_pairs", "raw_zone_polygons", "outlier_values", "haversine_m",
+    "neighbor_pairs", "raw_zone_polygons", "outlier_values",
 ]

@@ -1,6 +1,5 @@
 """Polygon parsing, centroids, distances."""
 
-from pyspark.sql import functions as F
 
 from conftest import rows
 from routecov.functions.geo import haversine_m
