@@ -35,6 +35,10 @@ class RouteReport:
     routes: DataFrame
     route_percentage: DataFrame
 
+    def release(self) -> None:
+        """Drop the cached pair frequency once the outputs are written."""
+        self.trip_frequency.unpersist()
+
 
 def recommend_routes(trips: DataFrame, edges: DataFrame, lookup: DataFrame,
                      zones: DataFrame | None = None, isolated: DataFrame | None = None,
