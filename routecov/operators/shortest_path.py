@@ -76,9 +76,10 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "sour
 
     seed = (sources.select(F.col(source_col).cast("bigint").alias("source"))
             .where(F.col("source").isNotNull()).distinct())
-    state = cut_lineage(seed.select(
-        "source", F.col("source").alias("node"),
-        _best(F.lit(0), F.lit(0), F.array(F.col("source"))).alias(_BEST)))
+    # the seed is cheap to recompute (a distinct over the sources), so the
+    # first round starts from it directly and checkpoints its own output
+    state = seed.select("source", F.col("source").alias("node"),
+                        _best(F.lit(0), F.lit(0), F.array(F.col("source"))).alias(_BEST))
     frontier = state
 
     for _ in range(max_rounds):
