@@ -22,19 +22,21 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gr.build_graph(neighbor_distance(spark, sf_dir))
 
 
-def graph_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gr.nodes(edges(spark, sf_dir)).select(F.col("node").alias("location_id"))
+def graph_zones(spark: SparkSession, sf_dir: str, e: DataFrame | None = None) -> DataFrame:
+    e = edges(spark, sf_dir) if e is None else e
+    return gr.nodes(e).select(F.col("node").alias("location_id"))
 
 
-def trip_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trip_frequency(spark: SparkSession, sf_dir: str, e: DataFrame | None = None) -> DataFrame:
     """A1 as the pipeline runs it: both ends graph nodes, none isolated."""
-    return fq.trip_frequency(td.trips(spark, sf_dir), zones=graph_zones(spark, sf_dir),
+    return fq.trip_frequency(td.trips(spark, sf_dir), zones=graph_zones(spark, sf_dir, e),
                              isolated=td.isolated_zones(spark, sf_dir))
 
 
 def path_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """N10 over the pipeline's trip frequency."""
-    return sp.path_frequency(trip_frequency(spark, sf_dir), edges(spark, sf_dir))
+    """N10 over the pipeline's trip frequency (the edge table is built once)."""
+    e = edges(spark, sf_dir)
+    return sp.path_frequency(trip_frequency(spark, sf_dir, e), e)
 
 
 def edges_in_borough(spark: SparkSession, sf_dir: str) -> DataFrame:
