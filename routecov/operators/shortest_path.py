@@ -34,10 +34,13 @@ def _best(dist, hops, path):
                     path.alias("path"))
 
 
-def _relax(state: DataFrame, frontier: DataFrame, e: DataFrame) -> DataFrame:
+def _relax(state: DataFrame, frontier: DataFrame, e: DataFrame, max_dist: int | None = None) -> DataFrame:
     """One relaxation step: (source, node, best, _changed)."""
     cand = (frontier.join(e, frontier.node == e.src)
-            .where(~F.array_contains(F.col(f"{_BEST}.path"), F.col("dst")))
+            .where(~F.array_contains(F.col(f"{_BEST}.path"), F.col("dst"))))
+    if max_dist is not None:
+        cand = cand.where(F.col(f"{_BEST}.dist") + F.col("weight") <= F.lit(max_dist))
+    cand = (cand
             .select("source", F.col("dst").alias("node"),
                     _best(F.col(f"{_BEST}.dist") + F.col("weight"),
                           F.col(f"{_BEST}.hops") + 1,
@@ -52,7 +55,8 @@ def _relax(state: DataFrame, frontier: DataFrame, e: DataFrame) -> DataFrame:
 
 
 def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "source",
-                   max_rounds: int = 100_000, steps_per_checkpoint: int = 2) -> DataFrame:
+                   max_rounds: int = 100_000, steps_per_checkpoint: int = 2,
+                   max_dist: int | None = None) -> DataFrame:
     """N8+N9: best path from every listed source to every reachable node.
 
     Returns (source, node, dist, hops, path array<bigint>); the source itself
@@ -65,7 +69,8 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "sour
     "improved" flag costs no extra join: one shuffle per step.  Each round
     chains ``steps_per_checkpoint`` steps (each expands the rows the previous
     one improved), then checkpoints; the loop ends when the last step of a
-    round improves nothing.
+    round improves nothing.  ``max_dist`` bounds the state on large graphs:
+    nodes farther than it from a source get no row.
     """
     e = cut_lineage(edges.select(F.col("src").cast("bigint").alias("src"),
                                  F.col("dst").cast("bigint").alias("dst"),
@@ -85,7 +90,7 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "sour
     for _ in range(max_rounds):
         step = None
         for _s in range(max(1, steps_per_checkpoint)):
-            step = _relax(state, frontier, e)
+            step = _relax(state, frontier, e, max_dist)
             state = step.select("source", "node", _BEST)
             frontier = step.where("_changed").select("source", "node", _BEST)
         step = cut_lineage(step)

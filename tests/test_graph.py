@@ -130,3 +130,9 @@ def test_readme_step3_chain_example(spark):
                                  "pu_location_id bigint, do_location_id bigint, frequency bigint")
     got = sorted((",".join(map(str, r["trip_path"])), r["frequency"]) for r in sp.path_frequency(freq, e).collect())
     assert got == [("1,2", 1), ("1,2,3,4", 2), ("2,3,4", 1), ("3,4,5", 1)]
+
+
+def test_max_dist_bounds_the_state(spark):
+    e = edge_df(spark, [(1, 2, 3), (2, 3, 3), (3, 4, 3)])
+    out = sp.shortest_paths(e, spark.createDataFrame([(1,)], "source bigint"), max_dist=6)
+    assert rows(out, "node", "dist") == [(1, 0), (2, 3), (3, 6)]
