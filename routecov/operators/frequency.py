@@ -3,8 +3,9 @@
 At scale the trip table is the only large input: every operator here is a
 partial + final hash aggregation (map-side combine), so a pair that holds a
 third of all trips collapses to one row per map task before the shuffle.
-Zone lists are dimension-sized and joined as semi/anti joins that AQE turns
-into broadcasts when the measured side is small.
+Zone lists are dimension-sized: they are joined as broadcast semi/anti joins
+once their size is proven (``broadcast_if_small``), so the trip side is never
+shuffled for them.
 """
 
 from __future__ import annotations

@@ -1,6 +1,7 @@
 """Profiles of clean trips: summaries, value counts, distinct values and
-service-area set checks.  All are grouped aggregations (partial + final);
-totals come from scalar subqueries evaluated once."""
+service-area set checks.  All are grouped aggregations (partial + final)
+that read their input once; where a share of the total is needed, the
+grouped result is materialised and the total is a scalar subquery over it."""
 
 from __future__ import annotations
 

@@ -2,9 +2,10 @@
 
 Zone lists, centroids and lookups are bounded by the number of zones, but
 Catalyst cannot see that through explodes and joins and would shuffle the
-large side.  ``broadcast_if_small`` proves the row bound with one cheap
-``limit(n+1).count()`` job and only then adds the broadcast hint; beyond the
-bound the join is left to the planner (shuffle join, AQE may still convert).
+large side.  ``broadcast_if_small`` proves the row bound with one cheap,
+early-stopping job (``is_small``) and only then adds the broadcast hint;
+beyond the bound the join is left to the planner (shuffle join, AQE may
+still convert).
 """
 
 from __future__ import annotations

@@ -3,9 +3,10 @@
 trips --A1--> pair frequency --N10--> path frequency --A9--> coverage
       --T3/J2--> top-k readable routes --R2--> coverage percentage
 
-Only the iterative shortest-path job materialises (checkpoints); the pair
-frequency is persisted because three consumers read it.  Nothing is
-collected to the driver.
+Materialised (checkpointed) are only small, bounded tables: the pair table,
+the edge table, each shortest-path round and the top-k; the pair frequency
+is persisted because several consumers read it (``RouteReport.release``
+drops it).  Nothing is collected to the driver.
 """
 
 from __future__ import annotations
