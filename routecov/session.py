@@ -68,10 +68,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` to the reliable checkpoint folder (survives executor loss)."""
+def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
+    """Materialise ``df`` to the reliable checkpoint folder (survives executor
+    loss).  With ``eager=False`` the next action on the result computes it and
+    Spark writes the checkpoint right after that action."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return df.checkpoint(eager=eager)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
