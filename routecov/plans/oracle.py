@@ -520,3 +520,11 @@ SELECT regexp_extract(file_path, '(\d{4}-\d{2})', 1) AS file_month,
 FROM met_v"""
 
 SQL["st_streaming_trip_frequency"] = with_views("allfreq_v") + "SELECT * FROM allfreq_v"
+
+SQL["g6_shared_point_neighbours"] = """
+WITH cell AS (SELECT CAST(n_nationkey AS BIGINT) AS id, n_nationkey % 5 AS x, n_nationkey // 5 AS y
+              FROM nation WHERE n_nationkey >= 1),
+pts AS (SELECT id, x + d.dx AS px, y + d.dy AS py FROM cell, (VALUES (0, 0), (1, 0), (1, 1), (0, 1)) d(dx, dy))
+SELECT a.id AS location_id, b.id AS neighbor_location_id
+FROM pts a JOIN pts b ON a.px = b.px AND a.py = b.py AND a.id <> b.id
+GROUP BY a.id, b.id HAVING count(*) >= 2"""

@@ -183,6 +183,14 @@ def g1_parse_zones(spark, sf):
     return z.select("borough", "location_id", _boundary_text().alias("boundary"))
 
 
+@query("g6_shared_point_neighbours")
+def g6_shared_point_neighbours(spark, sf):
+    """Neighbours derived from shared boundary points on the grid polygons;
+    hot_degree=3 sends the 4-zone corners through the hot-point path."""
+    zones = zn.parse_zones(td.grid_zone_polygons(spark, sf))
+    return zn.shared_point_neighbours(zones, min_shared=2, hot_degree=3)
+
+
 @query("g1_rejected_zones")
 def g1_rejected_zones(spark, sf):
     return zn.rejected_zones(td.raw_zone_polygons(spark, sf)).select("LocationID", "borough")

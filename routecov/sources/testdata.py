@@ -166,6 +166,20 @@ def raw_zone_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("r_name").alias("borough")))
 
 
+def grid_zone_polygons(spark: SparkSession, sf_dir: str, width: int = 5) -> DataFrame:
+    """Raw zone polygons on a grid (the_geom, LocationID, borough): zone n is
+    the unit square at cell (n % width, n / width), so side neighbours share
+    two corners, diagonal ones one, and inner corners belong to four zones."""
+    nation = table(spark, sf_dir, "nation")
+    region = table(spark, sf_dir, "region")
+    x, y = F.col("n_nationkey") % width, (F.col("n_nationkey") / width).cast("int")
+    corners = [(x, y), (x + 1, y), (x + 1, y + 1), (x, y + 1), (x, y)]
+    ring = F.concat_ws(", ", *[F.concat_ws(" ", cx.cast("string"), cy.cast("string")) for cx, cy in corners])
+    return (nation.join(region, nation.n_regionkey == region.r_regionkey)
+            .select(F.concat(F.lit("MULTIPOLYGON ((("), ring, F.lit(")))")).alias("the_geom"),
+                    F.col("n_nationkey").alias("LocationID"), F.col("r_name").alias("borough")))
+
+
 def outlier_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A numeric column with outliers: events.value."""
     return table(spark, sf_dir, "events").select("event_id", "event_type", "value")

@@ -63,3 +63,44 @@ def test_zone_lookup_clean_and_lists(spark):
     iso = spark.createDataFrame([("EWR", 1)], "borough string, location_id bigint")
     lists = rows(zn.borough_zone_lists(iso, clean))
     assert lists == [("EWR", "1"), ("Manhattan", "")]
+
+
+def _grid(spark, width, n):
+    rows_ = []
+    for z in range(1, n + 1):
+        x, y = z % width, z // width
+        ring = f"{x} {y}, {x+1} {y}, {x+1} {y+1}, {x} {y+1}, {x} {y}"
+        rows_.append((f"MULTIPOLYGON ((({ring})))", z, "Grid"))
+    return zn.parse_zones(raw(spark, rows_))
+
+
+def _brute_neighbours(zones_df, k=2):
+    pts = {}
+    for r in zones_df.collect():
+        pts[r["location_id"]] = {(p["x"], p["y"]) for ring in r["boundary"] for p in ring}
+    return sorted((a, b) for a in pts for b in pts if a != b and len(pts[a] & pts[b]) >= k)
+
+
+def test_shared_point_neighbours_normal_and_hot_paths(spark):
+    z = _grid(spark, 4, 15)
+    want = _brute_neighbours(z)
+    for hot_degree in (64, 3, 1):  # no hot points; 4-zone corners hot; every shared point hot
+        got = rows(zn.shared_point_neighbours(z, hot_degree=hot_degree))
+        assert got == want, hot_degree
+
+
+def test_shared_point_neighbours_star_point(spark):
+    # ten triangles around one centre point: each shares only the centre with most
+    # others and the centre + one rim point with its two rim neighbours
+    import math
+    data = []
+    for i in range(10):
+        a0, a1 = 2 * math.pi * i / 10, 2 * math.pi * (i + 1) / 10
+        p0 = (round(100 * math.cos(a0)), round(100 * math.sin(a0)))
+        p1 = (round(100 * math.cos(a1)), round(100 * math.sin(a1)))
+        data.append((f"MULTIPOLYGON (((0 0, {p0[0]} {p0[1]}, {p1[0]} {p1[1]}, 0 0)))", i + 1, "Star"))
+    z = zn.parse_zones(raw(spark, data))
+    want = _brute_neighbours(z)
+    assert len(want) == 20
+    for hot_degree in (64, 2):
+        assert rows(zn.shared_point_neighbours(z, hot_degree=hot_degree)) == want
