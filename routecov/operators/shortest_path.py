@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from routecov.operators.sizing import broadcast_if_small
+from routecov.operators.sizing import is_small
 from routecov.session import cut_lineage
 
 _BEST = "best"
@@ -77,7 +77,12 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "sour
                                  F.col("weight").cast("bigint").alias("weight")))
     if not e.where(F.col("weight") < 0).isEmpty():
         raise ValueError("shortest_paths needs non-negative edge weights")
-    e = broadcast_if_small(e)
+    if is_small(e):
+        e = F.broadcast(e)
+    else:
+        # too large to broadcast: keep the edges hash-partitioned by src in the
+        # checkpoint, so each round shuffles only the frontier, not the graph
+        e = cut_lineage(e.repartition("src"))
 
     seed = (sources.select(F.col(source_col).cast("bigint").alias("source"))
             .where(F.col("source").isNotNull()).distinct())

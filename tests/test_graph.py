@@ -136,3 +136,11 @@ def test_max_dist_bounds_the_state(spark):
     e = edge_df(spark, [(1, 2, 3), (2, 3, 3), (3, 4, 3)])
     out = sp.shortest_paths(e, spark.createDataFrame([(1,)], "source bigint"), max_dist=6)
     assert rows(out, "node", "dist") == [(1, 0), (2, 3), (3, 6)]
+
+
+def test_large_graph_branch_matches_broadcast_branch(spark, monkeypatch):
+    e = edge_df(spark, [(a, (a * 7 + k) % 20, 1 + (a + k) % 5) for a in range(20) for k in (1, 3, 11)])
+    src = spark.range(20).select(F.col("id").alias("source"))
+    small = rows(sp.shortest_paths(e, src))
+    monkeypatch.setattr(sp, "is_small", lambda df, max_rows=0: False)
+    assert rows(sp.shortest_paths(e, src)) == small
