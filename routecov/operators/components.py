@@ -23,7 +23,8 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None,
     undirected component; ``nodes`` adds edge-less nodes."""
     e = edges.select(F.col("src").cast("bigint").alias("a"), F.col("dst").cast("bigint").alias("b"))
     und = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a != b").distinct()
-    und = cut_lineage(und)
+    # partitioned by the join key once, so each round shuffles only the labels
+    und = cut_lineage(und.repartition("a"))
     v = und.select(F.col("a").alias("node"))
     if nodes is not None:
         v = v.union(nodes.select(F.col("node").cast("bigint")))
