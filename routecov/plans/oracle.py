@@ -270,10 +270,12 @@ FROM clean_v GROUP BY pulocationID ORDER BY trips DESC, pulocationID ASC LIMIT 5
 
 SQL["a14_top_undirected_route"] = with_views("clean_v") + """
 , r AS (SELECT CASE WHEN pulocationID < dolocationID THEN [pulocationID, dolocationID]
-                   ELSE [dolocationID, pulocationID] END AS trip_route FROM clean_v)
-SELECT array_to_string(trip_route, ',') AS trip_route, count(*) AS counts,
-       count(*) / (SELECT count(*) FROM clean_v) * 100 AS percentage
-FROM r GROUP BY trip_route ORDER BY counts DESC, trip_route ASC LIMIT 1"""
+                   ELSE [dolocationID, pulocationID] END AS route_ids FROM clean_v),
+top1 AS (SELECT route_ids, count(*) AS counts FROM r GROUP BY route_ids
+         ORDER BY counts DESC, route_ids ASC LIMIT 1)
+SELECT array_to_string(route_ids, ',') AS trip_route, counts,
+       counts / (SELECT count(*) FROM clean_v) * 100 AS percentage
+FROM top1"""
 
 SQL["a15_boundary_stats"] = """
 WITH s AS (
@@ -358,8 +360,9 @@ SELECT p.t AS parent, c.t AS child, c.frequency
 FROM pft_v p JOIN pft_v c ON len(c.trip_path) <= len(p.trip_path) AND {subseq_sql('c.t', 'p.t')}"""
 
 SQL["t3_top_k_paths"] = with_views("cov_v") + """
-SELECT array_to_string(trip_path, ',') AS trip_path, coverage_count FROM cov_v WHERE len(trip_path) >= 4
-ORDER BY coverage_count DESC, len(trip_path) DESC, trip_path ASC LIMIT 20"""
+, top_v AS (SELECT trip_path AS ids, coverage_count FROM cov_v WHERE len(trip_path) >= 4
+            ORDER BY coverage_count DESC, len(trip_path) DESC, trip_path ASC LIMIT 20)
+SELECT array_to_string(ids, ',') AS trip_path, coverage_count FROM top_v"""
 
 SQL["r1_top_k_routes"] = with_views("cov_v", "zone_v") + _top_routes("cov_v", 25, 3) + """
 SELECT route, coverage_count, array_to_string(trip_path, ',') AS trip_path FROM routes"""
