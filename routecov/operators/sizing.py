@@ -29,4 +29,15 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    return F.broadcast(df) if is_small(df, max_rows) else df
+    """Broadcast hint on ``df`` once it is proven to hold at most ``max_rows``.
+
+    The side is cached while it is being proven: a small side is then
+    broadcast from the cache instead of re-running its plan (often a chain
+    of small joins); a side that is not small is released right away.  A
+    kept cache holds at most ``max_rows`` rows of a dimension-sized table;
+    long-lived sessions can drop them with ``spark.catalog.clearCache()``."""
+    cached = df.persist()
+    if is_small(cached, max_rows):
+        return F.broadcast(cached)
+    cached.unpersist()
+    return df
