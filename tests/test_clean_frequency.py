@@ -128,3 +128,13 @@ def test_size_proof(spark):
     assert not is_small(big, 1000)
     plan = big.join(broadcast_if_small(spark.range(5)), "id")._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
+
+
+def test_green_service_area_rule_with_seed_lists(spark):
+    from routecov import seed
+    areas = seed.area_list(spark, seed.MANHATTAN_AREAS)
+    allowed = seed.area_list(spark, seed.GREEN_TAXI_MANHATTAN_AREAS)
+    trips = spark.createDataFrame([(166, 41), (4, 166), (74, 103), (7, 8)], "pulocationID bigint, dolocationID bigint")
+    # 4 and 103 are Manhattan zones outside the green-taxi area; 7 and 8 are not Manhattan
+    assert rows(pf.service_area_violations(trips, areas, allowed)) == [(4,), (103,)]
+    assert pf.excluded_areas(areas, allowed).where("location_id = 103").count() == 3  # listed three times

@@ -144,3 +144,10 @@ def test_large_graph_branch_matches_broadcast_branch(spark, monkeypatch):
     small = rows(sp.shortest_paths(e, src))
     monkeypatch.setattr(sp, "is_small", lambda df, max_rows=0: False)
     assert rows(sp.shortest_paths(e, src)) == small
+
+
+def test_missing_centroids_are_reported(spark):
+    pairs = spark.createDataFrame([(1, 2), (2, 9)], "location_id bigint, neighbor_location_id bigint")
+    cen = spark.createDataFrame([(1, 40.7, -73.9), (2, 40.8, -73.9)], "location_id bigint, avg_lat double, avg_lon double")
+    assert rows(gr.missing_centroids(pairs, cen)) == [(9,)]
+    assert rows(gr.neighbor_distance(pairs, cen), "location_id", "neighbor_location_id") == [(1, 2)]
