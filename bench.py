@@ -1,6 +1,8 @@
 """Benchmark the headline queries; prints one JSON line.
 
-env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
+env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
+BENCH_EVENTLOG_DIR (optional: write a Spark event log there for
+tools/eventlog_summary.py).
 Each query runs to completion through the no-op sink (full execution, no
 collect) twice: the first (cold) and second (warm) times are both printed;
 ``value`` is the warm total.  Caches are cleared between runs, so the warm
@@ -35,7 +37,9 @@ def main() -> None:
     from routecov.plans.queries import QUERIES
     from routecov.session import get_session
 
-    spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus))
+    event_dir = os.environ.get("BENCH_EVENTLOG_DIR")  # optional, for tools/eventlog_summary.py
+    extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir} if event_dir else None
+    spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus), extra_conf=extra)
     run(QUERIES["a1_trip_frequency"](spark, sf_dir))  # warm-up (JIT, file listing)
     spark.catalog.clearCache()
 

@@ -16,11 +16,13 @@ _LOCAL_CHECKPOINT_FALLBACK: str | None = None
 
 
 def get_session(master: str | None = None, shuffle_partitions: int = 8,
-                app_name: str = "routecov") -> SparkSession:
+                app_name: str = "routecov", extra_conf: dict[str, str] | None = None) -> SparkSession:
     """Local session with AQE on, UI off and UTC time (oracle comparisons)."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = (
         builder
         .config("spark.ui.enabled", "false")
