@@ -45,7 +45,8 @@ def main() -> None:
 
     cold, times = {}, {}
     for name in HEADLINE:
-        for target in (cold, times):  # first run cold, second run warm (reported)
+        for label, target in (("cold", cold), ("warm", times)):  # warm run is reported
+            spark.sparkContext.setJobDescription(f"{name}:{label}")
             t0 = time.perf_counter()
             run(QUERIES[name](spark, sf_dir))
             target[name] = round(time.perf_counter() - t0, 3)

@@ -56,6 +56,15 @@ def main() -> None:
                     print(f"      stage {sid:4d} {sc - ss:6d} ms  tasks {nt:4d}  {name}")
     end = max((v[1] or v[0]) for v in jobs.values())
     print(f"{len(jobs)} jobs, {len(stages)} completed stages, span {end - t0} ms")
+    groups: dict[str, list] = {}
+    for s, c, st, d in jobs.values():
+        g = groups.setdefault(d or "-", [0, 0, s, c or s])
+        g[0] += 1
+        g[1] += (c or s) - s
+        g[2], g[3] = min(g[2], s), max(g[3], c or s)
+    print("by description: jobs, busy ms, wall ms")
+    for d, (n, busy, first, last) in sorted(groups.items(), key=lambda kv: kv[1][2]):
+        print(f"  {d[:40]:40s} {n:4d} {busy:7d} {last - first:7d}")
 
 
 if __name__ == "__main__":
