@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from routecov.operators.sizing import is_small
+from routecov.operators.sizing import BROADCAST_MAX_ROWS
 from routecov.session import cut_lineage
 
 _BEST = "best"
@@ -75,9 +75,11 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "sour
     e = cut_lineage(edges.select(F.col("src").cast("bigint").alias("src"),
                                  F.col("dst").cast("bigint").alias("dst"),
                                  F.col("weight").cast("bigint").alias("weight")))
-    if not e.where(F.col("weight") < 0).isEmpty():
+    # one pass over the materialised edges: weight check and size proof together
+    stats = e.agg(F.min("weight").alias("min_w"), F.count(F.lit(1)).alias("n")).first()
+    if stats["min_w"] is not None and stats["min_w"] < 0:
         raise ValueError("shortest_paths needs non-negative edge weights")
-    if is_small(e):
+    if stats["n"] <= BROADCAST_MAX_ROWS:
         e = F.broadcast(e)
     else:
         # too large to broadcast: keep the edges hash-partitioned by src in the

@@ -142,7 +142,7 @@ def test_large_graph_branch_matches_broadcast_branch(spark, monkeypatch):
     e = edge_df(spark, [(a, (a * 7 + k) % 20, 1 + (a + k) % 5) for a in range(20) for k in (1, 3, 11)])
     src = spark.range(20).select(F.col("id").alias("source"))
     small = rows(sp.shortest_paths(e, src))
-    monkeypatch.setattr(sp, "is_small", lambda df, max_rows=0: False)
+    monkeypatch.setattr(sp, "BROADCAST_MAX_ROWS", 0)
     assert rows(sp.shortest_paths(e, src)) == small
 
 
