@@ -3,8 +3,14 @@
 from __future__ import annotations
 
 from .near_dedup import op6_near_dedup
+from .packing import op5_packing
+from .tiling import op4_decontamination
+from .token_counts import op3_token_counts
 
 QUERIES = {
+    "op3_token_counts": op3_token_counts,
+    "op4_decontamination": op4_decontamination,
+    "op5_packing": op5_packing,
     "op6_near_dedup": op6_near_dedup,
 }
 
