@@ -70,6 +70,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def package_on_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did.
+
+    Enough where executors see that folder (local runs, a shared install); on
+    other clusters ship the package with ``--py-files``."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Materialise ``df`` to the reliable checkpoint folder (survives executor
     loss).  With ``eager=False`` the next action on the result computes it and
