@@ -9,9 +9,11 @@
 4. Candidates pass if their signatures agree well enough and then, on the
    full sets, intersection / union reaches the similarity.
 5. Components of those links settle most buckets.  Where a bucket still spans
-   several components, all its pairs across components are compared, in blocks
-   of members, and verified alike; so no link between different components is
-   missed for having been left out in step 3.
+   several components, its members go with their full sets, in blocks, to tasks
+   that compare all pairs across components (in the first band that a pair
+   shares) and return one link for each two components; so no link between
+   components is missed for having been left out in step 3, and a large bucket
+   is never spelled out as rows of pairs.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ ROWS_PER_BAND = 4
 #: A signature may understate a similarity by five standard deviations before a pair is given up.
 SLACK = 5
 #: Members of a bucket compared with each other in one go.
-BLOCK = 256
+BLOCK = 2048
 
 _rng = np.random.default_rng(5)
 _A = _rng.integers(1, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -81,24 +83,29 @@ def _sign(words: int):
     return run
 
 
-def _shingle_sets(words: int):
+def _shingle_sets(words: int, signed: bool = False):
     def run(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([s.tobytes() for s in _sets(batch, words)], pa.binary())], ["id", "shingles"])
+            sets, signs = [], []
+            for s in _sets(batch, words):
+                sets.append(s.tobytes())
+                if signed:
+                    signs.append(minima(s).tobytes())
+            columns = [batch.column(0), pa.array(sets, pa.binary())] + ([pa.array(signs, pa.binary())] if signed else [])
+            yield pa.RecordBatch.from_arrays(columns, ["id", "shingles", "signature"][:len(columns)])
     return run
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    n = HASHES // ROWS_PER_BAND
     for batch in batches:
-        ids, sizes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        signs = [np.frombuffer(x, "<u4") for x in batch.column(2).to_pylist()]
+        ids = batch.column(0).to_numpy()
+        signs = [np.frombuffer(x, "<u4") for x in batch.column(1).to_pylist()]
         for i in range(0, len(ids), 1000):
             keys = [_band_keys(s) for s in signs[i:i + 1000]]
-            n = HASHES // ROWS_PER_BAND
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(keys)), pa.array(np.repeat(ids[i:i + 1000], n)), pa.array(np.repeat(sizes[i:i + 1000], n))],
-                ["bucket", "id", "size"])
+                [pa.array(np.concatenate(keys)), pa.array(np.tile(np.arange(n, dtype=np.int32), len(keys))),
+                 pa.array(np.repeat(ids[i:i + 1000], n))], ["bucket", "band", "id"])
 
 
 def _overlap(numerator: int, denominator: int):
@@ -115,23 +122,38 @@ def _overlap(numerator: int, denominator: int):
     return run
 
 
-def _agreeing(floor: float, ratio: float):
-    """Pairs of two blocks of a bucket from different components whose signatures and sizes allow a link."""
+def _links_across(floor: float, percent: int):
+    """Links between members of two blocks of a bucket that lie in different
+    components, one for each member and component it is linked with."""
     def run(rows):
         import pandas as pd
         left, right = rows[rows["side"] != 1], rows[rows["side"] != 0]
         out_a, out_b = [], []
         if len(left) and len(right):
-            same = bool((left["side"] == 2).all())
-            s = np.stack([np.frombuffer(x, "<u4") for x in right["signature"]])
-            ids, comp, size = right["id"].to_numpy(), right["component"].to_numpy(), right["size"].to_numpy()
-            for i, c, n, sign in zip(left["id"], left["component"], left["size"], left["signature"]):
-                ok = (comp != c) & (np.minimum(size, n) >= ratio * np.maximum(size, n))
+            band, same = int(rows["band"].iloc[0]), bool((left["side"] == 2).all())
+            sets = [np.frombuffer(x, np.uint64) for x in right["shingles"]]
+            signs = np.stack([np.frombuffer(x, "<u4") for x in right["signature"]])
+            ids, comp, size = right["id"].to_numpy(), right["component"].to_numpy(), np.array([len(x) for x in sets])
+            for i, c, own, sign in zip(left["id"], left["component"], left["shingles"], left["signature"]):
+                own, sign = np.frombuffer(own, np.uint64), np.frombuffer(sign, "<u4")
+                ok = (comp != c) & (100 * np.minimum(size, len(own)) >= percent * np.maximum(size, len(own)))
                 if same:
                     ok &= ids > i
                 at = np.flatnonzero(ok)
-                at = at[(s[at] == np.frombuffer(sign, "<u4")).mean(1) >= floor]
-                out_a.extend(np.minimum(ids[at], i)), out_b.extend(np.maximum(ids[at], i))
+                equal = signs[at] == sign
+                fit = equal.mean(1) >= floor
+                at, equal = at[fit], equal[fit]
+                first = equal.reshape(len(at), HASHES // ROWS_PER_BAND, ROWS_PER_BAND).all(2).argmax(1)
+                at = at[first == band]
+                if not len(at):
+                    continue
+                n = size[at]
+                other = np.concatenate([sets[j] for j in at])
+                near = own[np.minimum(np.searchsorted(own, other), len(own) - 1)] == other
+                common = np.add.reduceat(near, np.r_[0, np.cumsum(n)[:-1]], dtype=np.int64)
+                at = at[100 * common >= percent * (n + len(own) - common)]
+                at = at[np.unique(comp[at], return_index=True)[1]]
+                out_a.extend([i] * len(at)), out_b.extend(ids[at])
         return pd.DataFrame({"a": np.array(out_a, np.int64), "b": np.array(out_b, np.int64)})
     return run
 
@@ -155,42 +177,42 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75) -> DataF
     whole = signed.where("n_shingles > 0 and doc_id is not null")
     classes = whole.groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("rep"))
     classes = cut_lineage(classes)
-    reps = whole.join(classes.select("rep"), F.col("doc_id") == F.col("rep"), "leftsemi").select(
-        F.col("doc_id").alias("id"), F.col("n_shingles").alias("size"), "signature")
+    signs = whole.join(classes.select("rep"), F.col("doc_id") == F.col("rep"), "leftsemi").select(
+        F.col("doc_id").alias("id"), "signature")
 
-    banded = reps.mapInArrow(_bands, "bucket long, id long, size long")
+    banded = signs.mapInArrow(_bands, "bucket long, band int, id long")
     crowded = banded.groupBy("bucket").agg(F.min("id").alias("pivot"), F.max("id").alias("top"), F.count("*").alias("n"))
     banded = cut_lineage(banded.join(crowded.where("pivot != top"), "bucket"))  # one rep per bucket is no candidate
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-        sets = cut_lineage(docs.join(ids, "doc_id", "leftsemi").dropDuplicates(["doc_id"]).select("doc_id", "bytes")
-                           .mapInArrow(_shingle_sets(words), "id long, shingles binary"))
-        one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa"))
-        two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb"))
-        full = pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb")
-        return full.mapInArrow(_overlap(percent, 100), "a long, b long")
+    def shingle_sets(ids: DataFrame, signed: bool = False) -> DataFrame:
+        own = docs.join(ids.distinct(), "doc_id", "leftsemi").dropDuplicates(["doc_id"]).select("doc_id", "bytes")
+        return cut_lineage(own.mapInArrow(_shingle_sets(words, signed), "id long, shingles binary" + ", signature binary" * signed))
 
-    signs = reps.select("id", "signature")
     stars = banded.where("id != pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
     stars = stars.join(signs.select(F.col("id").alias("a"), F.col("signature").alias("sa")), "a").join(
         signs.select(F.col("id").alias("b"), F.col("signature").alias("sb")), "b")
     stars = cut_lineage(stars.mapInArrow(_alike(floor), "a long, b long"))
-    links = cut_lineage(verified(stars))
+    sets = shingle_sets(stars.select(F.col("a").alias("doc_id")).union(stars.select("b")))
+    links = cut_lineage(
+        stars.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
+        .join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b").select("a", "b", "sa", "sb")
+        .mapInArrow(_overlap(percent, 100), "a long, b long"))
     parts = cut_lineage(star_components(links))
 
     placed = banded.join(parts.withColumnRenamed("node", "id"), "id", "left").withColumn(
         "component", F.coalesce("component", "id"))
-    open_buckets = placed.groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 != c1")
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / BLOCK)).cast("int")
-    rest = placed.join(open_buckets.select("bucket"), "bucket", "leftsemi").join(signs, "id").withColumn(
-        "k", blocks).withColumn("own", F.pmod(F.xxhash64("id"), F.col("k")).cast("int"))
-    rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select(
+    spanning = placed.groupBy("bucket").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 != c1")
+    placed = cut_lineage(placed.join(spanning.select("bucket"), "bucket", "leftsemi").select("bucket", "band", "n", "id", "component"))
+    sets = shingle_sets(placed.select(F.col("id").alias("doc_id")), signed=True)
+    blocked = placed.withColumn("k", F.ceil(F.col("n") / BLOCK).cast("int")).withColumn(
+        "own", F.pmod(F.xxhash64("id"), F.col("k")).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    blocked = blocked.select(
         "bucket", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1).alias("side"),
-        "id", "component", "size", "signature")
-    across = cut_lineage(rest.groupBy("bucket", "p", "q").applyInPandas(_agreeing(floor, share), "a long, b long").distinct())
-    parts = cut_lineage(star_components(links.union(verified(across))))
+        "band", "id", "component").join(sets, "id")
+    across = cut_lineage(blocked.groupBy("bucket", "p", "q").applyInPandas(_links_across(floor, percent), "a long, b long"))
+    parts = cut_lineage(star_components(links.union(across)))
 
     keyed = signed.select("doc_id", "n_shingles", "d1", "d2").join(classes, ["n_shingles", "d1", "d2"], "left").join(
         parts.withColumnRenamed("node", "rep"), "rep", "left")
