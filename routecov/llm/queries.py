@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .near_dedup import op6_near_dedup
 from .packing import op5_packing
+from .sharding import op10_sharding
 from .tiling import op4_decontamination
 from .token_counts import op3_token_counts
 
@@ -12,6 +13,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op5_packing": op5_packing,
     "op6_near_dedup": op6_near_dedup,
+    "op10_sharding": op10_sharding,
 }
 
 SQL = {
