@@ -7,12 +7,14 @@ from .packing import op5_packing
 from .sharding import op10_sharding
 from .tiling import op4_decontamination
 from .token_counts import op3_token_counts
+from .warc import op9_warc
 
 QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op4_decontamination": op4_decontamination,
     "op5_packing": op5_packing,
     "op6_near_dedup": op6_near_dedup,
+    "op9_warc": op9_warc,
     "op10_sharding": op10_sharding,
 }
 
@@ -35,4 +37,12 @@ reach(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc
 root AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d JOIN root USING (doc_id) LEFT JOIN n USING (doc_id)""",
+    "op9_warc": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+s AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest FROM p),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM s)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f""",
 }
