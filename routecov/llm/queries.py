@@ -7,6 +7,7 @@ from .packing import op5_packing
 from .sharding import op10_sharding
 from .tiling import op4_decontamination
 from .token_counts import op3_token_counts
+from .topk import op8_topk
 from .warc import op9_warc
 
 QUERIES = {
@@ -14,6 +15,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op5_packing": op5_packing,
     "op6_near_dedup": op6_near_dedup,
+    "op8_topk": op8_topk,
     "op9_warc": op9_warc,
     "op10_sharding": op10_sharding,
 }
@@ -45,4 +47,11 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> first THEN first END AS refers_to
 FROM f""",
+    "op8_topk": """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
 }
