@@ -15,6 +15,7 @@ padding in all.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import re
 import zlib
@@ -32,6 +33,8 @@ GROUP_BYTES = 16 << 20
 #: Cost of one token's attention to one other, relative to a token's linear layers (width 4,096).
 QUADRATIC = 1 / 24_576
 MAX_CHUNKS = 400_000
+#: Characters encoded in one go: few enough that their words stay in the processor's cache.
+STEP_CHARS = 60_000
 
 #: White_Space of Unicode.  str.split() also splits at 1C to 1F, which the tokenizer does not.
 _SPACES = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
@@ -40,73 +43,80 @@ _ENCODERS: dict[str, Encoder] = {}
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes."""
+    """Ids of texts as little-endian unsigned 32-bit bytes.
+
+    Unseen chunks of Latin letters and final stops or commas go by their
+    lower-case word.  Many such words are encoded as one text, by the same
+    merges but without the normaliser and pattern, which leave them as they
+    are; the ids that close a word tell them apart."""
 
     def __init__(self, path: str):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_file(path)
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        self.tokenizer, self.plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.tokenizer.get_vocab()
-        #: ids that close a word
         self.closing = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closing[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def _words(self, words: list[str]) -> None:
-        """Learn lower-case words of letters, which are encoded as one text and cut after closing ids."""
-        for i in range(0, len(words), 20_000):
-            part = words[i:i + 20_000]
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
-            ends = (4 * (np.flatnonzero(self.closing[ids]) + 1)).tolist()
-            data = ids.tobytes()
-            for w, a, b in zip(part, [0, *ends[:-1]], ends, strict=True):
-                self.known[w] = data[a:b]
-
-    def _chunks(self, chunks: list[str]) -> None:
-        for w, e in zip(chunks, self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)):
-            self.known[w] = np.array(e.ids, "<u4").tobytes()
+        """Learn lower-case words of Latin letters."""
+        lines = [" ".join(words[i:i + 2000]) for i in range(0, len(words), 2000)]
+        encoded = self.plain.encode_batch_fast(lines, add_special_tokens=False)
+        ids = np.concatenate([np.array(e.ids, "<u4") for e in encoded]) if encoded else np.zeros(0, "<u4")
+        ends = (4 * (np.flatnonzero(self.closing[ids]) + 1)).tolist()
+        data, a = ids.tobytes(), 0
+        for w, b in zip(words, ends, strict=True):
+            self.known[w] = data[a:b]
+            a = b
 
     def _learn(self, fresh: set[str]) -> None:
-        """Learn chunks; one of Latin letters and final stops and commas goes by its lower-case word."""
-        known, older = self.known, self.older
-        words, tails, other, derived = set(), set(), [], []
+        known, older, other, words, derived = self.known, self.older, [], set(), []
         for w in fresh:
             if (b := older.get(w)) is not None:
                 known[w] = b
                 continue
             core = w.rstrip(".,")
-            if not core.isalpha() or max(core) > "\xff":
+            if not core.isalpha() or not core.isascii() and max(core) > "\xff":
                 other.append(w)
                 continue
-            tail = w[len(core):]
-            core = core.lower()
-            if core not in known:
-                if (b := older.get(core)) is not None:
-                    known[core] = b
+            low = core.lower()
+            if low not in known:
+                if (b := older.get(low)) is not None:
+                    known[low] = b
                 else:
-                    words.add(core)
-            if tail and tail not in known:
-                tails.add(tail)
-            if core != w:
-                derived.append((w, core, tail))
+                    words.add(low)
+            if low != w:
+                derived.append((w, low, w[len(core):]))
         self._words(list(words))
-        self._chunks([*other, *tails])
-        for w, core, tail in derived:
-            known[w] = known[core] + known[tail] if tail else known[core]
+        known.update(zip(other, self._library(other)))
+        tails = list({t for _, _, t in derived if t and t not in known})
+        known.update(zip(tails, self._library(tails)))
+        for w, low, tail in derived:
+            known[w] = known[low] + known[tail] if tail else known[low]
+
+    def _library(self, chunks: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         chunks = [x.split() if not _ONLY_PYTHON.search(x) else [c for c in _SPACES.split(x) if c] for x in texts]
-        fresh = set()
+        if len(self.known) > MAX_CHUNKS:
+            self.older, self.known = self.known, {}
+        get, fresh, ids = self.known.get, set(), []
         for words in chunks:
-            fresh.update(words)
-        self._learn(fresh - self.known.keys())
+            found = list(map(get, words))
+            if None in found:
+                fresh.update([w for w, b in zip(words, found) if b is None])
+            ids.append(found)
+        self._learn(fresh)
         known = self.known
-        out = [b"".join([known[w] for w in words]) for words in chunks]
-        if len(known) > MAX_CHUNKS:
-            self.older, self.known = known, {}
-        return out
+        return [b"".join(found if None not in found else [known[w] if b is None else b for w, b in zip(words, found)])
+                for words, found in zip(chunks, ids)]
 
 
 def encoder(path: str) -> Encoder:
@@ -125,13 +135,14 @@ def _pieces(path: str, size: int, end: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoder(path)
+        gc.disable()  # millions of short-lived lists and tuples, none in cycles
         for batch in batches:
             packs, docs, texts = (c.to_pylist() for c in batch.columns)
             out = []
             i = 0
             while i < len(texts):
                 j, weight = i, 0
-                while j < len(texts) and (j == i or weight < 4_000_000):
+                while j < len(texts) and (j == i or weight < STEP_CHARS):
                     weight += len(texts[j])
                     j += 1
                 for pack, doc, ids in zip(packs[i:j], docs[i:j], tokens.encode(texts[i:j])):
