@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from .language import op1_language
 from .near_dedup import op6_near_dedup
 from .packing import op5_packing
 from .sharding import op10_sharding
 from .tiling import op4_decontamination
 from .token_counts import op3_token_counts
 from .topk import op8_topk
+from .toxicity import op2_toxicity
 from .warc import op9_warc
 
 QUERIES = {
+    "op1_language": op1_language,
+    "op2_toxicity": op2_toxicity,
     "op3_token_counts": op3_token_counts,
     "op4_decontamination": op4_decontamination,
     "op5_packing": op5_packing,
