@@ -39,9 +39,31 @@ STEP_CHARS = 60_000
 #: White_Space of Unicode.  str.split() also splits at 1C to 1F, which the tokenizer does not.
 _SPACES = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 _ONLY_PYTHON = re.compile("[\x1c-\x1f]")
+#: Marks that stand together make one token, an apostrophe may start a contraction, "<" a special token.
+_TOGETHER = re.compile(r"[^\w\s][^\w\s]|['<_]")
 _ENCODERS: dict[str, Encoder] = {}
 
 
+def _latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
+def chunks_of(text: str) -> list[str]:
+    """Parts of a text that the tokenizer encodes independently of each other.
+
+    White space always parts.  In Latin-1 text, which composing leaves as it
+    is, lower case changes nothing, and single stops and commas part as well."""
+    if _ONLY_PYTHON.search(text):
+        return [c for c in _SPACES.split(text) if c]
+    if _latin(text) and not _TOGETHER.search(text):
+        text = text.lower().replace(".", " . ").replace(",", " , ")
+    return text.split()
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit bytes.
 
@@ -104,7 +126,7 @@ class Encoder:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        chunks = [x.split() if not _ONLY_PYTHON.search(x) else [c for c in _SPACES.split(x) if c] for x in texts]
+        chunks = [chunks_of(x) for x in texts]
         if len(self.known) > MAX_CHUNKS:
             self.older, self.known = self.known, {}
         get, fresh, ids = self.known.get, set(), []
