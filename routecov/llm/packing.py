@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +33,7 @@ from .common import read_table, text_of
 GROUP_BYTES = 16 << 20
 #: Cost of one token's attention to one other, relative to a token's linear layers (width 4,096).
 QUADRATIC = 1 / 24_576
-MAX_CHUNKS = 400_000
+MAX_CHUNKS = 250_000
 #: Characters encoded in one go: few enough that their words stay in the processor's cache.
 STEP_CHARS = 60_000
 
@@ -155,29 +156,42 @@ def _pieces(path: str, size: int, end: int):
     """Blocks of ``size`` ids with their checksum, and each document's remainder with its ids."""
     stop = np.array([end], "<u4").tobytes()
 
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows) if rows else [[]] * 7, _PIECES.types)],
+                                          schema=_PIECES)
+
+    def pieces(tokens: Encoder, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        packs, docs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)
+        rows, held, i = [], 0, 0
+        sizes = pc.fill_null(pc.utf8_length(texts), 0).to_pylist()
+        while i < len(texts):
+            j, weight = i, 0
+            while j < len(texts) and (j == i or weight < STEP_CHARS):
+                weight += sizes[j]
+                j += 1
+            for pack, doc, ids in zip(packs[i:j], docs[i:j], tokens.encode(texts.slice(i, j - i).to_pylist())):
+                ids += stop
+                n = len(ids) // 4
+                for at in range(0, n - size + 1, size):
+                    rows.append((pack, doc, at, size, n, zlib.crc32(ids[4 * at:4 * (at + size)]), None))
+                if left := n % size:
+                    rest = ids[4 * (n - left):]
+                    rows.append((pack, doc, n - left, left, n, None, rest))
+                    held += len(rest)
+            if held > 1 << 22 or len(rows) > 20_000:
+                yield out(rows)
+                rows, held = [], 0
+            i = j
+        yield out(rows)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoder(path)
         gc.disable()  # millions of short-lived lists and tuples, none in cycles
-        for batch in batches:
-            packs, docs, texts = (c.to_pylist() for c in batch.columns)
-            out = []
-            i = 0
-            while i < len(texts):
-                j, weight = i, 0
-                while j < len(texts) and (j == i or weight < STEP_CHARS):
-                    weight += len(texts[j])
-                    j += 1
-                for pack, doc, ids in zip(packs[i:j], docs[i:j], tokens.encode(texts[i:j])):
-                    ids += stop
-                    n = len(ids) // 4
-                    for at in range(0, n - size + 1, size):
-                        out.append((pack, doc, at, size, n, zlib.crc32(ids[4 * at:4 * (at + size)]), None))
-                    if left := n % size:
-                        rest = ids[4 * (n - left):]
-                        out.append((pack, doc, n - left, left, n, None, rest))
-                i = j
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out) if out else [[]] * 7, _PIECES.types)],
-                                             schema=_PIECES)
+        try:
+            for batch in batches:
+                yield from pieces(tokens, batch)
+        finally:
+            gc.enable()
     return run
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .language import op1_language
+from .line_dedup import op7_line_dedup
 from .near_dedup import op6_near_dedup
 from .packing import op5_packing
 from .sharding import op10_sharding
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_decontamination": op4_decontamination,
     "op5_packing": op5_packing,
     "op6_near_dedup": op6_near_dedup,
+    "op7_line_dedup": op7_line_dedup,
     "op8_topk": op8_topk,
     "op9_warc": op9_warc,
     "op10_sharding": op10_sharding,
