@@ -17,10 +17,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import cut_lineage, read_table, remainder, text_of
+from .common import read_table, remainder
 
 #: Labelled rows that the model is fitted on, for each language (a bounded sample by id hash).
 SAMPLE = 1_500
@@ -154,7 +155,7 @@ def train(docs: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: int
     return Model(sorted(r["lang"] for r in classes), rows)
 
 
-def _predict(shared):
+def _predict(shared, names: tuple[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not hasattr(shared, "scorer"):
             shared.scorer = Scorer(shared.value)
@@ -169,20 +170,20 @@ def _predict(shared):
                 i = j
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array([x for x, _ in out], pa.string()), pa.array([x for _, x in out], pa.float64())],
-                [*batch.schema.names[1:], "lang_pred", "score"])
+                [*batch.schema.names[1:], *names])
     return run
 
 
-def predicted(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of every row with lang_pred and score; only ``text`` is looked at.
+def predicted(docs: DataFrame, model: Model, keep: list[str], names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """Columns ``keep`` of every row with language and score as ``names``; only ``text`` is looked at.
 
     A null text, or one without a letter, is ``und`` with score 0, as is any
     text if there was nothing to learn from.  Whole texts are read; repeated
     rows are each scored; other columns are ignored.  The model is broadcast:
     its size is bounded by languages, words and n-grams kept."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    ddl = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
-    return docs.select("text", *keep).mapInArrow(_predict(shared), ", ".join([*ddl, "lang_pred string", "score double"]))
+    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
+    return docs.select(F.col("text").alias("__text"), *keep).mapInArrow(_predict(shared, names), schema)
 
 
 def op1_language(spark, sf_dir: str) -> DataFrame:

@@ -193,27 +193,27 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST
         F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_list("no")).alias("dropped"))
 
 
-def without_repeats(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """``docs`` with all columns, ``text`` without its repeated lines, and n_lines, n_dropped.
+def without_repeats(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS, names: dict[str, str] | None = None) -> DataFrame:
+    """``docs`` with all columns, ``text`` without its repeated lines, and n_lines, n_dropped (or as ``names`` has them).
 
     A line of at least ``least_chars`` characters is dropped if it, or a line at
     most ``edits`` edits away, occurs earlier: by doc_id (nulls first), row of
     the table, line.  Shorter lines stay.  A null text stays null with no lines,
     an empty one has one empty line; repeated rows count as later documents; a
-    text whose every line goes becomes empty.  Columns named like the added
-    ones are replaced.
+    text whose every line goes becomes empty.  An empty table stays empty.
     """
-    docs = docs.drop("n_lines", "n_dropped").withColumn("_row", F.monotonically_increasing_id())
-    dropped = _bounded(repeated_lines(docs.select(F.col("_row").alias("row"), "doc_id", "text"), edits, least_chars).select(
-        F.col("row").alias("_row"), F.col("dropped").alias("_dropped")))
-    joined = docs.join(dropped, "_row", "left")
+    n_lines, n_dropped = ((names or {}).get(n, n) for n in ("n_lines", "n_dropped"))
+    docs = docs.withColumn("__row", F.monotonically_increasing_id())
+    dropped = _bounded(repeated_lines(docs.select(F.col("__row").alias("row"), "doc_id", "text"), edits, least_chars).select(
+        F.col("row").alias("__row"), F.col("dropped").alias("__dropped")))
+    joined = docs.join(dropped, "__row", "left")
     lines = F.split("text", "\n", -1)
     kept = F.expr("array_join(transform(filter(transform(split(text, '\n', -1), (x, i) -> struct(x, i)), "
-                  "p -> not array_contains(_dropped, p.i)), p -> p.x), '\n')")
+                  "p -> not array_contains(__dropped, p.i)), p -> p.x), '\n')")
     return joined.withColumns({
-        "text": F.when(F.col("_dropped").isNull(), F.col("text")).otherwise(kept),
-        "n_lines": F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)),
-        "n_dropped": F.coalesce(F.size("_dropped"), F.lit(0))}).drop("_row", "_dropped")
+        "text": F.when(F.col("__dropped").isNull(), F.col("text")).otherwise(kept),
+        n_lines: F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)),
+        n_dropped: F.when(F.col("__dropped").isNull(), 0).otherwise(F.size("__dropped"))}).drop("__row", "__dropped")
 
 
 def op7_line_dedup(spark, sf_dir: str) -> DataFrame:

@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import cut_lineage, read_table, remainder, text_of
 
@@ -317,8 +318,8 @@ def scored(docs: DataFrame, scorer: Scorer, keep: list[str]) -> DataFrame:
     repeated rows are each scored; other columns are ignored; an empty table
     gives an empty result."""
     shared = docs.sparkSession.sparkContext.broadcast((scorer.log, scorer.lexicon, scorer.weights))
-    ddl = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep]
-    out = docs.select(text_of().alias("text"), *keep).mapInArrow(_score(shared), ", ".join([*ddl, "score double"]))
+    schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField("score", T.DoubleType())])
+    out = docs.select(text_of().alias("__text"), *keep).mapInArrow(_score(shared), schema)
     return out.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
 
 

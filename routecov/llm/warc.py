@@ -31,6 +31,7 @@ LEAST_REVISIT = 100
 SHARD_BYTES = 32 << 20
 ROLL_BYTES = 8 << 20
 LEVEL = 4
+MAX_READERS = 20_000
 DATE = "1970-01-01T00:00:00Z"
 _NAMES = uuid.UUID("6f1d3c1e-2f0b-5b0a-9a39-6d0a0c8f4b11")
 _MANIFEST = pa.schema([("file", pa.string()), ("shard", pa.int64()), ("records", pa.int64()), ("bytes", pa.int64()), ("sha256", pa.string())])
@@ -73,22 +74,21 @@ class _Shard:
         self.store, self.folder, self.shard, self.roll, self.level = store, folder, shard, roll, level
         self.no, self.out, self.done = 0, None, []
 
-    def add(self, record: bytes) -> None:
+    def add(self, member: bytes) -> None:
         if self.out is None:
             self.name = f"pages-{self.shard:08d}-{self.no:05d}.warc.gz"
             self.temporary = f"{self.folder}/_temporary-{uuid.uuid4().hex}"
             self.out = self.store.open_output_stream(self.temporary, compression=None)
             self.size, self.records, self.sum = 0, 0, hashlib.sha256()
             info = f"filename: {self.name}\r\nformat: WARC File Format 1.1\r\n".encode()
-            self._put(_record([("WARC-Type", "warcinfo"), ("WARC-Record-ID", _record_id("file", self.name)), ("WARC-Date", DATE),
-                               ("WARC-Filename", self.name), ("Content-Type", "application/warc-fields")], info))
-        self._put(record)
+            self._put(_member(_record([("WARC-Type", "warcinfo"), ("WARC-Record-ID", _record_id("file", self.name)), ("WARC-Date", DATE),
+                               ("WARC-Filename", self.name), ("Content-Type", "application/warc-fields")], info), self.level))
+        self._put(member)
         self.records += 1
         if self.size >= self.roll:
             self.close()
 
-    def _put(self, record: bytes) -> None:
-        data = _member(record, self.level)
+    def _put(self, data: bytes) -> None:
         self.out.write(data)
         self.sum.update(data)
         self.size += len(data)
@@ -101,18 +101,40 @@ class _Shard:
             self.out, self.no = None, self.no + 1
 
 
+def _responses(level: int):
+    """Each page as a compressed response record."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [c.to_pylist() for c in batch.columns]
+            made = [_member(page_record(page, url, html, digest, size, None), level) for page, url, digest, size, html in zip(*columns)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(made, pa.binary())], [*batch.schema.names[:-1], "member"])
+    return run
+
+
+def _revisits(level: int):
+    """Members of (shard, page_id, url, digest, size, refers_to, member); a revisit's is made here."""
+    def run(batches):
+        for batch in batches:
+            rows = zip(*(c.to_pylist() for c in batch.columns[1:]))
+            made = [m if refers is None else _member(page_record(page, url, b"", digest, size, refers), level)
+                    for page, url, digest, size, refers, m in rows]
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("shard", "page_id", "digest", "url")), pa.array(made, pa.binary())],
+                                             ["shard", "page_id", "digest", "url", "member"])
+    return run
+
+
 def _write(uri: str, roll: int, level: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, folder = fs.FileSystem.from_uri(uri)
         shard = None
         for batch in batches:
-            for no, page, url, html, digest, size, refers in zip(*(c.to_pylist() for c in batch.columns)):
+            for no, member in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if shard is None or shard.shard != no:
                     if shard is not None:
                         shard.close()
                         yield _listed(shard.done)
                     shard = _Shard(store, folder, no, roll, level)
-                shard.add(page_record(page, url, html, digest, size, refers))
+                shard.add(member)
         if shard is not None:
             shard.close()
             yield _listed(shard.done)
@@ -203,12 +225,14 @@ def write_archive(pages: DataFrame, uri: str, shard_bytes: int = SHARD_BYTES, ro
         F.col("page_id").alias("p"), F.col("digest").alias("d"), F.expr(f"before div {shard_bytes}").alias("shard"),
         F.when((F.col("first") != F.col("page_id")) | F.col("page_id").isNull(), F.col("first")).alias("refers_to"))
     plan = plan.groupBy("p", "d").agg(F.min("shard").alias("shard"), F.first("refers_to").alias("refers_to"))  # repeated rows go together
-    rows = own.join(plan, F.col("page_id").eqNullSafe(F.col("p")) & (F.col("digest") == F.col("d")))
-    payload = F.when(F.col("refers_to").isNull(), F.col("html")).otherwise("").cast("binary")
-    rows = rows.select("shard", "page_id", "url", payload.alias("html"), "digest", "size", "refers_to")
+    members = own.select("page_id", "url", "digest", "size", F.col("html").cast("binary").alias("html")).mapInArrow(
+        _responses(level), "page_id long, url string, digest string, size long, member binary")  # compressed before they are dealt out
+    rows = members.join(plan, F.col("page_id").eqNullSafe(F.col("p")) & (F.col("digest") == F.col("d")))
+    rows = rows.select("shard", "page_id", "url", "digest", "size", "refers_to", F.when(F.col("refers_to").isNull(), F.col("member")).alias("member"))
+    rows = rows.mapInArrow(_revisits(level), "shard long, page_id long, digest string, url string, member binary")
     store, folder = fs.FileSystem.from_uri(uri)
     store.create_dir(folder, recursive=True)
-    written = rows.repartition("shard").sortWithinPartitions("shard", "page_id", "digest", "url").mapInArrow(
+    written = rows.repartition("shard").sortWithinPartitions("shard", "page_id", "digest", "url").select("shard", "member").mapInArrow(
         _write(uri, roll_bytes, level), "file string, shard long, records long, bytes long, sha256 string")
     written.write.mode("overwrite").parquet(f"{uri}/manifest")
     return spark.read.parquet(f"{uri}/manifest")
@@ -218,7 +242,8 @@ def read_archive(spark: SparkSession, uri: str, payloads: bool = True) -> DataFr
     """Pages of the files that the manifest names; digests and lengths are checked while reading."""
     manifest = spark.read.parquet(f"{uri}/manifest")
     ddl = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
-    return manifest.repartition("file").select("file").mapInArrow(_read(uri, payloads), ddl)
+    tasks = max(1, min(manifest.count(), MAX_READERS))
+    return manifest.select("file").repartition(tasks).mapInArrow(_read(uri, payloads), ddl)
 
 
 def as_uri(path: str) -> str:
