@@ -23,6 +23,9 @@ def main(argv: list[str] | None = None) -> None:
     t.add_argument("--source", required=True)
     t.add_argument("--output", required=True)
     t.add_argument("--partitions", type=int)
+    t.add_argument("--start", help="first month, YYYY-MM (default: all)")
+    t.add_argument("--end", help="last month, YYYY-MM (default: all)")
+    t.add_argument("--schema-cut", action="append", help="month from which column types changed (repeatable)")
     z = sub.add_parser("zones", help="zone polygons + lookup -> profiles, centroids, lookup")
     z.add_argument("--zones-csv", required=True)
     z.add_argument("--lookup-csv", required=True)
@@ -46,7 +49,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"routecov-{a.job}").getOrCreate()
     ensure_checkpoint_dir(spark)
     if a.job == "trips":
-        res = jobs.trip_etl(spark, a.source, a.output, partitions=a.partitions)
+        res = jobs.trip_etl(spark, a.source, a.output, partitions=a.partitions, start=a.start, end=a.end,
+                            cuts=tuple(a.schema_cut or jobs.SCHEMA_CUTS))
     elif a.job == "zones":
         res = jobs.zone_etl(spark, a.zones_csv, a.lookup_csv, a.profile_output, a.clean_output)
     elif a.job == "neighbors":

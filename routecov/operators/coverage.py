@@ -2,8 +2,8 @@
 
 The reference compares every path with every other path on the driver
 (n·(n-1) tests, one thread).  A contained child must have its first and last
-zone, in order, inside the parent; so each parent emits its ordered end-point
-pairs (P[i], P[j]), i <= j, and joins the children on (first, last): an
+zone, in order, inside the parent; so each parent emits its distinct ordered
+end-point pairs (P[i], P[j]), i <= j, and joins the children on (first, last): an
 equi-join whose output is only the candidate pairs that can match, checked
 exactly by the subsequence (or contiguous) test.  Cost is Σ|P|² rows instead
 of n² pairs, with no cross join.  The child table (one row per distinct
@@ -29,27 +29,25 @@ def unique_paths(path_freq: DataFrame) -> DataFrame:
 
 
 def endpoint_pairs(parents: DataFrame) -> DataFrame:
-    """(parent, first, last) for every ordered element pair i <= j of parent.
+    """(parent, first, last) for every ordered element pair i <= j of parent, each once.
 
-    The pairs of one parent are generated and de-duplicated inside its row
-    (``array_distinct``), so this side needs no shuffle."""
-    p = F.col("parent")
-    n = F.size(p)
-    pairs = F.array_distinct(F.flatten(F.transform(
-        F.sequence(F.lit(0), n - 1),
-        lambda i: F.transform(F.slice(p, i + 1, n - i),
-                              lambda x: F.struct(F.get(p, i).alias("first"), x.alias("last"))))))
-    return (parents.where(n > 0).select("parent", F.explode(pairs).alias("_e"))
-            .select("parent", "_e.first", "_e.last"))
+    One explode takes the distinct first zones, one the distinct zones from a
+    first zone's first place on: rows stream out without a list of all pairs
+    in memory and without a shuffle."""
+    firsts = parents.where(F.size("parent") > 0).select("parent", F.explode(F.array_distinct("parent")).alias("first"))
+    rest = F.expr("slice(parent, cast(array_position(parent, first) as int), size(parent))")
+    return firsts.select("parent", "first", F.explode(F.array_distinct(rest)).alias("last"))
 
 
-def contained_pairs(path_freq: DataFrame, containment: str = SUBSEQUENCE) -> DataFrame:
+def contained_pairs(path_freq: DataFrame, containment: str = SUBSEQUENCE, parents: DataFrame | None = None) -> DataFrame:
     """(parent, child, frequency) for each child path contained in parent,
-    the parent itself included; ``frequency`` is the child's."""
+    the parent itself included; ``frequency`` is the child's.  ``parents``
+    (trip_path, distinct) restricts the parents before their pairs are made."""
     if containment not in (SUBSEQUENCE, CONTIGUOUS):
         raise ValueError(f"containment must be {SUBSEQUENCE!r} or {CONTIGUOUS!r}")
     paths = unique_paths(path_freq)
-    keys = endpoint_pairs(paths.select(F.col("trip_path").alias("parent")))
+    wanted = paths if parents is None else paths.join(parents.select("trip_path"), "trip_path", "left_semi")
+    keys = endpoint_pairs(wanted.select(F.col("trip_path").alias("parent")))
     children = paths.select(F.col("trip_path").alias("child"), "frequency",
                             F.col("trip_path")[0].alias("c_first"),
                             F.element_at("trip_path", -1).alias("c_last"))
@@ -85,13 +83,13 @@ def sub_path_frequency(path_freq: DataFrame, min_len: int = 2) -> DataFrame:
     """Every contiguous sub-path (length >= min_len) of every path with the
     summed frequency of the paths that contain it."""
     paths = unique_paths(path_freq)
-    starts = paths.select("trip_path", "frequency",
-                          F.posexplode("trip_path").alias("i", "_z"))
+    starts = paths.select("trip_path", "frequency", F.posexplode("trip_path").alias("i", "_z"))
     subs = starts.select(
-        "trip_path", "frequency",
+        "trip_path", "frequency", "i",
         F.explode(F.transform(
             F.sequence(F.lit(min_len), F.greatest(F.size("trip_path") - F.col("i"), F.lit(min_len))),
             lambda n: F.slice("trip_path", F.col("i") + 1, n))).alias("sub_path"))
-    # a sub-path counts once per containing path even if it occurs twice in it
-    return (subs.where(F.size("sub_path") >= min_len).distinct()
+    # a sub-path counts once per containing path: only where it first occurs in it
+    earlier = F.expr("exists(sequence(0, i), j -> j < i and slice(trip_path, j + 1, size(sub_path)) = sub_path)")
+    return (subs.where((F.size("sub_path") >= min_len) & ~earlier)
             .groupBy("sub_path").agg(F.sum("frequency").cast("bigint").alias("frequency")))

@@ -70,10 +70,8 @@ def overall_coverage(chosen: DataFrame, path_freq: DataFrame,
                      containment: str = SUBSEQUENCE) -> DataFrame:
     """One row: trips whose path lies inside at least one chosen route,
     all trips, and the percentage."""
-    pairs = contained_pairs(path_freq, containment)
-    chosen_paths = chosen.select(F.col("trip_path").alias("parent")).distinct()
-    covered = (pairs.join(chosen_paths, "parent", "left_semi")
-               .select("child", "frequency").distinct())
+    pairs = contained_pairs(path_freq, containment, chosen.select("trip_path").distinct())
+    covered = pairs.select("child", "frequency").distinct()
     covered_trips = covered.select(F.coalesce(F.sum("frequency"), F.lit(0)).cast("bigint")).scalar()
     total = unique_paths(path_freq).select(F.coalesce(F.sum("frequency"), F.lit(0)).cast("bigint")).scalar()
     return (path_freq.sparkSession.range(1)

@@ -80,11 +80,8 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "sour
     if stats["min_w"] is not None and stats["min_w"] < 0:
         raise ValueError("shortest_paths needs non-negative edge weights")
     if stats["n"] <= BROADCAST_MAX_ROWS:
-        e = F.broadcast(e)
-    else:
-        # too large to broadcast: keep the edges hash-partitioned by src in the
-        # checkpoint, so each round shuffles only the frontier, not the graph
-        e = cut_lineage(e.repartition("src"))
+        e = F.broadcast(e)  # three longs a row
+    # beyond that bound each step joins frontier and edges by a shuffle of both
 
     seed = (sources.select(F.col(source_col).cast("bigint").alias("source"))
             .where(F.col("source").isNotNull()).distinct())
@@ -113,18 +110,24 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "sour
 
 
 def path_frequency(freq: DataFrame, edges: DataFrame) -> DataFrame:
-    """Trip frequency per pair -> (trip_path, frequency).
+    """Trip frequency per pair -> (trip_path, frequency), see ``path_frequency_and_rest``."""
+    return path_frequency_and_rest(freq, edges)[0]
+
+
+def path_frequency_and_rest(freq: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Trip frequency per pair -> (trip_path, frequency), and the pairs without a path.
 
     Same-zone pairs are skipped; shortest paths run once per distinct pick-up
-    zone (not once per pair); pairs without a path are dropped (see
-    ``unreachable_pairs``).  The pair table (at most zones² rows) is
+    zone (not once per pair); pairs without a path (pu_location_id,
+    do_location_id, frequency) come apart, so their trips can be counted.  The pair table (at most zones² rows) is
     materialised once, so the trip aggregation is not recomputed for the
     final join."""
     pairs = cut_lineage(freq.where(F.col("pu_location_id") != F.col("do_location_id"))
                         .select("pu_location_id", "do_location_id", "frequency"))
     sp = shortest_paths(edges, pairs.select(F.col("pu_location_id").alias("source")))
-    return (pairs.join(sp, (pairs.pu_location_id == sp.source) & (pairs.do_location_id == sp.node))
-            .select(F.col("path").alias("trip_path"), F.col("frequency").cast("bigint").alias("frequency")))
+    found = (pairs.join(sp, (pairs.pu_location_id == sp.source) & (pairs.do_location_id == sp.node))
+             .select(F.col("path").alias("trip_path"), F.col("frequency").cast("bigint").alias("frequency")))
+    return found, unreachable_pairs(pairs, sp)
 
 
 def unreachable_pairs(freq: DataFrame, paths: DataFrame) -> DataFrame:

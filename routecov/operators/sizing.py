@@ -2,20 +2,26 @@
 
 Zone lists, centroids and lookups are bounded by the number of zones, but
 Catalyst cannot see that through explodes and joins and would shuffle the
-large side.  ``broadcast_if_small`` proves the row bound with one cheap,
-early-stopping job (``is_small``) and only then adds the broadcast hint;
-beyond the bound the join is left to the planner (shuffle join, AQE may
-still convert).
+large side.  ``broadcast_if_small`` proves a row bound with one early-stopping
+job and, where a row can be wide, a byte bound; only then it writes the side
+to the checkpoint folder and adds the broadcast hint.  Beyond either bound the
+join is left to the planner (shuffle join; AQE may still convert).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows of a dimension side that may be broadcast (a few bigint/double
-# columns: well under the 8 GB broadcast limit and executor memory).
+from routecov.session import cut_lineage
+
+# A side that may be broadcast: rows, and bytes where rows have no fixed width
+# (far under the 8 GB broadcast limit and the driver's result size).
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 64 << 20
+
+_VARIABLE = (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
@@ -28,16 +34,22 @@ def is_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     return df.offset(max_rows).isEmpty()
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint on ``df`` once it is proven to hold at most ``max_rows``.
+def text_bytes(df: DataFrame) -> int:
+    """Bytes of all rows written as JSON: above their size as a relation."""
+    wide = [f.name for f in df.schema.fields if isinstance(f.dataType, _VARIABLE)]
+    if not wide:
+        return 0
+    return df.agg(F.sum(F.octet_length(F.to_json(F.struct(*[f"`{c}`" for c in wide]))).cast("bigint"))).first()[0] or 0
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast hint on ``df`` once it is proven to hold at most ``max_rows``
+    rows and, of texts, lists and structs, at most ``max_bytes``.
 
-    The side is cached while it is being proven: a small side is then
-    broadcast from the cache instead of re-running its plan (often a chain
-    of small joins); a side that is not small is released right away.  A
-    kept cache holds at most ``max_rows`` rows of a dimension-sized table;
-    long-lived sessions can drop them with ``spark.catalog.clearCache()``."""
-    cached = df.persist()
-    if is_small(cached, max_rows):
-        return F.broadcast(cached)
-    cached.unpersist()
-    return df
+    A side of few rows is written once to the checkpoint folder, so the size
+    that was proven is the size that is sent, each call sees the data of its
+    own time, and nothing stays cached.  A larger side comes back as it was."""
+    if not is_small(df, max_rows):
+        return df
+    kept = cut_lineage(df)
+    return F.broadcast(kept) if text_bytes(kept) <= max_bytes else kept

@@ -127,7 +127,8 @@ def shared_point_neighbours(zones: DataFrame, min_shared: int = 2, hot_degree: i
     hs = broadcast_if_small(hot_sets)
     ha = hs.select(F.col("location_id").alias("a"), F.col("_h").alias("_ha"))
     hb = hs.select(F.col("location_id").alias("b"), F.col("_h").alias("_hb"))
-    shared_hot = F.coalesce(F.size(F.array_intersect("_ha", "_hb")), F.lit(0))
+    both_hot = F.col("_ha").isNotNull() & F.col("_hb").isNotNull()  # size(NULL) is -1 without ANSI
+    shared_hot = F.when(both_hot, F.size(F.array_intersect("_ha", "_hb"))).otherwise(0)
     from_normal = (via_normal.join(ha, "a", "left").join(hb, "b", "left")
                    .where(F.col("_n") + shared_hot >= min_shared).select("a", "b"))
 

@@ -22,25 +22,48 @@ from routecov.sinks import writers as wr
 from routecov.sources import readers as rd
 
 
-def default_trip_groups(base: str, provider: str) -> list[list[str]]:
-    """The reference's two schema groups per provider: months up to 2023-01
-    and months from 2023-02 on (column types changed between them)."""
-    return [[f"{base}/{provider}/202[0-2]/*/*", f"{base}/{provider}/2023/01/*"],
-            [f"{base}/{provider}/2023/0[2-9]/*"]]
+# Months from which a provider's column types changed: files of one schema are read together.
+SCHEMA_CUTS = ("2023-02",)
+
+
+def trip_groups(spark: SparkSession, base: str, provider: str, start: str | None = None, end: str | None = None,
+                cuts: tuple[str, ...] = SCHEMA_CUTS) -> tuple[list[list[str]], list[str]]:
+    """Month folders ``base/provider/YYYY/MM`` that exist, in groups of one
+    schema (a new group from each month of ``cuts``), and the folders outside
+    ``start`` ... ``end`` (inclusive, open if None)."""
+    groups: dict[int, list[str]] = {}
+    left_out = []
+    for month, path in rd.existing_months(spark, base, provider):
+        if (start and month < start) or (end and month > end):
+            left_out.append(path)
+        else:
+            groups.setdefault(sum(month >= c for c in cuts), []).append(path)
+    return [groups[g] for g in sorted(groups)], left_out
 
 
 def trip_etl(spark: SparkSession, source: str, output: str,
              providers: tuple[str, ...] = tuple(schemas.PROVIDER_COLUMNS),
-             groups: dict[str, list[list[str]]] | None = None,
-             partitions: int | None = None) -> dict:
-    """Raw provider files -> one clean trip table (K4) + write-back check (K8)."""
-    groups = groups or {p: default_trip_groups(source, p) for p in providers}
-    frames = [cl.unify_provider(spark.read.parquet(*paths), p)
-              for p in providers for paths in groups[p]]
-    clean = cl.union_all(frames)
+             groups: dict[str, list[list[str]]] | None = None, partitions: int | None = None,
+             start: str | None = None, end: str | None = None, cuts: tuple[str, ...] = SCHEMA_CUTS) -> dict:
+    """Raw provider files -> one clean trip table (K4) + write-back check (K8).
+
+    Every month folder found is read unless ``start`` / ``end`` exclude it; the
+    result names the folders left out, and ``raw_count`` counts the rows of
+    all folders in range by themselves, apart from the groups."""
+    frames, left_out, chosen = [], [], []
+    for p in providers:
+        own, out = ((groups or {}).get(p, []), []) if groups else trip_groups(spark, source, p, start, end, cuts)
+        left_out += out
+        for paths in own:
+            chosen += paths
+            frames.append(cl.unify_provider(spark.read.parquet(*paths), p))
+    if not frames:
+        raise ValueError(f"no month folders of {', '.join(providers)} under {source}")
+    clean, seen = wr.observed(cl.union_all(frames))
     wr.write_clean_trips(clean, output, partitions=partitions)
-    check = wr.verify_roundtrip(spark, clean, output).collect()[0]
-    return check.asDict()
+    check = wr.verify_written(spark, seen.get["rows"], output)
+    raw = sum(spark.read.parquet(path).count() for path in chosen)  # footers only
+    return {**check, "raw_count": raw, "folders_read": len(chosen), "folders_left_out": left_out}
 
 
 def zone_etl(spark: SparkSession, zones_csv: str, lookup_csv: str, profile_out: str,
@@ -70,6 +93,8 @@ def neighbor_etl(spark: SparkSession, centroid_dir: str, neighbors_csv: str, iso
         "location_id bigint, avg_lat double, avg_lon double, borough string").csv(centroid_dir)
     pairs = rd.read_csv(spark, neighbors_csv, schema="location_id bigint, neighbor_location_id bigint")
     dist = gr.neighbor_distance(pairs, centroids)
+    missing = gr.missing_centroids(pairs, centroids)
+    missing.select("zone").write.mode("overwrite").option("header", True).csv(f"{output}/zones_without_centroid")
     borough = centroids.select("location_id", "borough")
     (dist.join(borough, "location_id").write.mode("overwrite").partitionBy("borough")
      .option("header", True).csv(f"{output}/location_neighbors_distance"))
@@ -81,7 +106,7 @@ def neighbor_etl(spark: SparkSession, centroid_dir: str, neighbors_csv: str, iso
                         ["borough"], empty_value="")
     wr.write_sorted_tsv(zn.borough_zone_lists(lookup.join(iso, "location_id", "left_semi"), lookup),
                         f"{output}/borough_isolated_locations", ["borough"], empty_value="")
-    return {"edges": dist.count()}
+    return {"edges": dist.count(), "zones_without_centroid": missing.count()}
 
 
 def recommendation(spark: SparkSession, trips_path: str, distance_dir: str, lookup_dir: str,
@@ -108,15 +133,17 @@ def recommendation(spark: SparkSession, trips_path: str, distance_dir: str, look
     wr.write_sorted_csv(fq.to_zone_distribution(report.trip_frequency),
                         f"{prof}/cross_location_to_trip_count_dist", [F.desc("frequency")])
     by_len = F.desc(F.size(F.split("trip_path", ",")))
-    wr.write_sorted_tsv(report.path_frequency.select("frequency", path_text("trip_path").alias("trip_path")),
+    wr.write_sorted_parts(report.unreachable, f"{output}/unreachable_pairs", [F.desc("frequency"), F.asc("pu_location_id"), F.asc("do_location_id")])
+    wr.write_sorted_parts(report.path_frequency.select("frequency", path_text("trip_path").alias("trip_path")),
                         f"{output}/trip_paths_frequency", [F.desc("frequency"), by_len, F.asc("trip_path")])
-    wr.write_sorted_tsv(report.coverage.select("coverage_count", path_text("trip_path").alias("trip_path")),
+    wr.write_sorted_parts(report.coverage.select("coverage_count", path_text("trip_path").alias("trip_path")),
                         f"{output}/trip_paths_coverage_count", [F.desc("coverage_count"), by_len, F.asc("trip_path")])
     wr.write_sorted_tsv(report.routes.select("coverage_count", "route"), f"{output}/hr_routes_coverage_count",
                         [F.desc("coverage_count"), F.asc("route")])
     wr.write_sorted_tsv(report.route_percentage.select("coverage_percentage", "route"),
                         f"{output}/hr_routes_coverage_percentage", [F.desc("coverage_percentage"), F.asc("route")])
-    out = {"pairs": report.trip_frequency.count(), "paths": report.path_frequency.count(),
-           "routes": report.routes.count()}
-    report.release()
-    return out
+    lost = report.unreachable.agg(F.count("*").alias("pairs"), F.coalesce(F.sum("frequency"), F.lit(0)).alias("trips")).first()
+    check = gr.graph_check(edges, zones.join(isolated.select(F.col("location_id").cast("bigint").alias("location_id")), "location_id", "left_anti"))
+    return {"pairs": report.trip_frequency.count(), "paths": report.path_frequency.count(),
+            "routes": report.routes.count(), "unreachable_pairs": lost["pairs"], "unreachable_trips": lost["trips"],
+            **{f"graph_{k}": v for k, v in check.first().asDict().items()}}

@@ -531,3 +531,5 @@ pts AS (SELECT id, x + d.dx AS px, y + d.dy AS py FROM cell, (VALUES (0, 0), (1,
 SELECT a.id AS location_id, b.id AS neighbor_location_id
 FROM pts a JOIN pts b ON a.px = b.px AND a.py = b.py AND a.id <> b.id
 GROUP BY a.id, b.id HAVING count(*) >= 2"""
+
+SQL["g6_shared_point_neighbours_default"] = SQL["g6_shared_point_neighbours"]

@@ -3,17 +3,16 @@
 trips --A1--> pair frequency --N10--> path frequency --A9--> coverage
       --T3/J2--> top-k readable routes --R2--> coverage percentage
 
-Materialised (checkpointed) are only small, bounded tables: the pair table,
-the edge table, each shortest-path round and the top-k; the pair frequency
-is persisted because several consumers read it (``RouteReport.release``
-drops it).  Nothing is collected to the driver.
+Materialised (checkpointed) are only tables bounded by the zones: the pair
+frequency, the edge table, each shortest-path round, the path frequency, the
+coverage and the top-k.  Pairs without a path are kept apart
+(``RouteReport.unreachable``).  Nothing is collected to the driver.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +21,7 @@ from routecov.operators import frequency as fq
 from routecov.operators import graph as gr
 from routecov.operators import recommend as rec
 from routecov.operators import shortest_path as sp
+from routecov.session import cut_lineage
 
 # The reference's top-k settings (k routes, at least m stops).
 DEFAULT_K = 10000
@@ -36,9 +36,7 @@ class RouteReport:
     routes: DataFrame
     route_percentage: DataFrame
 
-    def release(self) -> None:
-        """Drop the cached pair frequency once the outputs are written."""
-        self.trip_frequency.unpersist()
+    unreachable: DataFrame
 
 
 def recommend_routes(trips: DataFrame, edges: DataFrame, lookup: DataFrame,
@@ -49,9 +47,10 @@ def recommend_routes(trips: DataFrame, edges: DataFrame, lookup: DataFrame,
     reference asserts the two are the same set)."""
     if zones is None:
         zones = gr.nodes(edges).select(F.col("node").alias("location_id"))
-    freq = fq.trip_frequency(trips, zones=zones, isolated=isolated).persist(StorageLevel.MEMORY_AND_DISK)
-    paths = sp.path_frequency(freq, edges)
-    coverage = cov.coverage_count(paths, containment)
+    freq = cut_lineage(fq.trip_frequency(trips, zones=zones, isolated=isolated))
+    paths, unreachable = sp.path_frequency_and_rest(freq, edges)
+    paths = cut_lineage(paths)
+    coverage = cut_lineage(cov.coverage_count(paths, containment))
     routes = rec.top_k_routes(coverage, lookup, k, m, short_names)
     pct = rec.coverage_percentage(routes, paths)
-    return RouteReport(freq, paths, coverage, routes, pct)
+    return RouteReport(freq, paths, coverage, routes, pct, unreachable)

@@ -191,6 +191,12 @@ def g6_shared_point_neighbours(spark, sf):
     return zn.shared_point_neighbours(zones, min_shared=2, hot_degree=3)
 
 
+@query("g6_shared_point_neighbours_default")
+def g6_shared_point_neighbours_default(spark, sf):
+    """The same with the default bound of a crowded point."""
+    return zn.shared_point_neighbours(zn.parse_zones(td.grid_zone_polygons(spark, sf)))
+
+
 @query("g1_rejected_zones")
 def g1_rejected_zones(spark, sf):
     return zn.rejected_zones(td.raw_zone_polygons(spark, sf)).select("LocationID", "borough")
@@ -470,7 +476,7 @@ def s5_read_tagged(spark, sf):
 @query("s6_reload_clean_trips")
 def s6_reload_clean_trips(spark, sf):
     path = scratch_path(spark, "clean_trips")
-    wr.write_clean_trips(td.trips(spark, sf).select(*schemas.TRIP.fieldNames()), path, partitions=8)
+    wr.write_clean_trips(td.trips(spark, sf).select(*schemas.TRIP.fieldNames()), path)
     return rd.read_clean_trips(spark, path)
 
 
@@ -525,7 +531,7 @@ def k6_partitioned_provider_year(spark, sf):
     t = (_unified(spark, sf).select(F.col("tlc_type").alias("cab"), F.year("pu_datetime").alias("year"),
                                     F.col("pu_location_id").alias("pulocationID"),
                                     F.col("do_location_id").alias("dolocationID")))
-    wr.write_partitioned(t, path, ["cab", "year"], partitions=16)
+    wr.write_partitioned(t, path, ["cab", "year"])
     return spark.read.parquet(path)
 
 
@@ -540,8 +546,10 @@ def k7_borough_fanout(spark, sf):
 def k8_verify_roundtrip(spark, sf):
     path = scratch_path(spark, "taxi_trips_check")
     t = td.trips(spark, sf)
-    wr.write_clean_trips(t, path, partitions=8)
-    return wr.verify_roundtrip(spark, t, path)
+    t, seen = wr.observed(t)
+    wr.write_clean_trips(t, path)
+    check = wr.verify_written(spark, seen.get["rows"], path)
+    return spark.createDataFrame([tuple(check.values())], "source_count bigint, written_count bigint, counts_match boolean")
 
 
 # --- variants, scalar functions, streaming ---------------------------------
@@ -588,7 +596,7 @@ def st_streaming_trip_frequency(spark, sf):
     from routecov.streaming.incremental import run_to_table, trip_frequency_stream
     src = scratch_path(spark, "fhv_drops")
     raw = _fhv_raw(spark, sf)
-    raw.repartition(4, F.date_format("pickup_datetime", "yyyy")).write.mode("overwrite").parquet(src)
+    raw.repartition(F.date_format("pickup_datetime", "yyyy")).write.mode("overwrite").parquet(src)
     out, ck = scratch_path(spark, "stream_out"), scratch_path(spark, "stream_ckpt")
     q = run_to_table(trip_frequency_stream(spark, src, raw.schema, "fhv", max_files_per_trigger=1), out, ck)
     q.awaitTermination()

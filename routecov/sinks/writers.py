@@ -8,7 +8,7 @@ will use, or laid out in ``key=value`` folders for partition pruning.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 # Output partition counts of the clean-trip table.
@@ -27,56 +27,55 @@ def write_sorted_csv(df: DataFrame, path: str, order: list, sep: str = ",",
     w.csv(path)
 
 
-def write_sorted_tsv(df: DataFrame, path: str, order: list, **kw) -> None:
-    """K2: TSV variant."""
-    write_sorted_csv(df, path, order, sep="\t", **kw)
+def write_sorted_parts(df: DataFrame, path: str, order: list, sep: str = "\t", header: bool = True) -> None:
+    """Sorted part files for results that are too large for one task: a range
+    sort, so reading the parts by name gives the whole order."""
+    df.orderBy(*order).write.mode("overwrite").option("header", header).option("sep", sep).csv(path)
+
 
+def observed(df: DataFrame, name: str = "source") -> tuple[DataFrame, Observation]:
+    """``df`` with a row count that is taken while it is written (K8)."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 
-# Salt buckets per key when an explicit partition count is requested: a hot
-# key (one zone pair or provider/year holding a third of all rows) is spread
-# over this many tasks and files.
-DEFAULT_SALT_BUCKETS = 8
 
+def verify_written(spark: SparkSession, source_rows: int, path: str, fmt: str = "parquet", **options) -> dict:
+    """K8 for a write under ``observed``: the source is not read again."""
+    written = spark.read.format(fmt).options(**options).load(path).count()
+    return {"source_count": source_rows, "written_count": written, "counts_match": source_rows == written}
 
-def _salt(df: DataFrame, buckets: int):
-    """Round-robin salt within each input task (row position mod buckets):
-    identical duplicate rows are spread too, which a row hash would not do.
-    For a given input split the positions are the same on a retry."""
-    return F.pmod(F.monotonically_increasing_id(), F.lit(buckets))
 
+def write_sorted_tsv(df: DataFrame, path: str, order: list, **kw) -> None:
+    """K2: TSV variant."""
+    write_sorted_csv(df, path, order, sep="\t", **kw)
 
-def _cluster(df: DataFrame, keys: list[str], partitions: int | None, salt_buckets: int) -> DataFrame:
-    """Cluster rows by ``keys`` before a write.
 
-    Default: the REBALANCE hint -- AQE sizes the output partitions from the
-    data (``spark.sql.adaptive.advisoryPartitionSizeInBytes``) and splits a
-    skewed key over several tasks, so file sizes follow the data volume
-    instead of a fixed count.  With ``partitions`` (e.g. 100, the reference's
-    layout) it is a hash repartition on the keys plus a salt."""
-    if partitions is None:
-        return df.hint("rebalance", *keys)
-    return df.repartition(partitions, *keys, _salt(df, salt_buckets))
+def _cluster(df: DataFrame, keys: list[str], partitions: int | None) -> DataFrame:
+    """Cluster rows by ``keys`` before a write by the REBALANCE hint: AQE sizes
+    the output partitions from the data and splits a hot key over several tasks
+    by map output, so a task that runs again gets the same rows.  ``partitions``
+    sets the number of partitions that it starts from (e.g. 100)."""
+    return df.hint("rebalance", *keys) if partitions is None else df.hint("rebalance", partitions, *keys)
 
 
 def write_clean_trips(df: DataFrame, path: str, by_provider: bool = False,
-                      partitions: int | None = None, salt_buckets: int = DEFAULT_SALT_BUCKETS) -> None:
+                      partitions: int | None = None) -> None:
     """K4/K5: clean trips clustered on (pu, do) (plus tlc_type folders with
     ``by_provider``).  ``partitions=DEFAULT_TOTAL_PARTITIONS`` (or
-    ``DEFAULT_PER_PROVIDER_PARTITIONS`` by provider) reproduces the
-    reference's fixed file counts."""
+    ``DEFAULT_PER_PROVIDER_PARTITIONS`` by provider) starts from the
+    reference's file counts."""
     keys = (["tlc_type"] if by_provider else []) + ["pu_location_id", "do_location_id"]
-    out = _cluster(df, keys, partitions, salt_buckets).write.mode("overwrite")
+    out = _cluster(df, keys, partitions).write.mode("overwrite")
     if by_provider:
         out = out.partitionBy("tlc_type")
     out.parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, keys: list[str], partitions: int | None = None,
-                      salt_buckets: int = DEFAULT_SALT_BUCKETS) -> None:
+def write_partitioned(df: DataFrame, path: str, keys: list[str], partitions: int | None = None) -> None:
     """K6/K7: one job writing a ``key=value`` folder per key combination
     (provider/year, borough) instead of a loop of filtered writes; rows are
     clustered by the keys first so each task writes few folders."""
-    _cluster(df, keys, partitions, salt_buckets).write.mode("overwrite").partitionBy(*keys).parquet(path)
+    _cluster(df, keys, partitions).write.mode("overwrite").partitionBy(*keys).parquet(path)
 
 
 def verify_roundtrip(spark: SparkSession, df: DataFrame, path: str, fmt: str = "parquet",

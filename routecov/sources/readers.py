@@ -38,6 +38,17 @@ def month_paths(base: str, provider: str, start: str, end: str) -> list[str]:
     return out
 
 
+def existing_months(spark: SparkSession, base: str, provider: str) -> list[tuple[str, str]]:
+    """(``'YYYY-MM'``, folder) of every ``base/provider/YYYY/MM`` folder, by month.
+
+    Listed through Hadoop's file system, so any store that Spark reads will do."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{base}/{provider}/[0-9][0-9][0-9][0-9]/[0-9][0-9]")
+    found = pattern.getFileSystem(conf).globStatus(pattern) or []
+    paths = [f.getPath().toString() for f in found if f.isDirectory()]
+    return sorted(("-".join(p.rstrip("/").split("/")[-2:]), p) for p in paths)
+
+
 def read_months(spark: SparkSession, base: str, provider: str, start: str, end: str,
                 schema: StructType | None = None, layout: str = "hive") -> DataFrame:
     """A month range of one provider as one scan.

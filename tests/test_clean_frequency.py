@@ -138,3 +138,25 @@ def test_green_service_area_rule_with_seed_lists(spark):
     # 4 and 103 are Manhattan zones outside the green-taxi area; 7 and 8 are not Manhattan
     assert rows(pf.service_area_violations(trips, areas, allowed)) == [(4,), (103,)]
     assert pf.excluded_areas(areas, allowed).where("location_id = 103").count() == 3  # listed three times
+
+
+def test_broadcast_side_is_read_anew_and_bounded_in_bytes(spark):
+    import tempfile
+
+    from routecov.operators import sizing
+    path = tempfile.mkdtemp(prefix="routecov-zones-") + "/z"
+    for ids in ([1, 2], [2, 3]):
+        spark.createDataFrame([(i,) for i in ids], "id long").write.mode("overwrite").parquet(path)
+        side = sizing.broadcast_if_small(spark.read.parquet(path))
+        assert sorted(r.id for r in spark.range(5).join(side, "id").collect()) == ids
+    wide = spark.range(100).withColumn("t", F.repeat(F.lit("x"), 1000))
+    assert sizing.text_bytes(wide) > 100_000
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = spark.range(1000).join(sizing.broadcast_if_small(wide, max_bytes=50_000), "id")._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0

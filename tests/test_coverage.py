@@ -130,3 +130,13 @@ def test_coverage_matches_brute_force(spark, seed, mode):
     want = _brute_coverage(table, contiguous=(mode == "contiguous"))
     assert got == want
     assert all(got[k] >= dict(data).get(k, 0) for k in got)
+
+
+def test_endpoint_pairs_of_a_long_path(spark):
+    import time
+    df = spark.createDataFrame([(list(range(1000)),), ([1, 2, 1, 3],)], "parent array<long>")
+    t = time.time()
+    got = cov.endpoint_pairs(df)
+    assert got.where("size(parent) = 1000").count() == 500_500 and time.time() - t < 60
+    assert sorted((r["first"], r["last"]) for r in got.where("size(parent) = 4").collect()) == [
+        (1, 1), (1, 2), (1, 3), (2, 1), (2, 2), (2, 3), (3, 3)]

@@ -104,3 +104,16 @@ def test_shared_point_neighbours_star_point(spark):
     assert len(want) == 20
     for hot_degree in (64, 2):
         assert rows(zn.shared_point_neighbours(z, hot_degree=hot_degree)) == want
+
+
+def test_shared_point_neighbours_without_ansi(spark):
+    from routecov.sources import testdata as td
+    from conftest import SF001
+    zones = zn.parse_zones(td.grid_zone_polygons(spark, SF001))
+    want = sorted(tuple(r) for r in zn.shared_point_neighbours(zones, hot_degree=3).collect())
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert want and sorted(tuple(r) for r in zn.shared_point_neighbours(zones).collect()) == want
+        assert sorted(tuple(r) for r in zn.shared_point_neighbours(zones, hot_degree=3).collect()) == want
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")

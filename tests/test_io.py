@@ -78,17 +78,13 @@ def test_hot_key_is_spread_over_several_files(spark):
                                    F.lit(None).cast("timestamp").alias("do_datetime"),
                                    F.lit(1).cast("bigint").alias("pu_location_id"),
                                    (F.col("id") % 2 + 2).alias("do_location_id"))
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        wr.write_clean_trips(hot, d + "/salted", partitions=16, salt_buckets=4)
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2k")
     try:
         wr.write_clean_trips(hot, d + "/rebalanced")
+        wr.write_clean_trips(hot, d + "/counted", partitions=16)
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    for sub in ("salted", "rebalanced"):
+    for sub in ("counted", "rebalanced"):
         back = spark.read.parquet(d + "/" + sub)
         assert back.count() == 200000
         files = back.where("do_location_id = 2").select("_metadata.file_path").distinct().count()

@@ -41,3 +41,29 @@ def test_jobs_end_to_end(spark):
     assert out["pairs"] > 0 and out["paths"] > 0 and 0 < out["routes"] <= 5
     lines = open(glob.glob(f"{base}/out/hr_routes_coverage_percentage/part-*")[0]).read().splitlines()
     assert lines[0] == "coverage_percentage\troute" and len(lines) == out["routes"] + 1
+
+
+def test_trip_etl_reads_every_month_folder(spark):
+    base = tempfile.mkdtemp(prefix="routecov-months-")
+    m = td.metered_trips(spark, SF001).drop("file_path")
+    for i, month in enumerate(("2019/12", "2020/10", "2023/01", "2023/05", "2023/11", "2024/01")):
+        part = m.limit(10 + i)
+        if month >= "2023/02":
+            part = part.withColumn("PULocationID", F.col("PULocationID").cast("string"))
+        part.write.parquet(f"{base}/raw/yellow/{month}")
+    res = jobs.trip_etl(spark, f"{base}/raw", f"{base}/all", providers=("yellow",))
+    assert res["raw_count"] == res["written_count"] == res["source_count"] == 75 and res["counts_match"]
+    assert res["folders_read"] == 6 and res["folders_left_out"] == []
+    res = jobs.trip_etl(spark, f"{base}/raw", f"{base}/some", providers=("yellow",), start="2020-01", end="2023-12")
+    assert res["written_count"] == 50 and [p[-7:] for p in res["folders_left_out"]] == ["2019/12", "2024/01"]
+
+
+def test_neighbour_job_reports_zones_without_centroid(spark):
+    base = tempfile.mkdtemp(prefix="routecov-lost-")
+    spark.createDataFrame([(1, 1.0, 2.0, "A"), (2, 1.5, 2.0, "A")], "location_id long, avg_lat double, avg_lon double, borough string").write.option(
+        "header", True).csv(f"{base}/centroids")
+    spark.createDataFrame([(1, 2), (2, 3)], "location_id long, neighbor_location_id long").write.option("header", True).csv(f"{base}/pairs")
+    spark.createDataFrame([(1, "x", "A"), (2, "y", "A")], "location_id long, zone string, borough string").write.option("header", True).csv(f"{base}/lookup")
+    iso = spark.createDataFrame([], "location_id long")
+    res = jobs.neighbor_etl(spark, f"{base}/centroids", f"{base}/pairs", iso, f"{base}/lookup", f"{base}/out")
+    assert res == {"edges": 1, "zones_without_centroid": 1}

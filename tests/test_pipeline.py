@@ -31,7 +31,7 @@ def test_pipeline_golden(spark):
     # paths 1,2,3,4 (2) ⊇ 2,3,4 (1) and 1,2 (1); total path trips = 4
     assert got == [("Penn Station,Flatiron,Gramercy,Kips Bay", 4, 100.0), ("Flatiron,Gramercy,Kips Bay", 1, 25.0)]
     assert sorted(r[0] for r in rep.coverage.select(path_text("trip_path")).collect()) == ["1,2", "1,2,3,4", "2,3,4"]
-    rep.release()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
 
 
 def test_pipeline_on_empty_trips(spark):
