@@ -5,9 +5,9 @@ last return the columns of ``docs``.  ``run`` writes every stage's result as
 Parquet to the shared folder and reads it again for the next stage.
 
 Defined results: a null or empty text, or one without a letter, has no
-language and goes in the first stage; repeated rows of a document lose their
-repeated lines, and rows left without a line go; rows with a null doc_id are
-never merged with others; tables without rows give no rows; further columns
+language and goes in the first stage; repeated rows of a document keep their
+lines alike, and one of them stays in the near-duplicate stage; documents left
+without a line go; rows with a null doc_id are never merged with others; tables without rows give no rows; further columns
 are carried along whatever their names.
 """
 

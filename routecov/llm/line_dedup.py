@@ -169,13 +169,17 @@ def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
     return both.where(f"abs(length(la) - length(lb)) <= {edits}").where(close("la", "lb", edits)).select("a", "b")
 
 
+#: What tells documents apart and orders them: id, then hashes of the text.
+_DOC = ("doc_id", "t1", "t2")
+
+
 def repeated_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """Numbers (from 0) of the lines to drop: row, doc_id, dropped (array), for rows of ``docs`` (row, doc_id, text) with any."""
+    """Numbers (from 0) of the lines to drop, for documents (doc_id, t1, t2, text) with any: doc_id, t1, t2, dropped (array)."""
     spark = docs.sparkSession
-    lines = docs.select("row", "doc_id", F.posexplode(F.split(text_of(), "\n", -1)).alias("no", "line")).where(
+    lines = docs.select(*_DOC, F.posexplode(F.split(text_of(), "\n", -1)).alias("no", "line")).where(
         F.length("line") >= least_chars)
     lines = lines.withColumns({"h1": F.xxhash64("line"), "h2": F.hash("line")})
-    groups = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "row", "no")).alias("first"), F.first("line").alias("line"))
+    groups = lines.groupBy("h1", "h2").agg(F.min(F.struct(*_DOC, "no")).alias("first"), F.first("line").alias("line"))
     path = scratch_path(spark, "lines")
     groups.write.parquet(path)
     distinct = spark.read.parquet(path).withColumn("id", F.monotonically_increasing_id())
@@ -187,33 +191,35 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST
         F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("id")).distinct()
     later = _bounded(later)
     verdict = distinct.select("id", "h1", "h2", "first").join(later.withColumn("late", F.lit(True)), "id", "left")
-    seen = lines.select("row", "doc_id", "no", "h1", "h2").join(verdict.select("h1", "h2", "first", "late"), ["h1", "h2"])
-    again = (F.col("first.row") != F.col("row")) | (F.col("first.no") != F.col("no"))
-    return seen.where(F.coalesce("late", F.lit(False)) | again).groupBy("row").agg(
-        F.first("doc_id").alias("doc_id"), F.array_sort(F.collect_list("no")).alias("dropped"))
+    seen = lines.select(*_DOC, "no", "h1", "h2").join(verdict.select("h1", "h2", "first", "late"), ["h1", "h2"])
+    again = ~F.col("first").eqNullSafe(F.struct(*_DOC, "no"))
+    return seen.where(F.coalesce("late", F.lit(False)) | again).groupBy(*_DOC).agg(F.collect_set("no").alias("dropped"))
 
 
 def without_repeats(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS, names: dict[str, str] | None = None) -> DataFrame:
     """``docs`` with all columns, ``text`` without its repeated lines, and n_lines, n_dropped (or as ``names`` has them).
 
     A line of at least ``least_chars`` characters is dropped if it, or a line at
-    most ``edits`` edits away, occurs earlier: by doc_id (nulls first), row of
-    the table, line.  Shorter lines stay.  A null text stays null with no lines,
-    an empty one has one empty line; repeated rows count as later documents; a
-    text whose every line goes becomes empty.  An empty table stays empty.
+    most ``edits`` edits away, occurs earlier: by doc_id (nulls first), hash of
+    the text, line.  Shorter lines stay.  A null text stays null with no lines,
+    an empty one has one empty line; repeated rows (same id and text) are one
+    document and all keep its lines; a text whose every line goes becomes
+    empty.  An empty table stays empty.
     """
     n_lines, n_dropped = ((names or {}).get(n, n) for n in ("n_lines", "n_dropped"))
-    docs = docs.withColumn("__row", F.monotonically_increasing_id())
-    dropped = _bounded(repeated_lines(docs.select(F.col("__row").alias("row"), "doc_id", "text"), edits, least_chars).select(
-        F.col("row").alias("__row"), F.col("dropped").alias("__dropped")))
-    joined = docs.join(dropped, "__row", "left")
+    docs = docs.withColumns({"__t1": F.xxhash64("text"), "__t2": F.hash("text")})
+    dropped = _bounded(repeated_lines(docs.select("doc_id", F.col("__t1").alias("t1"), F.col("__t2").alias("t2"), "text"), edits, least_chars).select(
+        *[F.col(c).alias(f"__d_{c}") for c in _DOC], F.col("dropped").alias("__dropped")))
+    joined = docs.join(dropped, F.col("doc_id").eqNullSafe(F.col("__d_doc_id")) & (F.col("__t1") == F.col("__d_t1"))
+                       & (F.col("__t2") == F.col("__d_t2")), "left")
     lines = F.split("text", "\n", -1)
     kept = F.expr("array_join(transform(filter(transform(split(text, '\n', -1), (x, i) -> struct(x, i)), "
                   "p -> not array_contains(__dropped, p.i)), p -> p.x), '\n')")
     return joined.withColumns({
         "text": F.when(F.col("__dropped").isNull(), F.col("text")).otherwise(kept),
         n_lines: F.when(F.col("text").isNull(), 0).otherwise(F.size(lines)),
-        n_dropped: F.when(F.col("__dropped").isNull(), 0).otherwise(F.size("__dropped"))}).drop("__row", "__dropped")
+        n_dropped: F.when(F.col("__dropped").isNull(), 0).otherwise(F.size("__dropped"))}).drop(
+        "__t1", "__t2", "__dropped", *[f"__d_{c}" for c in _DOC])
 
 
 def op7_line_dedup(spark, sf_dir: str) -> DataFrame:

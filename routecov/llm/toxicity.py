@@ -99,11 +99,11 @@ def _options(token: str) -> list[list[tuple[str, float]]]:
     for i, c in enumerate(token):
         if c.isalpha() and c not in LOOKS:
             options = [(c, 0.0)]
-            if i and token[i - 1] == c:
+            if i and c in LOOKS.get(token[i - 1], token[i - 1]):
                 options.append(("", REPEAT_COST))
         elif c in LOOKS:
             options = [(x, LOOK_COST) for x in LOOKS[c]] + [(" ", END_COST)]
-            if i and token[i - 1] == c:
+            if i and set(LOOKS[c]) & set(LOOKS.get(token[i - 1], token[i - 1])):
                 options.append(("", REPEAT_COST))
             if c in "!|+(%$":
                 options.append(("", 2 * SILENT_COST))
@@ -227,7 +227,8 @@ class Scorer:
     def score(self, text: str) -> float:
         if self.weights is None:
             return 0.0
-        return float(1 / (1 + np.exp(-np.clip(np.dot(self.weights, self.hits(text)), -30, 30))))
+        x = self.hits(text)
+        return float(1 / (1 + np.exp(-np.clip(np.dot(self.weights, x), -30, 30)))) if x[-1] else 0.0
 
 
 def _feature_counts(shared):
@@ -314,7 +315,7 @@ def _score(shared):
 def scored(docs: DataFrame, scorer: Scorer, keep: list[str]) -> DataFrame:
     """Columns ``keep`` of every row with score and predicted (score >= 0.3); only ``text`` is looked at.
 
-    Null and empty texts score as texts without words; whole texts are read;
+    Null and empty texts and those without a word score 0; whole texts are read;
     repeated rows are each scored; other columns are ignored; an empty table
     gives an empty result."""
     shared = docs.sparkSession.sparkContext.broadcast((scorer.log, scorer.lexicon, scorer.weights))
