@@ -5,7 +5,9 @@ grouped result is materialised and the total is a scalar subquery over it."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from routecov.functions.paths import undirected_pair
@@ -46,6 +48,34 @@ def column_percentiles(df: DataFrame, col: str, accuracy: int = 10000) -> DataFr
                   F.percentile_approx(x, 0.75, accuracy).alias("p75"))
 
 
+def exact_percentiles(df: DataFrame, col: str, shares: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """A12 (quartiles, exact): one row p25, p50, p75: the least value that at
+    least that share of the non-null values do not exceed; nulls without values.
+
+    Value counts are range-partitioned once; the totals of the partitions (one
+    number each, on the driver) say which of them holds each rank, and only
+    there counts are added up.  No task holds more than a range of values."""
+    names = [f"p{round(100 * q)}" for q in shares]
+    counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    parts = cut_lineage(counts.repartitionByRange("value").withColumn("part", F.spark_partition_id()))
+    totals = parts.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect()
+    total = sum(r["n"] for r in totals)
+    ranks = [max(1, math.ceil(q * total)) for q in shares]
+    places, before = [], 0  # (name, partition, rank in it)
+    for r in totals:
+        places += [(name, r["part"], rank - before) for name, rank in zip(names, ranks) if before < rank <= before + r["n"]]
+        before += r["n"]
+    upto = F.sum("n").over(Window.partitionBy("part").orderBy("value"))
+    inside = parts.where(F.col("part").isin([p for _, p, _ in places])).withColumn("upto", upto)
+
+    def at(part: int, rank: int) -> Column:
+        hit = (F.col("part") == part) & (F.col("upto") >= rank) & (F.col("upto") - F.col("n") < rank)
+        return F.max(F.when(hit, F.col("value")))
+
+    found = {name: at(part, rank) for name, part, rank in places}
+    return inside.agg(*[found.get(name, F.max(F.when(F.lit(False), F.col("value")))).alias(name) for name in names])
+
+
 def top_value_counts(df: DataFrame, col: str, n: int = 5) -> DataFrame:
     """The n most frequent values with their share of all rows, in
     percent rounded to 2 places.  ``count(col)`` skips NULLs while the

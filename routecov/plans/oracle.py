@@ -259,6 +259,11 @@ SELECT count(passenger_count) AS count, round(avg(passenger_count), 6) AS mean,
        max(passenger_count) AS max
 FROM met_v"""
 
+SQL["a12_column_percentiles"] = with_views("met_v") + """
+SELECT quantile_disc(passenger_count, 0.25) AS p25, quantile_disc(passenger_count, 0.5) AS p50,
+       quantile_disc(passenger_count, 0.75) AS p75
+FROM met_v"""
+
 # a12_column_percentiles_approx has no twin: Spark's quantile sketch is not
 # expressible in DuckDB SQL (see tests/test_clean_frequency.py).
 NO_TWIN = {"a12_column_percentiles_approx"}

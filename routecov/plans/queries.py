@@ -141,6 +141,11 @@ def a12_column_summary(spark, sf):
     return _round(pf.column_summary(td.metered_trips(spark, sf), "passenger_count"), "mean", "stddev")
 
 
+@query("a12_column_percentiles")
+def a12_column_percentiles(spark, sf):
+    return pf.exact_percentiles(td.metered_trips(spark, sf), "passenger_count")
+
+
 @query("a12_column_percentiles_approx")
 def a12_column_percentiles_approx(spark, sf):
     """Approximate quartiles (Spark's sketch): no SQL twin, rows-only check;

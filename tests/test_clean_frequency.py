@@ -160,3 +160,16 @@ def test_broadcast_side_is_read_anew_and_bounded_in_bytes(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+
+
+def test_exact_percentiles(spark):
+    import math
+    import random
+
+    from routecov.operators import profile as pf
+    rnd = random.Random(3)
+    for n in (0, 1, 2, 7, 500):
+        values = [round(rnd.gauss(0, 3), 1) for _ in range(n)]
+        df = spark.createDataFrame([(v,) for v in [*values, None]], "x double").repartition(5)
+        want = tuple(sorted(values)[max(1, math.ceil(q * n)) - 1] if n else None for q in (0.25, 0.5, 0.75))
+        assert tuple(pf.exact_percentiles(df, "x").first()) == want
