@@ -35,17 +35,6 @@ def _bounded(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def segments(length: str, edits: int) -> list[tuple[str, str]]:
-    """SQL for start (from 1) and length of each segment of a line; the later ones are the longer."""
-    n = edits + 1
-    out = []
-    for i in range(n):
-        longer = f"greatest(0, {i} - ({n} - ({length}) % {n}))"
-        out.append((f"({i} * (({length}) div {n}) + {longer} + 1)",
-                    f"(({length}) div {n} + if({i} >= {n} - ({length}) % {n}, 1, 0))"))
-    return out
-
-
 def shifts(edits: int) -> list[tuple[int, int, int]]:
     """(length difference, segment, shift of its start) that a probe has to try."""
     out = []
@@ -57,11 +46,6 @@ def shifts(edits: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def _part(length: str, i: int, start: str, size: str) -> str:
-    return (f"struct(xxhash64(part, cast({length} as int), {i}, substring(line, cast({start} as int), cast({size} as int))) as key,"
-            f" cast({start} as int) as start, cast({size} as int) as size)")
-
-
 def within(a: str, b: str, edits: int) -> str:
     """SQL for whether two arrays of characters are at most ``edits`` apart.
 
@@ -117,40 +101,42 @@ def close(la: str, lb: str, edits: int) -> str:
     return let(whole, "u", let(rest, "v", let(middle, "w", within("w.a", "w.b", edits))))
 
 
-def _segments_of(rows: DataFrame, edits: int) -> DataFrame:
-    """Segments of texts (id, part, line): id, part, key, start, size.  Only rows of the same part meet."""
-    parts = [_part("len", i, start, size) for i, (start, size) in enumerate(segments("len", edits))]
-    return rows.withColumn("len", F.length("line")).select("id", "part", F.expr(f"inline(array({', '.join(parts)}))"))
+def _keyed(rows: DataFrame, places: list[tuple[int, int, int]], edits: int) -> DataFrame:
+    """id, part, key, start, size of the substrings of texts (id, part, line, len) at ``places``.
 
-
-def _substrings_of(rows: DataFrame, edits: int) -> DataFrame:
-    """Substrings that may be a segment of a text as long or up to ``edits`` shorter, alike."""
-    parts = []
-    for shorter, i, shift in shifts(edits):
-        start, size = segments(f"len - {shorter}", edits)[i]
-        part = _part(f"len - {shorter}", i, f"{start} + {shift}", size)
-        parts.append(f"if(len - {shorter} >= 0 and {start} + {shift} >= 1 and {start} + {shift} + {size} - 1 <= len, {part}, null)")
-    return rows.withColumn("len", F.length("line")).select(
-        "id", "part", F.expr(f"inline(array_compact(array({', '.join(parts)})))"))
+    A place (shorter, i, shift) is where segment ``i`` of a text ``shorter``
+    characters shorter would start, moved by ``shift``; segments are even, the
+    later ones longer by one.  Only rows of one part meet.  Places come as
+    rows, so the code of one key is small and compiled once."""
+    n = edits + 1
+    listed = ", ".join(f"named_struct('shorter', {a}, 'i', {i}, 'shift', {d})" for a, i, d in places)
+    cut = rows.select("id", "part", "line", "len", F.expr(f"inline(array({listed}))")).where("len >= shorter")
+    cut = cut.withColumn("other", F.expr("len - shorter")).withColumns({
+        "start": F.expr(f"cast(i * (other div {n}) + greatest(0, i - {n} + other % {n}) + 1 + shift as int)"),
+        "size": F.expr(f"cast(other div {n} + if(i >= {n} - other % {n}, 1, 0) as int)")})
+    return cut.where("start >= 1 and start + size - 1 <= len").select(
+        "id", "part", F.expr("xxhash64(part, other, i, substring(line, start, size))").alias("key"), "start", "size")
 
 
 def _rest(found: DataFrame, rows: DataFrame) -> DataFrame:
     """Texts without the segment or substring found in them, as a part of their own."""
-    ids = _bounded(found.select("id").distinct())
-    texts = rows.join(ids, "id", "leftsemi")
-    rest = found.join(texts, ["id", "part"]).select(
-        "id", F.col("key").alias("part"),
-        F.expr("concat(substring(line, 1, start - 1), substring(line, start + size, length(line)))").alias("line"))
-    return cut_lineage(rest.distinct())
+    found = cut_lineage(found)
+    texts = rows.join(_bounded(found.select("id").distinct()), "id", "leftsemi").select("id", "part", "line")
+    line = F.expr("concat(substring(line, 1, start - 1), substring(line, start + size, length(line)))")
+    rest = found.join(texts, ["id", "part"]).select("id", F.col("key").alias("part"), line.alias("line"))
+    return cut_lineage(rest.distinct().withColumn("len", F.length("line")))
 
 
 def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
-    """Pairs (a, b) of ids, a < b, of distinct lines (id, line) at most ``edits`` apart; each once."""
+    """Pairs (a, b) of ids, a < b, of distinct lines (id, line; len if known) at most ``edits`` apart; each once."""
     met = None
-    rows = lines.select("id", F.lit(0).cast("long").alias("part"), "line")
+    if "len" not in lines.columns:
+        lines = lines.withColumn("len", F.length("line"))
+    rows = lines.select("id", F.lit(0).cast("long").alias("part"), "line", "len")
+    whole, places = [(0, i, 0) for i in range(edits + 1)], shifts(edits)
     held_rows, asked_rows = rows, rows
     for level in range(LEVELS):
-        held, asked = _segments_of(held_rows, edits), _substrings_of(asked_rows, edits)
+        held, asked = _keyed(held_rows, whole, edits), _keyed(asked_rows, places, edits)
         hot = None
         if level + 1 < LEVELS:
             hot = cut_lineage(held.groupBy("key").count().where(F.col("count") > CROWD).select("key"))
@@ -181,9 +167,9 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST
     lines = lines.withColumns({"h1": F.xxhash64("line"), "h2": F.hash("line")})
     groups = lines.groupBy("h1", "h2").agg(F.min(F.struct(*_DOC, "no")).alias("first"), F.first("line").alias("line"))
     path = scratch_path(spark, "lines")
-    groups.write.parquet(path)
+    groups.withColumn("len", F.length("line")).write.parquet(path)
     distinct = spark.read.parquet(path).withColumn("id", F.monotonically_increasing_id())
-    pairs = near_lines(distinct.select("id", "line"), edits)
+    pairs = near_lines(distinct.select("id", "line", "len"), edits)
     ends = _bounded(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
     firsts = cut_lineage(distinct.select("id", "first").join(ends, "id", "leftsemi"))
     later = pairs.join(firsts.select(F.col("id").alias("a"), F.col("first").alias("fa")), "a").join(
