@@ -16,7 +16,9 @@ import uuid
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,43 +103,47 @@ class _Shard:
             self.out, self.no = None, self.no + 1
 
 
-def _responses(level: int):
-    """Each page as a compressed response record."""
+def _shard_of(pages: pa.Array, starts: np.ndarray) -> pa.Array:
+    """Shards of page ids by the first id of each shard; nulls belong to the first."""
+    ids = pc.fill_null(pages, np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
+    return pa.array(np.maximum(np.searchsorted(starts, ids, "right") - 1, 0), pa.int64())
+
+
+def _responses(level: int, starts):
+    """Each page with its shard and as a compressed response record."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = [c.to_pylist() for c in batch.columns]
             made = [_member(page_record(page, url, html, digest, size, None), level) for page, url, digest, size, html in zip(*columns)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(made, pa.binary())], [*batch.schema.names[:-1], "member"])
+            yield pa.RecordBatch.from_arrays([_shard_of(batch.column(0), starts.value), *batch.columns[:-1], pa.array(made, pa.binary())],
+                                             ["shard", *batch.schema.names[:-1], "member"])
     return run
 
 
-def _revisits(level: int):
-    """Members of (shard, page_id, url, digest, size, refers_to, member); a revisit's is made here."""
+def _placed(starts):
     def run(batches):
         for batch in batches:
-            rows = zip(*(c.to_pylist() for c in batch.columns[1:]))
-            made = [m if refers is None else _member(page_record(page, url, b"", digest, size, refers), level)
-                    for page, url, digest, size, refers, m in rows]
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("shard", "page_id", "digest", "url")), pa.array(made, pa.binary())],
-                                             ["shard", "page_id", "digest", "url", "member"])
+            yield pa.RecordBatch.from_arrays([_shard_of(batch.column(0), starts.value), *batch.columns], ["shard", *batch.schema.names])
     return run
 
 
 def _write(uri: str, roll: int, level: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Writes one shard: its pages in order, each as a response or as a revisit."""
+    def run(pages: pa.Table, revisits: pa.Table) -> pa.Table:
+        if not pages.num_rows:
+            return _MANIFEST.empty_table()
         store, folder = fs.FileSystem.from_uri(uri)
-        shard = None
-        for batch in batches:
-            for no, member in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if shard is None or shard.shard != no:
-                    if shard is not None:
-                        shard.close()
-                        yield _listed(shard.done)
-                    shard = _Shard(store, folder, no, roll, level)
-                shard.add(member)
-        if shard is not None:
-            shard.close()
-            yield _listed(shard.done)
+        shard = _Shard(store, folder, pages.column("shard")[0].as_py(), roll, level)
+        refers = {(r["page_id"], r["digest"]): r["first"] for r in revisits.to_pylist()}
+        rows = pages.select(["page_id", "digest", "url", "size"]).to_pylist()
+        members = pages.column("member")
+        for i in sorted(range(len(rows)), key=lambda i: (rows[i]["page_id"] is not None, rows[i]["page_id"] or 0, rows[i]["digest"], rows[i]["url"])):
+            r = rows[i]
+            first = refers.get((r["page_id"], r["digest"]))
+            shard.add(members[i].as_py() if first is None else
+                      _member(page_record(r["page_id"], r["url"], b"", r["digest"], r["size"], first), level))
+        shard.close()
+        return pa.Table.from_batches([_listed(shard.done)])
     return run
 
 
@@ -221,18 +227,17 @@ def write_archive(pages: DataFrame, uri: str, shard_bytes: int = SHARD_BYTES, ro
     ranked, _, _ = positions(narrow, ["page_id", "digest"], "size")
     groups = narrow.where(F.col("size") >= LEAST_REVISIT).groupBy("digest", "size").agg(
         F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null").select("digest", "first")
-    plan = ranked.join(groups, "digest", "left").select(
-        F.col("page_id").alias("p"), F.col("digest").alias("d"), F.expr(f"before div {shard_bytes}").alias("shard"),
-        F.when((F.col("first") != F.col("page_id")) | F.col("page_id").isNull(), F.col("first")).alias("refers_to"))
-    plan = plan.groupBy("p", "d").agg(F.min("shard").alias("shard"), F.first("refers_to").alias("refers_to"))  # repeated rows go together
+    revisits = narrow.join(groups, "digest").where("page_id is null or page_id != first").select("page_id", "digest", "first").distinct()
+    firsts = ranked.groupBy(F.expr(f"before div {shard_bytes}").alias("shard")).agg(F.min("page_id").alias("start")).where(
+        "start is not null").select("start").distinct().orderBy("start").collect()  # one id for each shard_bytes of payload
+    starts = spark.sparkContext.broadcast(np.array([r["start"] for r in firsts], np.int64))
     members = own.select("page_id", "url", "digest", "size", F.col("html").cast("binary").alias("html")).mapInArrow(
-        _responses(level), "page_id long, url string, digest string, size long, member binary")  # compressed before they are dealt out
-    rows = members.join(plan, F.col("page_id").eqNullSafe(F.col("p")) & (F.col("digest") == F.col("d")))
-    rows = rows.select("shard", "page_id", "url", "digest", "size", "refers_to", F.when(F.col("refers_to").isNull(), F.col("member")).alias("member"))
-    rows = rows.mapInArrow(_revisits(level), "shard long, page_id long, digest string, url string, member binary")
+        _responses(level, starts), "shard long, page_id long, url string, digest string, size long, member binary")
+    placed = revisits.mapInArrow(_placed(starts), "shard long, page_id long, digest string, first long")
     store, folder = fs.FileSystem.from_uri(uri)
     store.create_dir(folder, recursive=True)
-    written = rows.repartition("shard").sortWithinPartitions("shard", "page_id", "digest", "url").select("shard", "member").mapInArrow(
+    # one shuffle of the pages, as compressed records; a group is a shard
+    written = members.groupBy("shard").cogroup(placed.groupBy("shard")).applyInArrow(
         _write(uri, roll_bytes, level), "file string, shard long, records long, bytes long, sha256 string")
     written.write.mode("overwrite").parquet(f"{uri}/manifest")
     return spark.read.parquet(f"{uri}/manifest")
