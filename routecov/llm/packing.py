@@ -148,7 +148,7 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-_PIECES = pa.schema([("pack", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
+_PIECES = pa.schema([("pack", pa.int64()), ("doc_id", pa.int64()), ("no_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
                      ("doc_tokens", pa.int64()), ("crc", pa.int64()), ("ids", pa.binary())])
 
 
@@ -157,11 +157,11 @@ def _pieces(path: str, size: int, end: int):
     stop = np.array([end], "<u4").tobytes()
 
     def out(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows) if rows else [[]] * 7, _PIECES.types)],
+        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows) if rows else [[]] * 8, _PIECES.types)],
                                           schema=_PIECES)
 
     def pieces(tokens: Encoder, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        packs, docs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)
+        packs, docs, texts, nones = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3).to_pylist()
         rows, held, i = [], 0, 0
         sizes = pc.fill_null(pc.utf8_length(texts), 0).to_pylist()
         while i < len(texts):
@@ -169,14 +169,14 @@ def _pieces(path: str, size: int, end: int):
             while j < len(texts) and (j == i or weight < STEP_CHARS):
                 weight += sizes[j]
                 j += 1
-            for pack, doc, ids in zip(packs[i:j], docs[i:j], tokens.encode(texts.slice(i, j - i).to_pylist())):
+            for pack, doc, no_id, ids in zip(packs[i:j], docs[i:j], nones[i:j], tokens.encode(texts.slice(i, j - i).to_pylist())):
                 ids += stop
                 n = len(ids) // 4
                 for at in range(0, n - size + 1, size):
-                    rows.append((pack, doc, at, size, n, zlib.crc32(ids[4 * at:4 * (at + size)]), None))
+                    rows.append((pack, doc, no_id, at, size, n, zlib.crc32(ids[4 * at:4 * (at + size)]), None))
                 if left := n % size:
                     rest = ids[4 * (n - left):]
-                    rows.append((pack, doc, n - left, left, n, None, rest))
+                    rows.append((pack, doc, no_id, n - left, left, n, None, rest))
                     held += len(rest)
             if held > 1 << 22 or len(rows) > 20_000:
                 yield out(rows)
@@ -235,18 +235,18 @@ def assign(lengths: list[int], size: int, quadratic: float = QUADRATIC) -> list[
 def _pack(size: int, quadratic: float):
     def run(rows):
         import pandas as pd
-        rows = rows.sort_values(["doc_id", "start", "length"], kind="stable").reset_index(drop=True)
+        rows = rows.sort_values(["doc_id", "no_id", "start", "length"], kind="stable").reset_index(drop=True)
         whole = rows["ids"].isna().to_numpy()
         full, part = rows[whole], rows[~whole].reset_index(drop=True)
         base = int(rows["pack"].iloc[0]) << 32
-        done = full[["doc_id", "start", "length", "doc_tokens"]].copy()
+        done = full[["doc_id", "no_id", "start", "length", "doc_tokens"]].copy()
         done["ids_crc32"] = full["crc"].astype("int64")
         done["sequence_id"] = base + np.arange(len(done))
         done["offset"] = 0
         placed = np.array(assign(part["length"].tolist(), size, quadratic), np.int64).reshape(-1, 5)
         ids, i, at, n = part["ids"].tolist(), placed[:, 0], placed[:, 1], placed[:, 2]
         packed = pd.DataFrame({
-            "doc_id": part["doc_id"].take(i).array, "start": part["start"].to_numpy()[i] + at, "length": n,
+            "doc_id": part["doc_id"].to_numpy()[i], "no_id": part["no_id"].to_numpy()[i], "start": part["start"].to_numpy()[i] + at, "length": n,
             "doc_tokens": part["doc_tokens"].to_numpy()[i],
             "ids_crc32": [zlib.crc32(ids[a][4 * b:4 * (b + c)]) for a, b, c in zip(i, at, n)],
             "sequence_id": base + len(done) + placed[:, 3], "offset": placed[:, 4]})
@@ -264,15 +264,15 @@ def packed(docs: DataFrame, tokenizer: str, size: int = 2048, end: int = 1, quad
     closing id alone; repeated rows are packed each; a null doc_id is carried;
     other columns are ignored; an empty table gives no pieces.
     """
-    texts = docs.select("doc_id", text_of().alias("text"))
+    texts = docs.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().cast("long").alias("no_id"), text_of().alias("text"))
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     packs = max(1, -(-total // group_bytes))
-    rows = texts.select(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(packs)).alias("pack"), "doc_id", "text")
-    pieces = rows.mapInArrow(_pieces(tokenizer, size, end), "pack long, doc_id long, start long, length long, doc_tokens long, crc long, ids binary")
+    rows = texts.select(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(packs)).alias("pack"), "doc_id", "text", "no_id")
+    pieces = rows.mapInArrow(_pieces(tokenizer, size, end), "pack long, doc_id long, no_id long, start long, length long, doc_tokens long, crc long, ids binary")
     return pieces.groupBy("pack").applyInPandas(
         _pack(size, quadratic),
-        "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long").select(
-        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+        "doc_id long, no_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long").select(
+        F.when(F.col("no_id") == 0, F.col("doc_id")).alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 def op5_packing(spark, sf_dir: str) -> DataFrame:
