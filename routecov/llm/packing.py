@@ -98,7 +98,7 @@ class Encoder:
             self.known[w] = data[a:b]
             a = b
 
-    def _learn(self, fresh: set[str]) -> None:
+    def _learn(self, fresh: list[str]) -> None:
         known, older, other, words, derived = self.known, self.older, [], set(), []
         for w in fresh:
             if (b := older.get(w)) is not None:
@@ -130,16 +130,14 @@ class Encoder:
         chunks = [chunks_of(x) for x in texts]
         if len(self.known) > MAX_CHUNKS:
             self.older, self.known = self.known, {}
-        get, fresh, ids = self.known.get, set(), []
-        for words in chunks:
-            found = list(map(get, words))
-            if None in found:
-                fresh.update([w for w, b in zip(words, found) if b is None])
-            ids.append(found)
+        distinct = list(set().union(*chunks))  # a small table of the words at hand stays in the processor's cache
+        found = dict(zip(distinct, map(self.known.get, distinct)))
+        fresh = [w for w, b in found.items() if b is None]
         self._learn(fresh)
-        known = self.known
-        return [b"".join(found if None not in found else [known[w] if b is None else b for w, b in zip(words, found)])
-                for words, found in zip(chunks, ids)]
+        known, get = self.known, found.__getitem__
+        for w in fresh:
+            found[w] = known[w]
+        return [b"".join(map(get, words)) for words in chunks]
 
 
 def encoder(path: str) -> Encoder:
