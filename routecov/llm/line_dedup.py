@@ -102,7 +102,7 @@ def close(la: str, lb: str, edits: int) -> str:
 
 
 def _keyed(rows: DataFrame, places: list[tuple[int, int, int]], edits: int) -> DataFrame:
-    """id, part, key, start, size of the substrings of texts (id, part, line, len) at ``places``.
+    """id, part, key, other (length of the text with that segment), start, size of the substrings of texts (id, part, line, len) at ``places``.
 
     A place (shorter, i, shift) is where segment ``i`` of a text ``shorter``
     characters shorter would start, moved by ``shift``; segments are even, the
@@ -115,7 +115,7 @@ def _keyed(rows: DataFrame, places: list[tuple[int, int, int]], edits: int) -> D
         "start": F.expr(f"cast(i * (other div {n}) + greatest(0, i - {n} + other % {n}) + 1 + shift as int)"),
         "size": F.expr(f"cast(other div {n} + if(i >= {n} - other % {n}, 1, 0) as int)")})
     return cut.where("start >= 1 and start + size - 1 <= len").select(
-        "id", "part", F.expr("xxhash64(part, other, i, substring(line, start, size))").alias("key"), "start", "size")
+        "id", "part", F.expr("xxhash64(part, other, i, substring(line, start, size))").alias("key"), "other", "start", "size")
 
 
 def _rest(found: DataFrame, rows: DataFrame) -> DataFrame:
