@@ -22,10 +22,11 @@ from routecov.session import scratch_path
 from .common import cut_lineage, read_table, text_of
 
 EDITS = 2
+#: Shorter lines are only compared for equality.
 LEAST_CHARS = 30
 #: Where more lines than this share a segment, what is left of them is partitioned again, at most so often.
 CROWD, LEVELS = 8, 8
-#: Rows of an already materialised side that a join may broadcast (three longs each).
+#: Rows of an already materialised side that a join may broadcast (a few longs each).
 BROADCAST_ROWS = 500_000
 
 
@@ -159,35 +160,40 @@ def near_lines(lines: DataFrame, edits: int = EDITS) -> DataFrame:
 _DOC = ("doc_id", "t1", "t2")
 
 
-def repeated_lines(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS) -> DataFrame:
+def repeated_lines(docs: DataFrame, edits: int = EDITS, least_chars: int | None = None) -> DataFrame:
     """Numbers (from 0) of the lines to drop, for documents (doc_id, t1, t2, text) with any: doc_id, t1, t2, dropped (array)."""
     spark = docs.sparkSession
-    lines = docs.select(*_DOC, F.posexplode(F.split(text_of(), "\n", -1)).alias("no", "line")).where(
-        F.length("line") >= least_chars)
+    near = LEAST_CHARS if least_chars is None else least_chars  # floor of the edit join
+    counts = F.length("line") >= near
+    if least_chars is None:
+        counts = counts | F.col("line").rlike(r"(?U)\S")
+    lines = docs.select(*_DOC, F.posexplode(F.split(text_of(), "\n", -1)).alias("no", "line")).where(counts)
     lines = lines.withColumns({"h1": F.xxhash64("line"), "h2": F.hash("line")})
-    groups = lines.groupBy("h1", "h2").agg(F.min(F.struct(*_DOC, "no")).alias("first"), F.first("line").alias("line"))
+    groups = lines.groupBy("h1", "h2").agg(F.min(F.struct(*_DOC, "no")).alias("first"), F.first("line").alias("line"), F.count("*").alias("n"))
     path = scratch_path(spark, "lines")
     groups.withColumn("len", F.length("line")).write.parquet(path)
     distinct = spark.read.parquet(path).withColumn("id", F.monotonically_increasing_id())
-    pairs = near_lines(distinct.select("id", "line", "len"), edits)
+    pairs = near_lines(distinct.where(F.col("len") >= near).select("id", "line", "len"), edits)
     ends = _bounded(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
     firsts = cut_lineage(distinct.select("id", "first").join(ends, "id", "leftsemi"))
     later = pairs.join(firsts.select(F.col("id").alias("a"), F.col("first").alias("fa")), "a").join(
         firsts.select(F.col("id").alias("b"), F.col("first").alias("fb")), "b").select(
         F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("id")).distinct()
     later = _bounded(later)
-    verdict = distinct.select("id", "h1", "h2", "first").join(later.withColumn("late", F.lit(True)), "id", "left")
-    seen = lines.select(*_DOC, "no", "h1", "h2").join(verdict.select("h1", "h2", "first", "late"), ["h1", "h2"])
+    verdict = distinct.select("id", "h1", "h2", "first", "n").join(later.withColumn("late", F.lit(True)), "id", "left").where("n > 1 or late")
+    seen = lines.select(*_DOC, "no", "h1", "h2").join(_bounded(verdict.select("h1", "h2", "first", "late")), ["h1", "h2"])
     again = ~F.col("first").eqNullSafe(F.struct(*_DOC, "no"))
     return seen.where(F.coalesce("late", F.lit(False)) | again).groupBy(*_DOC).agg(F.collect_set("no").alias("dropped"))
 
 
-def without_repeats(docs: DataFrame, edits: int = EDITS, least_chars: int = LEAST_CHARS, names: dict[str, str] | None = None) -> DataFrame:
+def without_repeats(docs: DataFrame, edits: int = EDITS, least_chars: int | None = None, names: dict[str, str] | None = None) -> DataFrame:
     """``docs`` with all columns, ``text`` without its repeated lines, and n_lines, n_dropped (or as ``names`` has them).
 
-    A line of at least ``least_chars`` characters is dropped if it, or a line at
-    most ``edits`` edits away, occurs earlier: by doc_id (nulls first), hash of
-    the text, line.  Shorter lines stay.  A null text stays null with no lines,
+    A line is dropped if an equal one occurs earlier: by doc_id (nulls first),
+    hash of the text, line.  One of at least 30 characters is also dropped if
+    another such line at most ``edits`` edits away occurs earlier.  Shorter
+    lines of white space alone stay.  ``least_chars``, if given, is the floor
+    of both rules, and every shorter line stays.  A null text stays null with no lines,
     an empty one has one empty line; repeated rows (same id and text) are one
     document and all keep its lines; a text whose every line goes becomes
     empty.  An empty table stays empty.

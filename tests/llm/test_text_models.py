@@ -163,6 +163,13 @@ def test_lines_dropped_equal_brute_force(frame):
     assert [r.text for r in twice] == ["a line of some length"] * 2
 
 
+def test_short_lines_go_when_equal(frame):
+    short, other = "Licensed under CC BY-NC 4.0.", "Licensed under CC BY-NC 3.0."
+    rows = [(1, f"first own\n\n{short}\n \t"), (2, f"second own\n\n{short}\n \t"), (3, f"{other}\nx\nx\n\u3000\n\u3000"), (4, f"{short}\nx")]
+    got = {r.doc_id: (r.text, r.n_lines, r.n_dropped) for r in line_dedup.without_repeats(frame(rows)).collect()}
+    assert got == {1: (rows[0][1], 4, 0), 2: ("second own\n\n \t", 4, 1), 3: (f"{other}\nx\n\u3000\n\u3000", 5, 1), 4: ("", 2, 2)}
+
+
 def test_line_plan_is_native(spark, frame):
     df = line_dedup.without_repeats(frame([(1, "x" * 40), (2, "x" * 41)]))
     plan = df._jdf.queryExecution().executedPlan().toString()
