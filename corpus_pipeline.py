@@ -70,7 +70,7 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of 2,048 tokens."""
+    """Pieces of the documents, with their token ids, in sequences of 2,048 tokens."""
     import public_tokenizers
     return packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
 

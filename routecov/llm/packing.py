@@ -18,7 +18,6 @@ from __future__ import annotations
 import gc
 import heapq
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -147,15 +146,15 @@ def encoder(path: str) -> Encoder:
 
 
 _PIECES = pa.schema([("pack", pa.int64()), ("doc_id", pa.int64()), ("no_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()),
-                     ("doc_tokens", pa.int64()), ("crc", pa.int64()), ("ids", pa.binary())])
+                     ("doc_tokens", pa.int64()), ("ids", pa.binary())])
 
 
 def _pieces(path: str, size: int, end: int):
-    """Blocks of ``size`` ids with their checksum, and each document's remainder with its ids."""
+    """Blocks of ``size`` ids and each document's remainder."""
     stop = np.array([end], "<u4").tobytes()
 
     def out(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows) if rows else [[]] * 8, _PIECES.types)],
+        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows) if rows else [[]] * 7, _PIECES.types)],
                                           schema=_PIECES)
 
     def pieces(tokens: Encoder, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -170,15 +169,13 @@ def _pieces(path: str, size: int, end: int):
             for pack, doc, no_id, ids in zip(packs[i:j], docs[i:j], nones[i:j], tokens.encode(texts.slice(i, j - i).to_pylist())):
                 ids += stop
                 n = len(ids) // 4
-                for at in range(0, n - size + 1, size):
-                    rows.append((pack, doc, no_id, at, size, n, zlib.crc32(ids[4 * at:4 * (at + size)]), None))
-                if left := n % size:
-                    rest = ids[4 * (n - left):]
-                    rows.append((pack, doc, no_id, n - left, left, n, None, rest))
-                    held += len(rest)
-            if held > 1 << 22 or len(rows) > 20_000:
-                yield out(rows)
-                rows, held = [], 0
+                for at in range(0, n, size):
+                    part = ids[4 * at:4 * (at + size)]
+                    rows.append((pack, doc, no_id, at, len(part) // 4, n, part))
+                    held += len(part)
+                    if held > 1 << 22 or len(rows) > 20_000:
+                        yield out(rows)
+                        rows, held = [], 0
             i = j
         yield out(rows)
 
@@ -234,11 +231,10 @@ def _pack(size: int, quadratic: float):
     def run(rows):
         import pandas as pd
         rows = rows.sort_values(["doc_id", "no_id", "start", "length"], kind="stable").reset_index(drop=True)
-        whole = rows["ids"].isna().to_numpy()
+        whole = (rows["length"] == size).to_numpy()
         full, part = rows[whole], rows[~whole].reset_index(drop=True)
         base = int(rows["pack"].iloc[0]) << 32
-        done = full[["doc_id", "no_id", "start", "length", "doc_tokens"]].copy()
-        done["ids_crc32"] = full["crc"].astype("int64")
+        done = full[["doc_id", "no_id", "start", "length", "doc_tokens", "ids"]].copy()
         done["sequence_id"] = base + np.arange(len(done))
         done["offset"] = 0
         placed = np.array(assign(part["length"].tolist(), size, quadratic), np.int64).reshape(-1, 5)
@@ -246,7 +242,7 @@ def _pack(size: int, quadratic: float):
         packed = pd.DataFrame({
             "doc_id": part["doc_id"].to_numpy()[i], "no_id": part["no_id"].to_numpy()[i], "start": part["start"].to_numpy()[i] + at, "length": n,
             "doc_tokens": part["doc_tokens"].to_numpy()[i],
-            "ids_crc32": [zlib.crc32(ids[a][4 * b:4 * (b + c)]) for a, b, c in zip(i, at, n)],
+            "ids": [ids[a][4 * b:4 * (b + c)] for a, b, c in zip(i, at, n)],
             "sequence_id": base + len(done) + placed[:, 3], "offset": placed[:, 4]})
         return pd.concat([done, packed]) if len(done) else packed
     return run
@@ -256,9 +252,9 @@ def packed(docs: DataFrame, tokenizer: str, size: int = 2048, end: int = 1, quad
            group_bytes: int = GROUP_BYTES) -> DataFrame:
     """Pieces of all documents in sequences of at most ``size`` tokens.
 
-    Per piece: doc_id, start (ids of its document before it), length,
-    ids_crc32 (of its ids as little-endian unsigned 32 bit), doc_tokens (with
-    the closing id ``end``), sequence_id, offset.  A null or empty text is the
+    Per piece: doc_id, start (ids of its document before it), length, ids
+    (little-endian unsigned 32 bit), ids_crc32 (of these bytes), doc_tokens
+    (with the closing id ``end``), sequence_id, offset.  A null or empty text is the
     closing id alone; repeated rows are packed each; a null doc_id is carried;
     other columns are ignored; an empty table gives no pieces.
     """
@@ -266,14 +262,15 @@ def packed(docs: DataFrame, tokenizer: str, size: int = 2048, end: int = 1, quad
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     packs = max(1, -(-total // group_bytes))
     rows = texts.select(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(packs)).alias("pack"), "doc_id", "text", "no_id")
-    pieces = rows.mapInArrow(_pieces(tokenizer, size, end), "pack long, doc_id long, no_id long, start long, length long, doc_tokens long, crc long, ids binary")
+    pieces = rows.mapInArrow(_pieces(tokenizer, size, end), "pack long, doc_id long, no_id long, start long, length long, doc_tokens long, ids binary")
     return pieces.groupBy("pack").applyInPandas(
         _pack(size, quadratic),
-        "doc_id long, no_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long").select(
-        F.when(F.col("no_id") == 0, F.col("doc_id")).alias("doc_id"), "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+        "doc_id long, no_id long, start long, length long, doc_tokens long, ids binary, sequence_id long, offset long").select(
+        F.when(F.col("no_id") == 0, F.col("doc_id")).alias("doc_id"), "start", "length", "ids", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+        "sequence_id", "offset")
 
 
 def op5_packing(spark, sf_dir: str) -> DataFrame:
     """All ``documents`` packed into sequences of 2,048 tokens."""
     import public_tokenizers
-    return packed(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packed(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).drop("ids")

@@ -103,3 +103,13 @@ def test_packed_laws(frame):
             at += r.length
         assert at <= 256
     assert packing.packed(frame([]), WORDS).collect() == []
+
+
+def test_packed_hands_out_ids(frame):
+    encode, stop = packing.encoder(WORDS), np.array([1], "<u4").tobytes()
+    rows = [(1, "Hello, world. " * 300), (2, None), (3, "some words " * 40)]
+    by = {}
+    for r in packing.packed(frame(rows), WORDS, size=64).collect():
+        assert len(r.ids) == 4 * r.length and r.ids_crc32 == zlib.crc32(r.ids)
+        by.setdefault(r.doc_id, []).append((r.start, bytes(r.ids)))
+    assert {d: b"".join(x for _, x in sorted(parts)) for d, parts in by.items()} == {d: encode.encode([t or ""])[0] + stop for d, t in rows}
