@@ -31,6 +31,8 @@ MAX_ENTRIES = 20_000
 PREFIXES = (4, 5, 6)
 THRESHOLD = 0.3
 STEP_CHARS = 250_000
+#: Tokens whose words a worker remembers, and how long they may be.
+MEMO, MEMO_CHARS = 200_000, 64
 
 #: What a character may stand for.
 LOOKS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s",
@@ -42,11 +44,14 @@ VOWELS = "aeiou"
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 _ODD = "".join(re.escape(c) for c in LOOKS)
-#: A token with a look-alike next to a letter, marks between letters, or a letter three times in a row.
-_HIDDEN = re.compile(
-    rf"(?:(?<=\s)|^)(?=\S*?(?:[^\W\d_][{_ODD}*]|[{_ODD}*][^\W\d_]|[^\W\d_][._*~\-​-‍﻿­][^\W\d_]|([^\W\d_])\1\1))\S{{3,64}}(?=\s|$)")
-#: Single characters apart from each other.
-_SPACED = re.compile(rf"(?<![^\W_])(?:[^\W_{re.escape('|')}]|[{_ODD}*])(?:[ ._*~\-]{{1,2}}(?:[^\W_]|[{_ODD}*])(?![^\W_])){{3,63}}")
+_MARK = "".join(re.escape(c) for c in SILENT if c != " ")
+_GAP = rf"[\s{_MARK}]"
+#: What a token of at least three characters holds if it may be disguised: a look-alike next to a letter, marks between letters, or a letter twice in a row.
+_HIDDEN = re.compile(rf"[^\W\d_][{_ODD}*]|[{_ODD}*][^\W\d_]|[^\W\d_][{_MARK}]+[^\W\d_]|([^\W\d_])\1")
+#: Single or repeated characters apart from each other, with masks before and after them.
+_SPACED = re.compile(rf"(?<![^\W_])([^\W_]|[{_ODD}])\1*+(?:{_GAP}++([^\W_]|[{_ODD}])\2*+(?![^\W_]))+")
+_GAPS = re.compile(rf"{_GAP}++")
+LEAST_SPACED = 4
 
 #: Letters of the character model: word edge, any other letter, a to z, Latin-1.
 _ALPHABET = "\0\1abcdefghijklmnopqrstuvwxyz" + "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7)
@@ -93,9 +98,8 @@ class CharModel:
         self.log = np.log(p3).tolist()
 
 
-def _options(token: str) -> list[list[tuple[str, float]]]:
+def _options(token: str) -> Iterator[list[tuple[str, float]]]:
     """What each character of a token may be read as, with its channel cost; a space ends a word."""
-    out = []
     for i, c in enumerate(token):
         if c.isalpha() and c not in LOOKS:
             options = [(c, 0.0)]
@@ -107,56 +111,96 @@ def _options(token: str) -> list[list[tuple[str, float]]]:
                 options.append(("", REPEAT_COST))
             if c in "!|+(%$":
                 options.append(("", 2 * SILENT_COST))
-        elif c in SILENT:
+        elif c in SILENT or c.isspace():
             options = [("", SILENT_COST), (" ", END_COST)]
             if c == "*":
                 options += [(v, MASK_COST) for v in VOWELS]
         else:
             options = [(" ", 0.5)]
-        out.append(options)
-    return out
+        yield options
 
 
 class Decoder:
     """Viterbi search through a token's lattice under the character model."""
 
     def __init__(self, log: list):
-        self.log, self.memo = log, {}
+        self.log, self.memo, self.plain = log, {}, set()
 
-    def restore(self, token: str) -> str:
+    def words(self, token: str) -> tuple[str, ...]:
+        """Words of the most likely reading; only short tokens are remembered."""
+        if len(token) > MEMO_CHARS:
+            return tuple(_LETTERS.findall(self.restore(token)))
         if (known := self.memo.get(token)) is None:
-            if len(self.memo) > 100_000:
+            if len(self.memo) > MEMO:
                 self.memo.clear()
-            known = self.memo[token] = self._search(token)
+            known = self.memo[token] = tuple(_LETTERS.findall(self.restore(token)))
         return known
 
-    def _search(self, token: str) -> str:
+    def of_token(self, token: str) -> tuple[str, ...]:
+        """Words of a token without white space if it may be disguised."""
+        if len(token) < 3 or token in self.plain:
+            return ()
+        if _HIDDEN.search(token):
+            return self.words(token)
+        if len(token) <= MEMO_CHARS:
+            if len(self.plain) > MEMO:
+                self.plain.clear()
+            self.plain.add(token)
+        return ()
+
+    def restore(self, token: str) -> str:
+        """The most likely reading of a token of any length; a path is its last letter and the path before it."""
         log = self.log
-        paths = {(0, 0): (0.0, "")}  # last two letters -> best score and its reading
+        paths: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}  # last two letters -> best score and its path
         for options in _options(token):
-            nxt: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (score, read) in paths.items():
+            nxt: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+            for (a, b), (score, path) in paths.items():
                 for out, cost in options:
                     if out == "":
-                        key, s, r = (a, b), score - cost, read
+                        key, s, p = (a, b), score - cost, path
                     else:
                         c = 0 if out == " " else _PLACE.get(out, 1)
                         if c == 0 and b == 0:
-                            key, s, r = (0, 0), score - cost, read
+                            key, s, p = (0, 0), score - cost, path
                         else:
-                            key, s, r = (b, c), score - cost + log[a][b][c], read + out
+                            key, s, p = (b, c), score - cost + log[a][b][c], (path, out)
                     old = nxt.get(key)
-                    if old is None or s > old[0] or s == old[0] and r < old[1]:
-                        nxt[key] = (s, r)
+                    if old is None or s > old[0]:
+                        nxt[key] = (s, p)
             paths = nxt
-        return max((s + (log[a][b][0] if b else 0.0), r) for (a, b), (s, r) in paths.items())[1]
+        path = max(((s + (log[a][b][0] if b else 0.0), a, b, p) for (a, b), (s, p) in paths.items()), key=lambda x: x[:3])[3]
+        read = []
+        while path is not None:
+            path, out = path
+            read.append(out)
+        return "".join(reversed(read))
+
+
+def _spaced(text: str) -> Iterator[str]:
+    """Runs of at least four characters or masks apart from each other, with the masks around them."""
+    at = 0
+    for m in _SPACED.finditer(text):
+        start, end = m.span()
+        before = start
+        while before > at and (text[before - 1] in SILENT or text[before - 1].isspace()):
+            before -= 1
+        if (star := text.find("*", before, start)) >= 0:
+            start = star
+        if after := _GAPS.match(text, end):
+            end = max(end, text.rfind("*", end, after.end()) + 1)
+        at = end
+        token = text[start:end]
+        if len(_GAPS.findall(m.group(0))) + 1 + token.count("*") >= LEAST_SPACED:
+            yield token
 
 
 def hidden_words(text: str, decoder: Decoder) -> set[str]:
     """Words of the most likely readings of a lower-case text's disguised tokens."""
     found: set[str] = set()
-    for token in {m.group(0) for m in _HIDDEN.finditer(text)} | {m.group(0) for m in _SPACED.finditer(text)}:
-        found.update(_LETTERS.findall(decoder.restore(token)))
+    for token in set(text.split()):
+        found.update(decoder.of_token(token))
+    for token in set(_spaced(text)):
+        found.update(decoder.words(token))
     return found
 
 

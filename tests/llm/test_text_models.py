@@ -55,6 +55,19 @@ def test_disguised_words_are_restored():
     assert toxicity.hidden_words("the house and window 12 a b", decoder) == set()
 
 
+def test_disguises_of_any_length_and_mark_are_restored():
+    log = _chars(["idiot", "stupid", "clown", "trash", "loser", "house", "window", "the", "and"] * 20)
+    decoder = toxicity.Decoder(log)
+    spelt = [x.join("idiot") for x in (*",/:·;#&'`", ", ", "   ", "\n", " \n\t ")]
+    long = ["i" + "d" * 80 + "iot", "the-house-and-the-window-" * 3 + "1d10t", "the house " + " ".join("window" * 12 + "idiot"), "1d10t" + "-house" * 5000,
+            "idiot".join(["a b c d " * 20, ""]).replace("idiot", "i d i o t")]
+    for text in [*spelt, "iidiioott", "idiott", "ii dd ii oo tt", "1.d.1.0.t", "1.d.1.0.t", "* d i o t", "i d i o *", *long]:
+        word = "dio" if "*" in text else "idiot"
+        got = toxicity.hidden_words(text, decoder)
+        assert any(word in w for w in got), (text[:100], sorted(got)[:20])
+    assert decoder.restore("-" * 200_000 + "1d10t").strip() == "idiot"
+
+
 def test_toxicity_learns_words_and_scores_all_rows(spark, frame):
     rnd = random.Random(2)
     plain = [f"word{i}".translate(str.maketrans("0123456789", "abcdefghij")) for i in range(60)]
