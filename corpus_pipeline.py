@@ -20,9 +20,6 @@ from routecov.llm import language, line_dedup, near_dedup, packing, tiling
 from routecov.llm.common import read_table
 from routecov.session import scratch_path
 
-#: Least share of the evidence that the predicted language must have.
-LEAST_SCORE = 0.5
-
 
 def _free(docs: DataFrame, name: str) -> str:
     """A column name that ``docs`` does not use."""
@@ -33,11 +30,11 @@ def _free(docs: DataFrame, name: str) -> str:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents in a learnt language; those without a letter or a clear language go."""
+    """Keep documents in a learnt language; those without a letter go."""
     lang, score = _free(docs, "predicted_language"), _free(docs, "language_score")
     model = language.train(docs)
     out = language.predicted(docs, model, docs.columns, (lang, score))
-    return out.where((F.col(lang) != language.UNKNOWN) & (F.col(score) >= LEAST_SCORE)).select(*docs.columns)
+    return out.where(F.col(lang) != language.UNKNOWN).select(*docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -54,6 +54,14 @@ def test_stages(spark, corpus):
     assert clean.columns == columns and sorted(str(r.doc_id) for r in clean.collect()) == sorted(str(r.doc_id) for r in docs.collect() if r.doc_id != 30)
 
 
+def test_short_texts_in_related_languages_stay(spark):
+    rows = [(4 * i + k, f"hus dag vann {own}", lang) for i in range(5) for k, (lang, own) in enumerate(
+        [("da", "hvad"), ("nb", "hva"), ("nn", "kva"), ("sv", "vad")])]
+    rows += [(100, "hus", None), (101, "hus dag", None), (102, "vann", "nn"), (103, "123", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r.doc_id for r in cp.identify_language(spark, docs, "").collect()} == {r[0] for r in rows} - {103}
+
+
 def test_run_and_empty(spark, corpus, tmp_path):
     sf, docs = corpus
     out = cp.run(spark, sf)
