@@ -17,6 +17,7 @@ targets: either they are few enough to broadcast or no key is hot.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -27,8 +28,10 @@ from pyspark.sql import functions as F
 from .common import cut_lineage, read_table
 from .ordering import positions
 
+#: Nodes that are hashed upwards together, as one group of a shuffle.
+GROUP_NODES = 729
 #: Targets of a self-join are broadcast up to this number of rows times hashes in their segments (32 bytes each).
-BROADCAST_HASHES = 1_000_000
+BROADCAST_HASHES = 65_536
 #: Rows of the table of places (four numbers and a group) that a join may broadcast, and the bytes of its groups.
 BROADCAST_PLACES, BROADCAST_PLACE_BYTES = 200_000, 16 << 20
 
@@ -84,8 +87,8 @@ def _height(n: int, fan: int) -> int:
     return h
 
 
-def _placed(rows: DataFrame, group: str, order: Sequence[str]) -> tuple[DataFrame, int, int]:
-    """own (all columns of ``rows``), leaf, s (number of the group), i (place in it), n (its size); the number of groups and the largest size."""
+def _placed(rows: DataFrame, group: str, order: Sequence[str]) -> tuple[DataFrame, int, int, int]:
+    """own (all columns of ``rows``), leaf, s (number of the group), i (place in it), n (its size); the numbers of rows and groups and the largest size."""
     # all columns in one, so that no name meets the inner ones
     named = {"group": F.col(group), **{f"order{k}": F.col(c) for k, c in enumerate(order)}, "leaf": F.col("leaf"), "_row": F.monotonically_increasing_id()}
     rows, keys, group = cut_lineage(rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("own"), *[c.alias(k) for k, c in named.items()])), [*named], "group"
@@ -99,64 +102,90 @@ def _placed(rows: DataFrame, group: str, order: Sequence[str]) -> tuple[DataFram
     own = Window.partitionBy(group)
     before = F.coalesce(F.sum("_n").over(own.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     places = spans.withColumns({"_before": before, "n": F.sum("_n").over(own)}).join(numbered, F.col(group).eqNullSafe(F.col("_g")))
-    places = cut_lineage(places.select(F.col("_part").alias("_p"), "_g", "_first", "_before", "n", "s"))
-    size = places.agg(F.count("*").alias("rows"), F.max("n").alias("n"), F.sum(F.octet_length("_g").cast("long")).alias("bytes")).first()
+    places = cut_lineage(places.select(F.col("_part").alias("_p"), "_g", "_first", "_before", "_n", "n", "s"))
+    size = places.agg(F.count("*").alias("rows"), F.sum("_n").alias("all"), F.max("n").alias("n"), F.sum(F.octet_length("_g").cast("long")).alias("bytes")).first()
     if size["rows"] <= BROADCAST_PLACES and (size["bytes"] or 0) <= BROADCAST_PLACE_BYTES:
         places = F.broadcast(places)
     joined = ordered.join(places, (F.col("_part") == F.col("_p")) & F.col(group).eqNullSafe(F.col("_g")))
     i = F.col("_at") - F.col("_first") + F.col("_before")
-    return cut_lineage(joined.select("own", "leaf", "s", i.alias("i"), "n")), groups, size["n"] or 0
+    return cut_lineage(joined.select("own", "leaf", "s", i.alias("i"), "n")), size["all"] or 0, groups, size["n"] or 0
 
 
 def _climb(nodes: DataFrame, tree: Column, level: int, fan: int, top: bool) -> tuple[DataFrame, DataFrame]:
-    """Nodes (s, i, n, hash, h) of one level of trees with several: the nodes above them, and each one's link to its own."""
-    run = F.expr(f"i div {fan}")
-    runs = nodes.groupBy("s", run.alias("run"), F.expr(f"(n + {fan - 1}) div {fan}").alias("n")).agg(
-        F.sort_array(F.collect_list(F.struct("i", "hash", "h"))).alias("m"))
-    above = digest(F.array_join(F.transform("m", lambda x: hexed(x["hash"])), ""))
-    runs = cut_lineage(runs.withColumn("hash", above))
-    bottom = top and level == 0  # the group's own root is the child: group i, level h
-    side = "reduce(slice(m, {0}), X'', (a, x) -> concat(a, x.hash))"
-    links = runs.select("s", "run", "m", F.posexplode("m").alias("p", "c")).select(
-        *((F.col("c.i").alias("ks"), F.col("c.h").alias("kl"), F.lit(0).cast("long").alias("ki")) if bottom
-          else (tree.alias("ks"), F.lit(level).alias("kl"), F.col("c.i").alias("ki"))),
-        tree.alias("ts"), F.lit(level + 1).alias("tl"), F.col("run").alias("ti"),
-        F.array(F.struct(F.expr(side.format("1, p")).alias("l"), F.expr(side.format("p + 2, size(m)")).alias("r"), F.lit(top).alias("top"))).alias("seg"))
-    return runs.select("s", F.col("run").alias("i"), "n", "hash", F.lit(level + 1).alias("h")), links
-
-
-def _proofs(leaves: DataFrame, groups: int, largest: int, fan: int) -> tuple[DataFrame, str]:
-    """(ks, ki, seg): the whole proof of each leaf that has any, and the root."""
-    links, ended = [], []
-    nodes = leaves.select("s", "i", "n", F.col("leaf").alias("hash"), F.lit(0).alias("h"))
-    height, top_height = _height(largest, fan), _height(groups, fan)
-    for level in range(height):
+    """Nodes (s, i, n, hash, h) of one level, of trees with several: the nodes some levels above, and the links of all levels between.
+
+    Runs of at most ``GROUP_NODES`` nodes are hashed up together, each to one
+    node, or to the root of a tree that ends earlier."""
+    steps = max(1, int(math.log(GROUP_NODES, fan) + 1e-9))
+    span = fan ** steps
+    runs = nodes.groupBy("s", "n", F.expr(f"i div {span}").alias("run")).agg(F.sort_array(F.collect_list(F.struct("i", "hash", "h"))).alias("m"))
+    last = "element_at(acc, -1)"
+    above = (f"transform(sequence(0, (size({last}) - 1) div {fan}), "
+             f"k -> unhex(sha2(array_join(transform(slice({last}, cast(k * {fan} + 1 as int), {fan}), x -> lower(hex(x))), ''), 256)))")
+    climbs = " + ".join(f"if((n + {fan ** j - 1}) div {fan ** j} > 1, 1, 0)" for j in range(steps))
+    runs = cut_lineage(runs.select("s", "n", "run", F.expr(climbs).alias("climbs"), F.transform("m", lambda x: x["h"]).alias("heights"), F.expr(
+        f"aggregate(sequence(1, {steps}), array(transform(m, x -> x.hash)), (acc, j) -> array_append(acc, {above}))").alias("levels")))
+    each = runs.select("s", "run", "heights", F.posexplode(F.expr("slice(levels, 1, climbs)")).alias("j", "m")).select(
+        "s", "j", "m", "heights", F.expr(f"run * cast(power({fan}, {steps} - j) as long)").alias("base"), F.expr("inline(transform(m, (x, p) -> struct(p)))").alias("p"))
+    begin = F.expr(f"p - p % {fan} + 1")
+    sides = each.withColumns({"ki": F.col("base") + F.col("p"), "left": F.slice("m", begin, F.expr(f"p % {fan}")),
+                              "right": F.slice("m", F.col("p") + 2, F.expr(f"{fan - 1} - p % {fan}"))})
+    together = "reduce({0}, X'', (a, x) -> concat(a, x))"
+    bottom = F.col("j") == 0 if top and level == 0 else F.lit(False)  # a group's own root: group ki, level heights[p]
+    links = sides.select(
+        F.when(bottom, F.col("ki")).otherwise(tree).alias("ks"), F.when(bottom, F.expr("heights[p]")).otherwise(F.col("j") + level).alias("kl"),
+        F.when(bottom, F.lit(0)).otherwise(F.col("ki")).alias("ki"),
+        tree.alias("ts"), (F.col("j") + level + 1).alias("tl"), F.expr(f"ki div {fan}").alias("ti"),
+        F.array(F.struct(F.expr(together.format("left")).alias("l"), F.expr(together.format("right")).alias("r"), F.lit(top).alias("top"))).alias("seg"))
+    over = "cast(power({0}, climbs) as long)".format(fan)
+    return runs.select("s", F.col("run").alias("i"), F.expr(f"(n + {over} - 1) div {over}").alias("n"), F.expr("levels[climbs][0]").alias("hash"),
+                       (F.col("climbs") + level).alias("h")), links
+
+
+def _climbed(nodes: DataFrame, size: int, tree: Column, fan: int, top: bool) -> tuple[DataFrame, list[DataFrame]]:
+    """The roots (s, i, n, hash, h) of trees of at most ``size`` leaves, and all links."""
+    ended, links, level = [], [], 0
+    while size > 1:
         ended.append(nodes.where("n = 1"))
-        nodes, up = _climb(nodes.where("n > 1"), F.col("s"), level, fan, False)
+        nodes, up = _climb(nodes.where("n > 1"), tree, level, fan, top)
         links.append(up)
-    roots = reduce(DataFrame.union, [*ended, nodes])
-    nodes = roots.select(F.lit(-1).cast("long").alias("s"), F.col("s").alias("i"), F.lit(groups).cast("long").alias("n"), "hash", "h")
-    for level in range(top_height):
-        nodes, up = _climb(nodes, F.lit(-1).cast("long"), level, fan, True)
-        links.append(up)
-    root = nodes.select(hexed(F.col("hash"))).first()[0]
+        steps = max(1, int(math.log(GROUP_NODES, fan) + 1e-9))
+        size, level = -(-size // fan ** steps), level + steps
+    return reduce(DataFrame.union, [*ended, nodes]), links
+
+
+def _proofs(leaves: DataFrame, rows: int, groups: int, largest: int, fan: int) -> tuple[DataFrame, str]:
+    """(ks, ki, seg): the whole proof of each leaf that has any, and the root."""
+    upper = F.lit(-1).cast("long")
+    height, top_height = _height(largest, fan), _height(groups, fan)
+    roots, links = _climbed(leaves.select("s", "i", "n", F.col("leaf").alias("hash"), F.lit(0).alias("h")), largest, F.col("s"), fan, False)
+    roots = roots.select(upper.alias("s"), F.col("s").alias("i"), F.lit(groups).cast("long").alias("n"), "hash", "h")
+    summit, more = _climbed(roots, groups, upper, fan, True)
+    root, links = summit.select(hexed(F.col("hash"))).first()[0], links + more
+    spark = leaves.sparkSession
     if not links:
-        return leaves.sparkSession.createDataFrame([], "ks long, ki long, seg array<struct<l:binary,r:binary,top:boolean>>"), root
-    held = cut_lineage(reduce(DataFrame.union, links))
-    # the root: of the upper tree, or of the only group
+        return spark.createDataFrame([], "ks long, ki long, seg array<struct<l:binary,r:binary,top:boolean>>"), root
+    # pointers at the root (of the upper tree, or of the only group) turn to places that nothing has, a place each
     at_root = (F.col("ts") == (-1 if top_height else 0)) & (F.col("tl") == (top_height or height))
+    done = {"ti": F.when(at_root, F.xxhash64("ks", "kl", "ki")).otherwise(F.col("ti")), "ts": F.when(at_root, F.lit(-2)).otherwise(F.col("ts"))}
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    held = cut_lineage(reduce(DataFrame.union, links).withColumns(done).coalesce(tasks))
     far = 1
     while far < height + top_height:
         goals = held.where((F.col("ks") == -1) | (F.col("kl") >= far)).select(
             F.col("ks").alias("gs"), F.col("kl").alias("gl"), F.col("ki").alias("gi"),
             F.col("ts").alias("us"), F.col("tl").alias("ul"), F.col("ti").alias("ui"), F.col("seg").alias("more"))
-        if goals.count() * (fan - 1) * far <= BROADCAST_HASHES:
+        # at most so many nodes: of level `far` or more in each group, and all of the upper tree
+        most = 1.5 * rows / fan ** far + groups * (height + 2) + top_height
+        if most * (fan - 1) * far <= BROADCAST_HASHES:
             goals = F.broadcast(goals)
-        moved = held.where(~at_root).join(goals, (F.col("ts") == F.col("gs")) & (F.col("tl") == F.col("gl")) & (F.col("ti") == F.col("gi"))).select(
-            "ks", "kl", "ki", F.col("us").alias("ts"), F.col("ul").alias("tl"), F.col("ui").alias("ti"), F.concat("seg", "more").alias("seg"))
+        found = F.col("gs").isNotNull()
+        joined = held.join(goals, (F.col("ts") == F.col("gs")) & (F.col("tl") == F.col("gl")) & (F.col("ti") == F.col("gi")), "left").select(
+            "ks", "kl", "ki", *[F.when(found, F.col(u)).otherwise(F.col(t)).alias(t) for t, u in (("ts", "us"), ("tl", "ul"), ("ti", "ui"))],
+            F.when(found, F.concat("seg", "more")).otherwise(F.col("seg")).alias("seg"))
         far *= 2
         # what is neither a leaf nor a target of the next join has done its part
-        held = cut_lineage(held.where(at_root).union(moved).where((F.col("ks") == -1) | (F.col("kl") == 0) | (F.col("kl") >= far)))
+        held = cut_lineage(joined.where((F.col("ks") == -1) | (F.col("kl") == 0) | (F.col("kl") >= far)))
     return held.where((F.col("ks") >= 0) & (F.col("kl") == 0)).select("ks", "ki", "seg"), root
 
 
@@ -171,11 +200,11 @@ def manifest(leaves: DataFrame, group: str, order: Sequence[str], fan: int = 3)
     names; one named ``proof`` is replaced."""
     if fan < 2:
         raise ValueError("fan must be at least 2")
-    rows, groups, largest = _placed(leaves.drop("proof"), group, order)
+    rows, number, groups, largest = _placed(leaves.drop("proof"), group, order)
     none = F.expr("cast(array() as array<struct<l:binary,r:binary,top:boolean>>)")
     if not groups:
         return Manifest(rows.select("own.*", none.alias("proof")), None)
-    proofs, root = _proofs(rows, groups, largest, fan)
+    proofs, root = _proofs(rows, number, groups, largest, fan)
     joined = rows.join(proofs, (F.col("s") == F.col("ks")) & (F.col("i") == F.col("ki")), "left")
     return Manifest(joined.select("own.*", F.coalesce("seg", none).alias("proof")), root)
 
