@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from routecov.operators.sizing import broadcast_if_small
+from routecov.operators.sizing import broadcast_materialised
 from routecov.schemas import PROVIDER_COLUMNS
 
 # Allowed payment types and rate codes of metered trips.
@@ -78,8 +78,8 @@ def year_month_of_file(path_col: str = "file_path") -> Column:
 
 
 def year_month_of(ts_col: str) -> Column:
-    """Yyyy-MM of a timestamp, as year + zero-padded month."""
-    return F.concat_ws("-", F.year(ts_col).cast("string"), F.format_string("%02d", F.month(ts_col)))
+    """Yyyy-MM of a timestamp."""
+    return F.date_format(ts_col, "yyyy-MM")
 
 
 def sigma_bounds(raw: DataFrame, value_col: str, by: str | None = None, k: float = 3.0) -> DataFrame:
@@ -91,16 +91,18 @@ def sigma_bounds(raw: DataFrame, value_col: str, by: str | None = None, k: float
             .withColumn("upper_bound", F.col("mean") + k * F.col("stddev")))
 
 
-def within_sigma(df: DataFrame, raw: DataFrame, value_col: str, by: str | None = None,
-                 k: float = 3.0) -> DataFrame:
+def within_sigma(df: DataFrame, raw: DataFrame | None, value_col: str, by: str | None = None,
+                 k: float = 3.0, bounds: DataFrame | None = None) -> DataFrame:
     """keep rows whose value lies inside the bounds computed on ``raw``
-    (inclusive).  Bounds are one row per group, joined back by broadcast
-    when proven small."""
-    bounds = sigma_bounds(raw, value_col, by, k).select(
-        *([by] if by else []), "lower_bound", "upper_bound")
+    (inclusive).  Bounds are one row per group, computed once (one read of
+    ``raw``) and joined back by broadcast when proven small.  ``bounds`` (by,
+    lower_bound, upper_bound), e.g. of ``file_moments``, takes their place."""
+    if by and bounds is None:
+        bounds = broadcast_materialised(sigma_bounds(raw, value_col, by, k).select(by, "lower_bound", "upper_bound"))
     if by:
-        joined = df.join(broadcast_if_small(bounds), by)
+        joined = df.join(bounds, by)
     else:
+        bounds = sigma_bounds(raw, value_col, by, k).select("lower_bound", "upper_bound")
         lo = bounds.select("lower_bound").scalar()
         hi = bounds.select("upper_bound").scalar()
         joined = df.withColumn("lower_bound", lo).withColumn("upper_bound", hi)
@@ -110,25 +112,30 @@ def within_sigma(df: DataFrame, raw: DataFrame, value_col: str, by: str | None =
 
 def clean_metered_trips(raw: DataFrame, columns: dict[str, str] | None = None,
                         file_col: str = "file_path", sigma: float = 3.0,
-                        payment_types=VALID_PAYMENT_TYPES, rate_codes=VALID_RATE_CODES) -> DataFrame:
-    """yellow/green cleaning rule over all files at once.
+                        payment_types=VALID_PAYMENT_TYPES, rate_codes=VALID_RATE_CODES,
+                        bounds: DataFrame | None = None, month: Column | None = None,
+                        keep: list[str] | None = None) -> DataFrame:
+    """yellow/green cleaning rule over all files at once (``columns``
+    defaults to yellow; pass ``GREEN_COLUMNS`` for green).
 
     Non-null ids/amounts/codes (F2), passenger_count != 0 and fare != 0 (F8),
     different zones (F3), pick-up month equals the file's month (F10),
     allowed payment type and rate code (F7), total amount inside the
-    3-sigma bounds of the *raw* file it came from (F9, Q20); then ids cast to
-    bigint and only (pulocationID, dolocationID) kept."""
+    3-sigma bounds of the *raw* file it came from (F9, Q20; given ``bounds``,
+    e.g. kept per file, spare the pass over the raw rows); then ids cast to
+    bigint and only (pulocationID, dolocationID) and ``keep`` kept.  ``month``
+    (yyyy-MM) takes the place of the month in the file's path."""
     c = columns or YELLOW_COLUMNS
     pickup, pu, do = c["pickup"], c["pu"], c["do"]
     kept = not_null(raw, [pu, do, "total_amount", "fare_amount", "payment_type", "RatecodeID"])
     kept = (kept.where(F.col("passenger_count") != 0)
             .where(F.col(pu) != F.col(do))
-            .where(year_month_of(pickup) == year_month_of_file(file_col))
+            .where(year_month_of(pickup) == (year_month_of_file(file_col) if month is None else month))
             .where(F.col("payment_type").isin(*payment_types))
             .where(F.col("RatecodeID").isin(*rate_codes))
             .where(F.col("fare_amount") != 0))
-    kept = within_sigma(kept, raw, "total_amount", by=file_col, k=sigma)
-    return kept.select(to_long(pu).alias("pulocationID"), to_long(do).alias("dolocationID"))
+    kept = within_sigma(kept, raw, "total_amount", by=file_col, k=sigma, bounds=bounds)
+    return kept.select(to_long(pu).alias("pulocationID"), to_long(do).alias("dolocationID"), *(keep or []))
 
 
 def clean_fhv_trips(raw: DataFrame, pu: str = "PUlocationID", do: str = "DOlocationID") -> DataFrame:

@@ -8,7 +8,12 @@ equi-join whose output is only the candidate pairs that can match, checked
 exactly by the subsequence (or contiguous) test.  Cost is Σ|P|² rows instead
 of n² pairs, with no cross join.  The child table (one row per distinct
 path) is broadcast when proven small, so a hot end-point key costs no
-shuffle skew; beyond the bound AQE's skew-join splitting applies.
+shuffle skew; beyond the bound hot keys are counted and split.
+
+Contiguous containment needs no candidates: a rolling hash gives the
+fingerprint of every slice of a parent in constant time, and children meet the
+slices of their own length and fingerprint; a comparison of the ids confirms.
+The same fingerprints count sub-paths (R4) as two longs each.
 """
 
 from __future__ import annotations
@@ -16,8 +21,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from routecov.functions.paths import is_contiguous, is_subsequence
-from routecov.operators.sizing import broadcast_if_small
+from routecov.functions.paths import is_subsequence, prefix_hashes, slice_hash
+from routecov.operators.sizing import BROADCAST_MAX_BYTES, BROADCAST_MAX_ROWS, is_small, text_bytes
+from routecov.operators.skew import skew_join
+from routecov.session import cut_lineage
 
 SUBSEQUENCE, CONTIGUOUS = "subsequence", "contiguous"
 
@@ -39,6 +46,22 @@ def endpoint_pairs(parents: DataFrame) -> DataFrame:
     return firsts.select("parent", "first", F.explode(F.array_distinct(rest)).alias("last"))
 
 
+def slices(paths: DataFrame, col: str, lanes: int = 2, least: int = 1) -> DataFrame:
+    """``paths`` with a row for every slice of ``col`` of at least ``least``
+    elements, equal slices of one path once (where they first stand): the
+    columns, ``_h``, n (size), i (start from 0) and fp (fingerprint).
+
+    Slices of one size are sorted by fingerprint, which brings equal ones
+    together; a row holds the slices of one size of one path at a time."""
+    hashed = paths.where(F.size(col) >= least).withColumn("_h", prefix_hashes(f"`{col}`", lanes))
+    sized = hashed.withColumn("n", F.explode(F.expr(f"sequence({least}, size(`{col}`))")))
+    here = f"transform(sequence(0, size(`{col}`) - n), i -> named_struct('fp', {slice_hash('_h', 'i', 'n')}, 'i', i))"
+    same = f"_s[k - 1].fp = x.fp and slice(`{col}`, _s[k - 1].i + 1, n) = slice(`{col}`, x.i + 1, n)"
+    return (sized.withColumn("_s", F.expr(f"array_sort({here})"))
+            .withColumn("_f", F.explode(F.expr(f"filter(_s, (x, k) -> k = 0 or not ({same}))")))
+            .select(*paths.columns, "_h", "n", F.col("_f.i").alias("i"), F.col("_f.fp").alias("fp")))
+
+
 def contained_pairs(path_freq: DataFrame, containment: str = SUBSEQUENCE, parents: DataFrame | None = None) -> DataFrame:
     """(parent, child, frequency) for each child path contained in parent,
     the parent itself included; ``frequency`` is the child's.  ``parents``
@@ -47,17 +70,25 @@ def contained_pairs(path_freq: DataFrame, containment: str = SUBSEQUENCE, parent
         raise ValueError(f"containment must be {SUBSEQUENCE!r} or {CONTIGUOUS!r}")
     paths = unique_paths(path_freq)
     wanted = paths if parents is None else paths.join(parents.select("trip_path"), "trip_path", "left_semi")
-    keys = endpoint_pairs(wanted.select(F.col("trip_path").alias("parent")))
-    children = paths.select(F.col("trip_path").alias("child"), "frequency",
-                            F.col("trip_path")[0].alias("c_first"),
-                            F.element_at("trip_path", -1).alias("c_last"))
-    test = is_subsequence if containment == SUBSEQUENCE else is_contiguous
-    # children are one row per distinct path (bounded by zones²): broadcast
-    # them once proven small, so the Σ|P|² side is never shuffled
-    children = broadcast_if_small(children)
-    return (keys.join(children, (keys["first"] == children.c_first) & (keys["last"] == children.c_last))
-            .where(test(F.col("child"), F.col("parent")))
-            .select("parent", "child", "frequency"))
+    wanted = wanted.select(F.col("trip_path").alias("parent"))
+    children = paths.select(F.col("trip_path").alias("child"), "frequency")
+    if containment == CONTIGUOUS:
+        keys = slices(wanted, "parent").drop("_h")
+        children = children.withColumn("_h", prefix_hashes("child")).selectExpr(
+            "child", "frequency", "size(child) as n", f"{slice_hash('_h', '0', 'size(child)')} as fp")
+        on, test = ["n", "fp"], F.expr("slice(parent, i + 1, n) = child")
+    else:
+        keys = endpoint_pairs(wanted)
+        children = children.selectExpr("child", "frequency", "child[0] as first", "element_at(child, -1) as last")
+        on, test = ["first", "last"], is_subsequence(F.col("child"), F.col("parent"))
+    # children are one row per distinct path: broadcast them once proven small,
+    # so the side of the parents is never shuffled; else split its hot keys
+    children = cut_lineage(children)
+    if is_small(children, BROADCAST_MAX_ROWS) and text_bytes(children) <= BROADCAST_MAX_BYTES:
+        joined = keys.join(F.broadcast(children), on)
+    else:
+        joined = skew_join(keys, children, on)
+    return joined.where(test).select("parent", "child", "frequency")
 
 
 def coverage_count(path_freq: DataFrame, containment: str = SUBSEQUENCE) -> DataFrame:
@@ -81,15 +112,15 @@ def covered_sub_paths(path_freq: DataFrame, containment: str = SUBSEQUENCE) -> D
 
 def sub_path_frequency(path_freq: DataFrame, min_len: int = 2) -> DataFrame:
     """Every contiguous sub-path (length >= min_len) of every path with the
-    summed frequency of the paths that contain it."""
-    paths = unique_paths(path_freq)
-    starts = paths.select("trip_path", "frequency", F.posexplode("trip_path").alias("i", "_z"))
-    subs = starts.select(
-        "trip_path", "frequency", "i",
-        F.explode(F.transform(
-            F.sequence(F.lit(min_len), F.greatest(F.size("trip_path") - F.col("i"), F.lit(min_len))),
-            lambda n: F.slice("trip_path", F.col("i") + 1, n))).alias("sub_path"))
-    # a sub-path counts once per containing path: only where it first occurs in it
-    earlier = F.expr("exists(sequence(0, i), j -> j < i and slice(trip_path, j + 1, size(sub_path)) = sub_path)")
-    return (subs.where((F.size("sub_path") >= min_len) & ~earlier)
-            .groupBy("sub_path").agg(F.sum("frequency").cast("bigint").alias("frequency")))
+    summed frequency of the paths that contain it, once per containing path.
+
+    Slices are grouped by their size and two fingerprints of 62 bits from four
+    independent rolling hashes; only for each distinct one is the sub-path
+    itself cut out of one path that holds it."""
+    paths = cut_lineage(unique_paths(path_freq).withColumn("id", F.monotonically_increasing_id()))
+    each = slices(paths, "trip_path", lanes=4, least=min_len)
+    found = (each.select("id", "frequency", "n", "i", "fp", F.expr(slice_hash("_h", "i", "n", 1)).alias("fp2"))
+             .groupBy("n", "fp", "fp2").agg(F.sum("frequency").cast("bigint").alias("frequency"),
+                                            F.min_by("i", "id").alias("i"), F.min("id").alias("id")))
+    return (found.join(paths.select("id", "trip_path"), "id")
+            .select(F.slice("trip_path", F.col("i") + 1, F.col("n")).alias("sub_path"), "frequency"))

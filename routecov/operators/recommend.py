@@ -58,10 +58,14 @@ def top_k_routes(coverage: DataFrame, lookup: DataFrame, k: int, m: int,
     return readable_paths(top, zone_names(lookup, short_names)).select("route", "coverage_count", "trip_path")
 
 
-def coverage_percentage(routes: DataFrame, path_freq: DataFrame) -> DataFrame:
+def coverage_percentage(routes: DataFrame, path_freq: DataFrame, unreachable: DataFrame | None = None) -> DataFrame:
     """R2: coverage_percentage = round(coverage_count / total * 100, 2), total
-    = sum of all path frequencies (a scalar subquery, evaluated once)."""
-    total = path_freq.select(F.sum("frequency")).scalar()
+    = sum of all path frequencies (a scalar subquery, evaluated once) and, if
+    given, of the trips (frequency) of pairs without a path."""
+    counted = path_freq.select("frequency")
+    if unreachable is not None:
+        counted = counted.union(unreachable.select("frequency"))
+    total = counted.select(F.sum("frequency")).scalar()
     return routes.withColumn(
         "coverage_percentage", F.round(F.try_divide(F.col("coverage_count"), total) * 100.0, 2))
 

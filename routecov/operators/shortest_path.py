@@ -1,112 +1,100 @@
 """Deterministic weighted shortest paths as an iterative Spark job.
 
 The reference runs a driver-style Dijkstra once per (pick-up, drop-off) row
-inside executor tasks.  Here all sources advance together as frontier
-relaxation over the edge table:
-
-    state(source, node, best)   best = struct(dist, hops, path)
-    round: frontier ⋈ edges -> candidates; state ∪ candidates
-           -> min(best) per (source, node), remembering the previous best
-           -> checkpoint; the rows that improved are the next frontier
-
-The struct order (dist, hops, path) is a total order, so ties between equal
-length paths are broken by fewer hops, then by the smaller id sequence: the
-result does not depend on partitioning or arrival order.  With non-negative
-weights the loop stops after (max hops of a best path + 1) rounds.  Each
-round is checkpointed to the reliable checkpoint folder, so lineage stays
-one round deep and a lost executor only recomputes the current round.  The
-driver sees one emptiness flag per round, never data.
+inside executor tasks.  Here all sources advance together, one more edge a
+round, and only what improved moves:
+
+    state(source, node, cost, path, at)     a table bucketed by (source, node)
+    round r: rows with at = r - 1  ⋈ edges -> candidates
+             least (cost, path) per (source, node), shuffled to the buckets
+             state ⟗ candidates in place -> the next version of the state
+
+``cost`` is one number that orders by distance, then by the number of edges:
+each edge costs weight * S + 1, S being above any number of edges on a path.
+Among equal costs the smaller id sequence wins.  A row that improves in round r
+has r edges, so all candidates of one cost meet in one round and the order
+(dist, hops, path) is total: the result does not depend on partitioning or
+arrival order.  The state never goes through a shuffle: it is joined where it
+lies and written from the same tasks.  With non-negative weights the loop stops
+after (most edges of a best path + 1) rounds; a round is one write, whose
+observed number of improved rows ends the loop.  Each version is a table in the
+shared scratch folder, so a lost executor repeats part of one round.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from routecov.operators.sizing import BROADCAST_MAX_ROWS
+from routecov.operators.skew import heavy_keys, skew_join
 from routecov.session import cut_lineage
+from routecov.sinks.bucketed import Rounds
 
-_BEST = "best"
+_LONG = 1 << 62
 
 
-def _best(dist, hops, path):
-    return F.struct(dist.cast("bigint").alias("dist"), hops.cast("int").alias("hops"),
-                    path.alias("path"))
-
-
-def _relax(state: DataFrame, frontier: DataFrame, e: DataFrame, max_dist: int | None = None) -> DataFrame:
-    """One relaxation step: (source, node, best, _changed)."""
-    cand = (frontier.join(e, frontier.node == e.src)
-            .where(~F.array_contains(F.col(f"{_BEST}.path"), F.col("dst"))))
-    if max_dist is not None:
-        cand = cand.where(F.col(f"{_BEST}.dist") + F.col("weight") <= F.lit(max_dist))
-    cand = (cand
-            .select("source", F.col("dst").alias("node"),
-                    _best(F.col(f"{_BEST}.dist") + F.col("weight"),
-                          F.col(f"{_BEST}.hops") + 1,
-                          F.concat(F.col(f"{_BEST}.path"), F.array(F.col("dst"))))
-                    .alias(_BEST),
-                    F.lit(False).alias("_old")))
-    merged = state.select("source", "node", _BEST, F.lit(True).alias("_old")).unionByName(cand)
-    return (merged.groupBy("source", "node")
-            .agg(F.min(_BEST).alias(_BEST), F.min(F.when(F.col("_old"), F.col(_BEST))).alias("_prev"))
-            .select("source", "node", _BEST,
-                    (F.col("_prev").isNull() | (F.col(_BEST) < F.col("_prev"))).alias("_changed")))
+def _costed(edges: DataFrame) -> tuple[DataFrame, int, str, bool]:
+    """Edges (src, dst, cost), the factor S, the type of costs, and whether the edges may be broadcast."""
+    e = cut_lineage(edges.select(F.col("src").cast("bigint").alias("src"), F.col("dst").cast("bigint").alias("dst"),
+                                 F.col("weight").cast("bigint").alias("weight")))
+    # one pass over the materialised edges: weight check, bounds of a path and size proof together
+    seen = e.agg(F.min("weight").alias("least"), F.max("weight").alias("most"), F.count(F.lit(1)).alias("rows"),
+                 F.count_distinct("dst").alias("nodes")).first()
+    if seen["least"] is not None and seen["least"] < 0:
+        raise ValueError("shortest_paths needs non-negative edge weights")
+    factor = 1 << (seen["nodes"] + 1).bit_length()  # a best path enters no node twice
+    fits = ((seen["most"] or 0) * (seen["nodes"] + 1) + 1) * factor < _LONG
+    kind = "bigint" if fits else "decimal(38,0)"
+    costed = e.where("weight is not null").select(
+        "src", "dst", (F.col("weight").cast(kind) * F.lit(factor).cast(kind) + F.lit(1).cast(kind)).cast(kind).alias("step"))
+    return costed, factor, kind, seen["rows"] <= BROADCAST_MAX_ROWS  # three numbers a row
 
 
 def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "source",
-                   max_rounds: int = 100_000, steps_per_checkpoint: int = 2,
-                   max_dist: int | None = None) -> DataFrame:
+                   max_rounds: int = 100_000, max_dist: int | None = None) -> DataFrame:
     """N8+N9: best path from every listed source to every reachable node.
 
     Returns (source, node, dist, hops, path array<bigint>); the source itself
     is included with dist 0.  Unreachable nodes have no row (the reference
-    returns a one-element path there, see SURVEY Q3).
-
-    Per step: frontier ⋈ edges (broadcast when the edge table is proven
-    small) -> candidates, unioned with the state and reduced by one grouped
-    ``min`` per (source, node) that also keeps the previous best, so the
-    "improved" flag costs no extra join: one shuffle per step.  Each round
-    chains ``steps_per_checkpoint`` steps (each expands the rows the previous
-    one improved), then checkpoints; the loop ends when the last step of a
-    round improves nothing.  ``max_dist`` bounds the state on large graphs:
-    nodes farther than it from a source get no row.
-    """
-    e = cut_lineage(edges.select(F.col("src").cast("bigint").alias("src"),
-                                 F.col("dst").cast("bigint").alias("dst"),
-                                 F.col("weight").cast("bigint").alias("weight")))
-    # one pass over the materialised edges: weight check and size proof together
-    stats = e.agg(F.min("weight").alias("min_w"), F.count(F.lit(1)).alias("n")).first()
-    if stats["min_w"] is not None and stats["min_w"] < 0:
-        raise ValueError("shortest_paths needs non-negative edge weights")
-    if stats["n"] <= BROADCAST_MAX_ROWS:
-        e = F.broadcast(e)  # three longs a row
-    # beyond that bound each step joins frontier and edges by a shuffle of both
-
+    returns a one-element path there, see SURVEY Q3).  ``max_dist`` bounds the
+    state on large graphs: nodes farther than it from a source get no row.
+
+    A small edge table is broadcast; beyond the bound frontier and edges are
+    joined by a shuffle of both, nodes with very many edges split."""
+    e, factor, kind, small = _costed(edges)
+    hubs = None
+    if small:
+        e = F.broadcast(e)
+    else:
+        hubs = heavy_keys(e, ["src"])
     seed = (sources.select(F.col(source_col).cast("bigint").alias("source"))
             .where(F.col("source").isNotNull()).distinct())
-    # the seed is cheap to recompute (a distinct over the sources), so the
-    # first round starts from it directly and checkpoints its own output
-    state = seed.select("source", F.col("source").alias("node"),
-                        _best(F.lit(0), F.lit(0), F.array(F.col("source"))).alias(_BEST))
-    frontier = state
-
-    for _ in range(max_rounds):
-        step = None
-        for _s in range(max(1, steps_per_checkpoint)):
-            step = _relax(state, frontier, e, max_dist)
-            state = step.select("source", "node", _BEST)
-            frontier = step.where("_changed").select("source", "node", _BEST)
-        step = cut_lineage(step)
-        state = step.select("source", "node", _BEST)
-        frontier = step.where("_changed").select("source", "node", _BEST)
-        if frontier.isEmpty():
+    rounds = Rounds(seed.sparkSession, "shortest_paths", ["source", "node"])
+    state = rounds.put(seed.select("source", F.col("source").alias("node"), F.lit(0).cast(kind).alias("cost"),
+                                   F.array("source").alias("path"), F.lit(0).alias("at")), dealt=False)
+    for r in range(1, max_rounds + 1):
+        frontier = state.where(F.col("at") == r - 1).select("source", F.col("node").alias("src"), "cost", "path")
+        reached = frontier.join(e, "src") if small else skew_join(e, frontier, ["src"], heavy=hubs)
+        reached = reached.select("source", F.col("dst").alias("node"), (F.col("cost") + F.col("step")).cast(kind).alias("cost"),
+                                 F.concat("path", F.array("dst")).alias("path"))
+        if max_dist is not None:
+            reached = reached.where(F.expr(f"cost div {factor}") <= max_dist)
+        found = (reached.groupBy("source", "node").agg(F.min(F.struct("cost", "path")).alias("_new")))
+        better = F.col("_new").isNotNull() & (F.col("cost").isNull() | (F.col("_new.cost") < F.col("cost")))
+        seen = Observation()
+        step = (state.join(found, ["source", "node"], "full_outer")
+                .select("source", "node", *[F.when(better, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in ("cost", "path")],
+                        F.when(better, F.lit(r)).otherwise(F.col("at")).alias("at"))
+                .observe(seen, F.count(F.when(F.col("at") == r, 1)).alias("improved")))
+        state = rounds.put(step)
+        if not seen.get["improved"]:
             break
     else:
         raise RuntimeError(f"shortest_paths did not converge in {max_rounds} rounds")
 
-    return state.select("source", "node", F.col(f"{_BEST}.dist").alias("dist"),
-                        F.col(f"{_BEST}.hops").alias("hops"), F.col(f"{_BEST}.path").alias("path"))
+    return rounds.last().select("source", "node", F.expr(f"cast(cost div {factor} as bigint)").alias("dist"),
+                                F.expr(f"cast(cost % {factor} as int)").alias("hops"), "path")
 
 
 def path_frequency(freq: DataFrame, edges: DataFrame) -> DataFrame:

@@ -42,6 +42,14 @@ def text_bytes(df: DataFrame) -> int:
     return df.agg(F.sum(F.octet_length(F.to_json(F.struct(*[f"`{c}`" for c in wide]))).cast("bigint"))).first()[0] or 0
 
 
+def broadcast_materialised(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Like ``broadcast_if_small`` for an aggregate or other result far smaller
+    than what it is computed from: it is computed once, into the checkpoint
+    folder, and its size is read from there."""
+    kept = cut_lineage(df)
+    return F.broadcast(kept) if is_small(kept, max_rows) and text_bytes(kept) <= max_bytes else kept
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Broadcast hint on ``df`` once it is proven to hold at most ``max_rows``
     rows and, of texts, lists and structs, at most ``max_bytes``.

@@ -7,11 +7,13 @@ map over the input partitions with no shuffle and no UDF.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from routecov.functions.geo import boundary_is_valid, multipolygon_body, parse_multipolygon, ring_mean
-from routecov.operators.sizing import broadcast_if_small
+from routecov.operators.sizing import BROADCAST_MAX_ROWS, is_small
+from routecov.operators.skew import skew_join
+from routecov.session import cut_lineage
 
 _BOROUGH_TEXT = r"^[a-zA-Z ]+$"
 
@@ -97,54 +99,38 @@ def zone_points(zones: DataFrame) -> DataFrame:
             .select("location_id", F.col("p.x").alias("x"), F.col("p.y").alias("y")).distinct())
 
 
-def shared_point_neighbours(zones: DataFrame, min_shared: int = 2, hot_degree: int = 64) -> DataFrame:
-    """Zones whose boundaries share at least ``min_shared`` (>= 2)
-    identical points, both directions: (location_id, neighbor_location_id).
-
-    Exact without pairing all zones of a crowded point: points shared by at
-    most ``hot_degree`` zones are self-joined per point (bounded groups);
-    the few points shared by more ("hot", at most incidences / hot_degree)
-    never get a per-point pair join.  Candidate pairs from normal points add
-    their shared hot points with ``array_intersect`` of per-zone hot sets, and
-    pairs sharing only hot points come from joining zones on a pair of hot
-    points -- every pair emitted there already shares two points, so that
-    join is output-sized."""
-    if min_shared < 2:
-        raise ValueError("min_shared must be at least 2")
-    inc = zone_points(zones)
-    deg = inc.groupBy("x", "y").agg(F.count(F.lit(1)).alias("_deg"))
-    hot = deg.where(F.col("_deg") > hot_degree).select("x", "y", F.lit(True).alias("_hot"))
-    flagged = inc.join(broadcast_if_small(hot), ["x", "y"], "left")
-    normal = flagged.where(F.col("_hot").isNull()).select("location_id", "x", "y")
-    hot_inc = flagged.where(F.col("_hot")).select("location_id", F.struct("x", "y").alias("pt"))
-
-    a = normal.select(F.col("location_id").alias("a"), "x", "y")
-    b = normal.select(F.col("location_id").alias("b"), "x", "y")
-    via_normal = (a.join(b, ["x", "y"]).where(F.col("a") < F.col("b"))
-                  .groupBy("a", "b").agg(F.count(F.lit(1)).alias("_n")))
-
-    hot_sets = hot_inc.groupBy("location_id").agg(F.array_sort(F.collect_set("pt")).alias("_h"))
-    hs = broadcast_if_small(hot_sets)
-    ha = hs.select(F.col("location_id").alias("a"), F.col("_h").alias("_ha"))
-    hb = hs.select(F.col("location_id").alias("b"), F.col("_h").alias("_hb"))
-    both_hot = F.col("_ha").isNotNull() & F.col("_hb").isNotNull()  # size(NULL) is -1 without ANSI
-    shared_hot = F.when(both_hot, F.size(F.array_intersect("_ha", "_hb"))).otherwise(0)
-    from_normal = (via_normal.join(ha, "a", "left").join(hb, "b", "left")
-                   .where(F.col("_n") + shared_hot >= min_shared).select("a", "b"))
-
-    # pairs of hot points per zone (bounded by the zone's own hot points)
-    n = F.size("_h")
-    hot_pairs = hot_sets.where(n >= 2).select("location_id", F.explode(F.flatten(F.transform(
-        F.sequence(F.lit(0), n - 1),
-        lambda i: F.transform(F.slice("_h", i + 2, n), lambda q: F.struct(F.get("_h", i).alias("p1"), q.alias("p2"))))))
-        .alias("_pp"))
-    ka = hot_pairs.select(F.col("location_id").alias("a"), "_pp")
-    kb = hot_pairs.select(F.col("location_id").alias("b"), "_pp")
-    only_hot = (ka.join(kb, "_pp").where(F.col("a") < F.col("b")).select("a", "b").distinct()
-                .join(ha, "a").join(hb, "b")
-                .join(via_normal.select("a", "b"), ["a", "b"], "left_anti")
-                .where(F.size(F.array_intersect("_ha", "_hb")) >= min_shared).select("a", "b"))
-
-    pairs = from_normal.union(only_hot).distinct()
-    return (pairs.select(F.col("a").alias("location_id"), F.col("b").alias("neighbor_location_id"))
-            .union(pairs.select(F.col("b").alias("location_id"), F.col("a").alias("neighbor_location_id"))))
+def shared_point_neighbours(zones: DataFrame, min_shared: int = 2) -> DataFrame:
+    """Zones whose boundaries share at least ``min_shared`` identical
+    points, both directions: (location_id, neighbor_location_id).
+
+    A zone's points are ordered by the number of zones they belong to, rarest
+    first.  Two zones that share ``min_shared`` points share one that is not
+    among the last ``min_shared - 1`` of either, so only those points are
+    joined: a point that thousands of zones share is the last of each and pairs
+    nobody.  Shared points among the last ones are then looked up for the pairs
+    found, by (zone, point), which is unique."""
+    if min_shared < 1:
+        raise ValueError("min_shared must be at least 1")
+    inc = cut_lineage(zone_points(zones))
+    degree = cut_lineage(inc.groupBy("x", "y").agg(F.count(F.lit(1)).alias("_deg")))
+    if is_small(degree, BROADCAST_MAX_ROWS):
+        ranked = inc.join(F.broadcast(degree), ["x", "y"])  # three numbers a row
+    else:
+        ranked = skew_join(inc, degree, ["x", "y"])
+    own = Window.partitionBy("location_id").orderBy(F.desc("_deg"), "x", "y")
+    ranked = cut_lineage(ranked.withColumn("_last", F.row_number().over(own) < min_shared).select("location_id", "x", "y", "_last"))
+    head, tail = ranked.where("not _last").drop("_last"), ranked.where("_last").drop("_last")
+    a, b = (head.select(F.col("location_id").alias(z), "x", "y") for z in ("a", "b"))
+    pairs = cut_lineage(a.join(b, ["x", "y"]).where("a < b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")))
+    few = pairs.where(F.col("n") < min_shared).select("a", "b")
+
+    def among_last(one: str, other: str, points: DataFrame) -> DataFrame:
+        """Points among the last of ``one`` that are ``points`` of ``other``."""
+        asked = few.join(tail.withColumnRenamed("location_id", one), one)
+        return asked.join(points.withColumnRenamed("location_id", other), [other, "x", "y"], "left_semi").select("a", "b", F.lit(1).alias("n"))
+
+    # the last of a against all of b, the last of b against the others of a: no point twice
+    counts = (pairs.select("a", "b", "n").unionByName(among_last("a", "b", ranked.drop("_last"))).unionByName(among_last("b", "a", head))
+              .groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= min_shared))
+    return (counts.select(F.col("a").alias("location_id"), F.col("b").alias("neighbor_location_id"))
+            .union(counts.select(F.col("b").alias("location_id"), F.col("a").alias("neighbor_location_id"))))

@@ -530,11 +530,64 @@ FROM met_v"""
 SQL["st_streaming_trip_frequency"] = with_views("allfreq_v") + "SELECT * FROM allfreq_v"
 
 SQL["g6_shared_point_neighbours"] = """
-WITH cell AS (SELECT CAST(n_nationkey AS BIGINT) AS id, n_nationkey % 5 AS x, n_nationkey // 5 AS y
-              FROM nation WHERE n_nationkey >= 1),
-pts AS (SELECT id, x + d.dx AS px, y + d.dy AS py FROM cell, (VALUES (0, 0), (1, 0), (1, 1), (0, 1)) d(dx, dy))
+WITH cell AS (SELECT CAST(vec_id AS BIGINT) AS id, vec_id % 25 AS x, vec_id // 25 AS y FROM embeddings
+              WHERE vec_id >= 1 AND vec_id % 5 IN (SELECT r_regionkey FROM region)),
+pts AS (SELECT id, x + d.dx AS px, y + d.dy AS py FROM cell, (VALUES (0, 0), (1, 0), (1, 1), (0, 1)) d(dx, dy)
+        UNION SELECT id, -9, -9 FROM cell WHERE id % 3 = 0)
 SELECT a.id AS location_id, b.id AS neighbor_location_id
 FROM pts a JOIN pts b ON a.px = b.px AND a.py = b.py AND a.id <> b.id
 GROUP BY a.id, b.id HAVING count(*) >= 2"""
 
 SQL["g6_shared_point_neighbours_default"] = SQL["g6_shared_point_neighbours"]
+
+SQL["n11_find"] = with_views("eib_v", "trip_v") + """
+, both_e AS (SELECT src, dst FROM eib_v UNION SELECT dst, src FROM eib_v),
+reach(n, m) AS (SELECT src, src FROM both_e UNION SELECT r.n, e.dst FROM reach r JOIN both_e e ON e.src = r.m),
+comp AS (SELECT n, min(m) AS c FROM reach GROUP BY n)
+SELECT DISTINCT pu_location_id * 2 AS node, coalesce(c, pu_location_id * 2) AS component
+FROM trip_v LEFT JOIN comp ON n = pu_location_id * 2"""
+
+SQL["n11_union"] = with_views("eib_v", "allfreq_v") + """
+, added AS (SELECT pu_location_id AS src, max_by(do_location_id, {'f': frequency, 'd': do_location_id}) AS dst FROM allfreq_v
+            WHERE pu_location_id % 6 = 0 AND pu_location_id <> do_location_id GROUP BY pu_location_id),
+all_e AS (SELECT src, dst FROM eib_v UNION SELECT src, dst FROM added),
+both_e AS (SELECT src, dst FROM all_e UNION SELECT dst, src FROM all_e),
+reach(n, m) AS (SELECT src, src FROM both_e UNION SELECT r.n, e.dst FROM reach r JOIN both_e e ON e.src = r.m)
+SELECT n AS node, min(m) AS component FROM reach GROUP BY n"""
+
+SQL["r5_route_clusters"] = with_views("pf_v") + f"""
+, zs AS (SELECT trip_path, frequency, list_sort(list_distinct(trip_path)) AS z FROM pf_v WHERE len(list_distinct(trip_path)) >= 4),
+s AS (SELECT z, row_number() OVER (ORDER BY z) AS id FROM (SELECT DISTINCT z FROM zs)),
+link AS (SELECT a.id AS x, b.id AS y FROM s a JOIN s b ON a.id <> b.id
+         WHERE 100 * len(list_intersect(a.z, b.z)) >= 75 * (len(a.z) + len(b.z) - len(list_intersect(a.z, b.z)))),
+reach(n, m) AS (SELECT id, id FROM s UNION SELECT r.n, l.y FROM reach r JOIN link l ON l.x = r.m),
+comp AS (SELECT n AS id, min(m) AS c FROM reach GROUP BY n),
+member AS (SELECT trip_path, frequency, c FROM zs JOIN s USING (z) JOIN comp USING (id)),
+cl AS (SELECT c, min(trip_path) AS cluster, count(DISTINCT trip_path) AS cluster_routes, CAST(sum(frequency) AS BIGINT) AS cluster_frequency
+       FROM member GROUP BY c)
+SELECT DISTINCT {txt('trip_path')} AS trip_path, {txt('cluster')} AS cluster, cluster_routes, cluster_frequency
+FROM member JOIN cl USING (c)"""
+
+SQL["f14_clean_green_trips"] = SQL["f14_clean_metered_trips"]
+
+SQL["f9_file_moments"] = with_views("met_v") + r"""
+SELECT regexp_extract(file_path, '(\d{4}-\d{2})', 1) AS file_month, count(total_amount) AS n,
+       round(avg(total_amount) - 3 * stddev_samp(total_amount), 3) AS lower_bound,
+       round(avg(total_amount) + 3 * stddev_samp(total_amount), 3) AS upper_bound
+FROM met_v GROUP BY file_month"""
+
+SQL["p8_unify_four_providers"] = with_views("met_v", "trip_v") + """
+, shape AS (SELECT pickup AS pu_datetime, dropoff AS do_datetime, CAST(pu AS BIGINT) AS pu_location_id,
+                   CAST(dro AS BIGINT) AS do_location_id FROM met_v),
+fhv AS (SELECT pu_datetime, do_datetime, pu_location_id, do_location_id FROM trip_v)
+SELECT 'yellow' AS tlc_type, * FROM shape UNION ALL SELECT 'green' AS tlc_type, * FROM shape
+UNION ALL SELECT 'fhv' AS tlc_type, * FROM fhv UNION ALL SELECT 'fhvhv' AS tlc_type, * FROM fhv"""
+
+SQL["s4_read_by_schema"] = SQL["p8_unify_providers"]
+
+SQL["s2_read_month_folders"] = with_views("met_v") + """
+SELECT 'yellow' AS tlc_type, pickup AS pu_datetime, dropoff AS do_datetime, CAST(pu AS BIGINT) AS pu_location_id,
+       CAST(dro AS BIGINT) AS do_location_id
+FROM met_v WHERE month(pickup) <> 7 AND strftime(pickup, '%Y-%m') BETWEEN '1996-05' AND '1997-02'"""
+
+SQL["k4_bucketed_trip_frequency"] = with_views("allfreq_v") + "SELECT * FROM allfreq_v"

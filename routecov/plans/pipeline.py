@@ -49,8 +49,8 @@ def recommend_routes(trips: DataFrame, edges: DataFrame, lookup: DataFrame,
         zones = gr.nodes(edges).select(F.col("node").alias("location_id"))
     freq = cut_lineage(fq.trip_frequency(trips, zones=zones, isolated=isolated))
     paths, unreachable = sp.path_frequency_and_rest(freq, edges)
-    paths = cut_lineage(paths)
+    paths, unreachable = cut_lineage(paths), cut_lineage(unreachable)
     coverage = cut_lineage(cov.coverage_count(paths, containment))
     routes = rec.top_k_routes(coverage, lookup, k, m, short_names)
-    pct = rec.coverage_percentage(routes, paths)
+    pct = rec.coverage_percentage(routes, paths, unreachable)  # of all trips, also those without a path
     return RouteReport(freq, paths, coverage, routes, pct, unreachable)

@@ -17,16 +17,20 @@ from routecov.functions.paths import path_text, short_zone_name
 from routecov.operators import clean as cl
 from routecov.operators import components as comp
 from routecov.operators import coverage as cov
+from routecov.operators import file_moments as fm
 from routecov.operators import frequency as fq
 from routecov.operators import graph as gr
 from routecov.operators import profile as pf
 from routecov.operators import recommend as rec
+from routecov.operators import route_clusters as rc
 from routecov.operators import shortest_path as sp
 from routecov.operators import zones as zn
 from routecov import schemas
 from routecov.plans import fixture_plans as fx
-from routecov.session import scratch_path
+from routecov.session import cut_lineage, scratch_path
+from routecov.sinks import bucketed as bk
 from routecov.sinks import writers as wr
+from routecov.sources import drift as dr
 from routecov.sources import readers as rd
 from routecov.plans.pipeline import recommend_routes
 from routecov.sources import testdata as td
@@ -190,15 +194,14 @@ def g1_parse_zones(spark, sf):
 
 @query("g6_shared_point_neighbours")
 def g6_shared_point_neighbours(spark, sf):
-    """Neighbours derived from shared boundary points on the grid polygons;
-    hot_degree=3 sends the 4-zone corners through the hot-point path."""
-    zones = zn.parse_zones(td.grid_zone_polygons(spark, sf))
-    return zn.shared_point_neighbours(zones, min_shared=2, hot_degree=3)
+    """Neighbours derived from two shared boundary points on the grid polygons,
+    a third of which also share one common point."""
+    return zn.shared_point_neighbours(zn.parse_zones(td.grid_zone_polygons(spark, sf)), min_shared=2)
 
 
 @query("g6_shared_point_neighbours_default")
 def g6_shared_point_neighbours_default(spark, sf):
-    """The same with the default bound of a crowded point."""
+    """The same with the default number of points."""
     return zn.shared_point_neighbours(zn.parse_zones(td.grid_zone_polygons(spark, sf)))
 
 
@@ -286,6 +289,24 @@ def n11_connected_components(spark, sf):
     return comp.connected_components(fx.edges_in_borough(spark, sf))
 
 
+@query("n11_find")
+def n11_find(spark, sf):
+    """The components of the trips' zones, of which some have no edge."""
+    asked = td.trips(spark, sf).select((F.col("pu_location_id") * 2).alias("node"))
+    return comp.find(comp.connected_components(fx.edges_in_borough(spark, sf)), asked)
+
+
+@query("n11_union")
+def n11_union(spark, sf):
+    """Components of the edges within boroughs, extended by the pairs that most
+    trips of a zone go to, where the zone's id is a multiple of 6."""
+    kept = cut_lineage(comp.connected_components(fx.edges_in_borough(spark, sf)))
+    freq = fx.pair_frequency_all(spark, sf).where("pu_location_id % 6 = 0 and pu_location_id != do_location_id")
+    new = freq.groupBy(F.col("pu_location_id").alias("src")).agg(
+        F.max_by("do_location_id", F.struct("frequency", "do_location_id")).alias("dst"))
+    return comp.union(kept, new)
+
+
 @query("n12_graph_check")
 def n12_graph_check(spark, sf):
     return gr.graph_check(fx.edges(spark, sf), td.zones(spark, sf))
@@ -327,6 +348,13 @@ def r4_sub_path_frequency(spark, sf):
     return cov.sub_path_frequency(fx.path_frequency(spark, sf)).withColumn("sub_path", path_text("sub_path"))
 
 
+@query("r5_route_clusters")
+def r5_route_clusters(spark, sf):
+    """Routes of at least four zones, clustered where they share three quarters of their zones."""
+    out = rc.route_clusters(fx.path_frequency(spark, sf), percent=75, m=4)
+    return out.withColumns({c: path_text(c) for c in ("trip_path", "cluster")})
+
+
 # --- filters and cleaning ---------------------------------------------------
 
 @query("f5_borough_trip_frequency")
@@ -359,6 +387,29 @@ def f14_clean_metered_trips(spark, sf):
     return cl.clean_metered_trips(td.metered_trips(spark, sf))
 
 
+@query("f14_clean_green_trips")
+def f14_clean_green_trips(spark, sf):
+    return cl.clean_metered_trips(td.green_trips(spark, sf), cl.GREEN_COLUMNS)
+
+
+@query("f9_file_moments")
+def f9_file_moments(spark, sf):
+    """Bounds per file from a side table that is extended as files arrive: the
+    files of the years before 1995 first, then the others."""
+    base, table = scratch_path(spark, "metered_files"), scratch_path(spark, "file_moments")
+    m = td.metered_trips(spark, sf).withColumn("file_month", cl.year_month_of_file("file_path")).select("file_month", "total_amount")
+    early = F.col("file_month") < "1995-01"
+
+    def read(paths):
+        return rd.read_tagged(spark, paths)
+
+    for part in (m.where(early), m.where(~early)):
+        part.repartition("file_month").write.mode("append").partitionBy("file_month").parquet(base)
+        known, _ = fm.update(spark, fm.listing(spark, base), table, "total_amount", read)
+    months = fm.merged(known.withColumn("file_month", cl.year_month_of_file("file_path")).where("n > 0"), ["file_month"])
+    return _round(fm.sigma_bounds(months).select("file_month", "n", "lower_bound", "upper_bound"), "lower_bound", "upper_bound", digits=3)
+
+
 def _fhv_raw(spark, sf):
     t = td.trips(spark, sf)
     return t.select(F.col("pu_datetime").alias("pickup_datetime"), F.col("do_datetime").alias("dropOff_datetime"),
@@ -376,6 +427,14 @@ def p8_unify_providers(spark, sf):
     return cl.unify_trips({"yellow": [td.metered_trips(spark, sf)], "fhv": [_fhv_raw(spark, sf)]})
 
 
+@query("p8_unify_four_providers")
+def p8_unify_four_providers(spark, sf):
+    fhv = _fhv_raw(spark, sf)
+    return cl.unify_trips({
+        "yellow": [td.metered_trips(spark, sf)], "green": [td.green_trips(spark, sf)], "fhv": [fhv],
+        "fhvhv": [fhv.withColumnsRenamed({"dropOff_datetime": "dropoff_datetime", "PUlocationID": "PULocationID", "DOlocationID": "DOLocationID"})]})
+
+
 @query("l1_zone_lookup_clean")
 def l1_zone_lookup_clean(spark, sf):
     return zn.clean_zone_lookup(td.raw_zone_lookup(spark, sf))
@@ -468,6 +527,35 @@ def s4_read_drift_groups(spark, sf):
     return rd.read_groups(spark, [[early], [late]], lambda df: cl.unify_provider(df, "yellow"))
 
 
+@query("s4_read_by_schema")
+def s4_read_by_schema(spark, sf):
+    """Monthly files of two providers whose id columns change type in different
+    years; the files' footers say which are read together."""
+    frames = []
+    for provider, raw, change in (("yellow", td.metered_trips(spark, sf), 1995), ("fhv", _fhv_raw(spark, sf), 1997)):
+        pickup, dropoff, pu, do = schemas.PROVIDER_COLUMNS[provider]
+        base = scratch_path(spark, f"drift_{provider}")
+        for early in (True, False):
+            kind = "int" if early else "string"
+            part = raw.where((F.year(pickup) < change) if early else (F.year(pickup) >= change))
+            (part.select(pickup, dropoff, F.col(pu).cast(kind).alias(pu), F.col(do).cast(kind).alias(do if early else do.lower()),
+                         F.year(pickup).alias("year"))
+             .repartition("year").write.mode("append").partitionBy("year").parquet(base))
+        frames.append(dr.read_by_schema(spark, dr.files_below(spark, base), lambda df, p=provider: cl.unify_provider(df, p), (pickup, dropoff, pu, do)))
+    return cl.union_all(frames)
+
+
+@query("s2_read_month_folders")
+def s2_read_month_folders(spark, sf):
+    """S2 on plain provider/YYYY/MM folders; months without a folder are left out."""
+    base = scratch_path(spark, "month_folders")
+    t = td.metered_trips(spark, sf).where(F.month("tpep_pickup_datetime") != 7).select(
+        "tpep_pickup_datetime", "tpep_dropoff_datetime", "PULocationID", "DOLocationID")
+    keyed = t.withColumns({"y": F.date_format("tpep_pickup_datetime", "yyyy"), "m": F.date_format("tpep_pickup_datetime", "MM")})
+    wr.write_month_folders(keyed, f"{base}/yellow", "y", "m")
+    return cl.unify_provider(rd.read_months(spark, base, "yellow", "1996-05", "1997-02", layout="folders"), "yellow")
+
+
 @query("s5_read_tagged")
 def s5_read_tagged(spark, sf):
     path = scratch_path(spark, "trips_by_file")
@@ -530,6 +618,15 @@ def k5_clean_trips_by_provider(spark, sf):
     return spark.read.parquet(path)
 
 
+@query("k4_bucketed_trip_frequency")
+def k4_bucketed_trip_frequency(spark, sf):
+    """A1 over clean trips bucketed by (pu, do)."""
+    path = scratch_path(spark, "bucketed_trips")
+    name = "trips_" + path.rsplit("-", 1)[1]
+    bk.write_bucketed_trips(td.trips(spark, sf), path, name)
+    return bk.bucketed_trip_frequency(spark, name)
+
+
 @query("k6_partitioned_provider_year")
 def k6_partitioned_provider_year(spark, sf):
     path = scratch_path(spark, "trips_cab_year")

@@ -96,3 +96,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     import uuid
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library's own intermediate tables, in any store Spark reads."""
+    if f"{ensure_checkpoint_dir(spark).rstrip('/')}/scratch/" not in path:
+        raise ValueError(f"not a scratch folder: {path}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

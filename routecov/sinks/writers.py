@@ -78,6 +78,26 @@ def write_partitioned(df: DataFrame, path: str, keys: list[str], partitions: int
     _cluster(df, keys, partitions).write.mode("overwrite").partitionBy(*keys).parquet(path)
 
 
+def write_month_folders(df: DataFrame, path: str, year_col: str, month_col: str) -> None:
+    """One job writing plain ``path/YYYY/MM`` folders: written as ``key=value``
+    folders beside it, whose files are then renamed into place."""
+    spark = df.sparkSession
+    staged = f"{path}/_staged"
+    df.withColumnsRenamed({year_col: "year", month_col: "month"}).hint("rebalance", "year", "month") \
+        .write.mode("overwrite").partitionBy("year", "month").parquet(staged)
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(staged)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{staged}/year=*/month=*")) or []:
+        source = found.getPath()
+        year, month = (part.split("=")[1] for part in source.toString().rstrip("/").split("/")[-2:])
+        target = jvm.org.apache.hadoop.fs.Path(f"{path}/{int(year):04d}/{int(month):02d}")
+        fs.mkdirs(target.getParent())
+        fs.delete(target, True)
+        fs.rename(source, target)
+    fs.delete(root, True)
+
+
 def verify_roundtrip(spark: SparkSession, df: DataFrame, path: str, fmt: str = "parquet",
                      **options) -> DataFrame:
     """K8: one row (source_count, written_count, counts_match) comparing a

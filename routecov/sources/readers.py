@@ -38,6 +38,12 @@ def month_paths(base: str, provider: str, start: str, end: str) -> list[str]:
     return out
 
 
+def missing_months(spark: SparkSession, base: str, provider: str, start: str, end: str) -> list[str]:
+    """Folders of months in [start, end] that ``base/provider`` does not have."""
+    there = {month for month, _ in existing_months(spark, base, provider)}
+    return [p for p in month_paths(base, provider, start, end) if "-".join(p.split("/")[-2:]) not in there]
+
+
 def existing_months(spark: SparkSession, base: str, provider: str) -> list[tuple[str, str]]:
     """(``'YYYY-MM'``, folder) of every ``base/provider/YYYY/MM`` folder, by month.
 
@@ -55,12 +61,16 @@ def read_months(spark: SparkSession, base: str, provider: str, start: str, end:
 
     ``layout='hive'``: ``base/tlc_type=P/year=Y/month=M`` folders, selected by
     a partition filter (pruned at planning time).  ``layout='folders'``: the
-    plain ``base/P/YYYY/MM`` layout, selected by listing the month folders."""
+    plain ``base/P/YYYY/MM`` layout, selected by listing the month folders;
+    ``missing_months`` names those of the range that are not there."""
     if layout == "folders":
         r = spark.read.option("pathGlobFilter", "*.parquet")
         if schema is not None:
             r = r.schema(schema)
-        return r.parquet(*month_paths(base, provider, start, end))
+        there = [path for month, path in existing_months(spark, base, provider) if start <= month <= end]
+        if not there:
+            raise ValueError(f"no month folder of {provider} between {start} and {end} under {base}")
+        return r.parquet(*there)
     sy, sm = map(int, start.split("-"))
     ey, em = map(int, end.split("-"))
     ym = F.col("year") * 100 + F.col("month")

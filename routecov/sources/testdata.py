@@ -99,6 +99,14 @@ def metered_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
                              F.lit(".parquet")).alias("file_path")))
 
 
+def green_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metered trips in the green-taxi shape."""
+    return (metered_trips(spark, sf_dir)
+            .withColumnsRenamed({"tpep_pickup_datetime": "lpep_pickup_datetime", "tpep_dropoff_datetime": "lpep_dropoff_datetime",
+                                 "PULocationID": "PUlocationID", "DOLocationID": "DOlocationID"})
+            .withColumn("file_path", F.replace("file_path", F.lit("yellow"), F.lit("green"))))
+
+
 def isolated_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zones without neighbours in the fixture: n_nationkey % 11 = 3."""
     return (table(spark, sf_dir, "nation")
@@ -166,18 +174,30 @@ def raw_zone_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("r_name").alias("borough")))
 
 
-def grid_zone_polygons(spark: SparkSession, sf_dir: str, width: int = 5) -> DataFrame:
-    """Raw zone polygons on a grid (the_geom, LocationID, borough): zone n is
-    the unit square at cell (n % width, n / width), so side neighbours share
-    two corners, diagonal ones one, and inner corners belong to four zones."""
-    nation = table(spark, sf_dir, "nation")
+GRID_WIDTH = 25                 # cells in a row of the grid of zones
+HUB_MOD = 3                     # every third zone also touches one common point
+
+
+def grid_zone_polygons(spark: SparkSession, sf_dir: str, width: int = GRID_WIDTH) -> DataFrame:
+    """Raw zone polygons on a grid (the_geom, LocationID, borough), one for each
+    embedding row: zone n is the unit square at cell (n % width, n / width), so
+    side neighbours share two corners, diagonal ones one, and inner corners
+    belong to four zones.  Every third zone has a second sub-region, a triangle
+    of two points of its own and one point that all these zones share."""
+    emb = table(spark, sf_dir, "embeddings")
     region = table(spark, sf_dir, "region")
-    x, y = F.col("n_nationkey") % width, (F.col("n_nationkey") / width).cast("int")
-    corners = [(x, y), (x + 1, y), (x + 1, y + 1), (x, y + 1), (x, y)]
-    ring = F.concat_ws(", ", *[F.concat_ws(" ", cx.cast("string"), cy.cast("string")) for cx, cy in corners])
-    return (nation.join(region, nation.n_regionkey == region.r_regionkey)
-            .select(F.concat(F.lit("MULTIPOLYGON ((("), ring, F.lit(")))")).alias("the_geom"),
-                    F.col("n_nationkey").alias("LocationID"), F.col("r_name").alias("borough")))
+    x, y = F.col("vec_id") % width, F.expr(f"vec_id div {width}")
+
+    def ring(points) -> Column:
+        return F.concat_ws(", ", *[F.concat_ws(" ", cx.cast("string"), cy.cast("string")) for cx, cy in points])
+
+    square = ring([(x, y), (x + 1, y), (x + 1, y + 1), (x, y + 1), (x, y)])
+    hub, far = (F.lit(-9), F.lit(-9)), -100 - F.col("vec_id")
+    triangle = ring([hub, (far, F.lit(-100)), (far, F.lit(-101)), hub])
+    body = F.when(F.col("vec_id") % HUB_MOD == 0, F.concat(square, F.lit(")), (("), triangle)).otherwise(square)
+    return (emb.join(region, (emb.vec_id % 5) == region.r_regionkey)
+            .select(F.concat(F.lit("MULTIPOLYGON ((("), body, F.lit(")))")).alias("the_geom"),
+                    F.col("vec_id").cast("int").alias("LocationID"), F.col("r_name").alias("borough")))
 
 
 def outlier_values(spark: SparkSession, sf_dir: str) -> DataFrame:

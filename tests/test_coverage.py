@@ -140,3 +140,49 @@ def test_endpoint_pairs_of_a_long_path(spark):
     assert got.where("size(parent) = 1000").count() == 500_500 and time.time() - t < 60
     assert sorted((r["first"], r["last"]) for r in got.where("size(parent) = 4").collect()) == [
         (1, 1), (1, 2), (1, 3), (2, 1), (2, 2), (2, 3), (3, 3)]
+
+
+@pytest.mark.parametrize("seed,zones", [(1, 3), (2, 8), (3, 50)])
+def test_sub_paths_match_brute_force(spark, seed, zones):
+    """R4 over paths that repeat zones and whole slices."""
+    import random
+    rnd = random.Random(seed)
+    table = [(tuple(rnd.randrange(zones) for _ in range(rnd.randint(1, 9))), rnd.randint(1, 9)) for _ in range(60)]
+    df = spark.createDataFrame([(list(p), f) for p, f in table] + [(None, 1), ([], 2)], "trip_path array<long>, frequency long").repartition(3)
+    for least in (1, 2, 4):
+        want = {}
+        for p, f in table:
+            for s in {p[i:j] for i in range(len(p)) for j in range(i + least, len(p) + 1)}:
+                want[s] = want.get(s, 0) + f
+        got = {tuple(r.sub_path): r.frequency for r in cov.sub_path_frequency(df, least).collect()}
+        assert got == want, least
+
+
+def test_contiguous_pairs_beyond_the_broadcast_bound(spark, monkeypatch):
+    data = [("1,2,1,2,1", 3), ("1,2", 4), ("2,1", 5), ("1,2,1", 6), ("12", 7), ("1", 8)]
+    want = rows(as_text(cov.coverage_count(paths(spark, data), "contiguous")), "trip_path", "coverage_count")
+    assert dict(want) == {"1,2,1,2,1": 26, "1,2": 12, "2,1": 13, "1,2,1": 23, "12": 7, "1": 8}
+    monkeypatch.setattr(cov, "BROADCAST_MAX_ROWS", 0)
+    assert rows(as_text(cov.coverage_count(paths(spark, data), "contiguous")), "trip_path", "coverage_count") == want
+    assert rows(as_text(cov.coverage_count(paths(spark, data))), "trip_path", "coverage_count")
+
+
+def test_hot_end_points_are_split(spark, monkeypatch):
+    """Half of the parents' rows under one end-point key, children above the broadcast bound."""
+    monkeypatch.setattr(cov, "BROADCAST_MAX_ROWS", 0)
+    table = [((1, 2, k, 3), 1) for k in range(100, 160)] + [((k, k + 1), 1) for k in range(200, 230)] + [((2, 3), 5)]
+    got = dict(rows(as_text(cov.coverage_count(paths(spark, [(",".join(map(str, p)), f) for p, f in table]))), "trip_path", "coverage_count"))
+    assert got == _brute_coverage(table)
+
+
+def test_share_counts_trips_without_a_path(spark):
+    pf = paths(spark, [("1,2", 6)])
+    lost = spark.createDataFrame([(1, 9, 4)], "pu_location_id bigint, do_location_id bigint, frequency bigint")
+    assert [r.coverage_percentage for r in rec.coverage_percentage(cov.coverage_count(pf), pf, lost).collect()] == [60.0]
+
+
+def test_slices_of_a_long_path_are_not_cubic(spark):
+    import time
+    df = spark.createDataFrame([(list(range(600)), 1)], "trip_path array<long>, frequency long")
+    t = time.time()
+    assert cov.slices(df, "trip_path", 2, 2).count() == 600 * 599 // 2 and time.time() - t < 60

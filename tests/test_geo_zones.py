@@ -83,10 +83,8 @@ def _brute_neighbours(zones_df, k=2):
 
 def test_shared_point_neighbours_normal_and_hot_paths(spark):
     z = _grid(spark, 4, 15)
-    want = _brute_neighbours(z)
-    for hot_degree in (64, 3, 1):  # no hot points; 4-zone corners hot; every shared point hot
-        got = rows(zn.shared_point_neighbours(z, hot_degree=hot_degree))
-        assert got == want, hot_degree
+    for k in (1, 2, 3, 4):
+        assert rows(zn.shared_point_neighbours(z, min_shared=k)) == _brute_neighbours(z, k), k
 
 
 def test_shared_point_neighbours_star_point(spark):
@@ -102,18 +100,26 @@ def test_shared_point_neighbours_star_point(spark):
     z = zn.parse_zones(raw(spark, data))
     want = _brute_neighbours(z)
     assert len(want) == 20
-    for hot_degree in (64, 2):
-        assert rows(zn.shared_point_neighbours(z, hot_degree=hot_degree)) == want
+    assert rows(zn.shared_point_neighbours(z)) == want
+    assert rows(zn.shared_point_neighbours(z, min_shared=1)) == _brute_neighbours(z, 1)
 
 
 def test_shared_point_neighbours_without_ansi(spark):
     from routecov.sources import testdata as td
     from conftest import SF001
     zones = zn.parse_zones(td.grid_zone_polygons(spark, SF001))
-    want = sorted(tuple(r) for r in zn.shared_point_neighbours(zones, hot_degree=3).collect())
+    want = sorted(tuple(r) for r in zn.shared_point_neighbours(zones).collect())
     spark.conf.set("spark.sql.ansi.enabled", "false")
     try:
         assert want and sorted(tuple(r) for r in zn.shared_point_neighbours(zones).collect()) == want
-        assert sorted(tuple(r) for r in zn.shared_point_neighbours(zones, hot_degree=3).collect()) == want
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_point_of_thousands_of_zones_pairs_nobody(spark):
+    """One point in every zone: the join over points makes only rows of points that few zones share."""
+    n = 3000
+    rows_ = [(f"MULTIPOLYGON (((-9 -9, {10 * i} 0, {10 * i} 1, {10 * (i // 2)} 5, {10 * (i // 2)} 6, -9 -9)))", i + 1, "Hub") for i in range(n)]
+    z = zn.parse_zones(raw(spark, rows_))
+    got = rows(zn.shared_point_neighbours(z, min_shared=3))
+    assert got == sorted((a, b) for i in range(0, n, 2) for a, b in ((i + 1, i + 2), (i + 2, i + 1)))

@@ -151,3 +151,76 @@ def test_missing_centroids_are_reported(spark):
     cen = spark.createDataFrame([(1, 40.7, -73.9), (2, 40.8, -73.9)], "location_id bigint, avg_lat double, avg_lon double")
     assert rows(gr.missing_centroids(pairs, cen)) == [(9,)]
     assert rows(gr.neighbor_distance(pairs, cen), "location_id", "neighbor_location_id") == [(1, 2)]
+
+
+def test_only_candidates_are_shuffled(spark, monkeypatch):
+    """Each round's plan holds one shuffle, of the candidates; the state is read in place by its buckets."""
+    from routecov.sinks import bucketed
+    plans, put = [], bucketed.Rounds.put
+
+    def recorded(self, df, dealt=True):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return put(self, df, dealt)
+    monkeypatch.setattr(bucketed.Rounds, "put", recorded)
+    e = edge_df(spark, [(a, (a + k) % 30, 1 + (a + k) % 4) for a in range(30) for k in (1, 2, 7)])
+    out = sp.shortest_paths(e, spark.range(30).select(F.col("id").alias("source")))
+    assert out.count() == 900 and len(plans) > 3
+    for plan in plans[1:]:
+        assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("routecov_")]
+
+
+def test_costs_beyond_a_long(spark):
+    big = 1 << 55
+    e = edge_df(spark, [(1, 2, big), (2, 3, big), (1, 3, 2 * big), (3, 4, 1), (1, 4, 2 * big + 1), (4, 1, 0), (1, 1, 5), (2, None, 1), (3, 2, None)])
+    out = sp.shortest_paths(e.where("dst is not null"), spark.createDataFrame([(1,)], "source bigint"))
+    assert rows(out, "node", "dist", "hops") == [(1, 0, 0), (2, big, 1), (3, 2 * big, 1), (4, 2 * big + 1, 1)]
+
+
+def _py_union(edges, extra=()):
+    parent = {}
+
+    def root(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    for n in extra:
+        root(n)
+    for a, b in edges:
+        ra, rb = root(a), root(b)
+        parent[max(ra, rb)] = min(ra, rb)
+    return sorted((n, root(n)) for n in parent)
+
+
+@pytest.mark.parametrize("shape,bound", [("chain", None), ("random", None), ("two hubs", 0), ("none", None)])
+def test_components_of_shapes(spark, monkeypatch, shape, bound):
+    rnd = random.Random(3)
+    edges = {"chain": [(i, i + 1) for i in range(300)],
+             "random": [(rnd.randrange(400), rnd.randrange(400)) for _ in range(250)],
+             "two hubs": [(1000 + i % 2, i) for i in range(300)] + [(7, 7)], "none": []}[shape]
+    df = spark.createDataFrame([*edges, (None, 3), (4, None)], "src bigint, dst bigint").repartition(3)
+    nodes = spark.createDataFrame([(9999,), (None,), (5,)], "node bigint")
+    want = _py_union(edges, (9999, 5))
+    if bound is not None:  # no broadcast: hot keys are split
+        monkeypatch.setattr(comp, "BROADCAST_MAX_ROWS", bound)
+    assert rows(comp.connected_components(df, nodes), "node", "component") == want
+
+
+def test_union_equals_a_full_run(spark):
+    rnd = random.Random(8)
+    seen, kept = [], comp.connected_components(spark.createDataFrame([], "src bigint, dst bigint"))
+    for step in range(2):
+        new = [(rnd.randrange(200), rnd.randrange(200)) for _ in range(60)]
+        seen += new
+        df = spark.createDataFrame([*new, (None, 1)], "src bigint, dst bigint").repartition(3)
+        kept = spark.createDataFrame(comp.union(kept, df).collect(), "node bigint, component bigint")
+        assert rows(kept, "node", "component") == _py_union(seen), step
+    same = comp.union(kept, spark.createDataFrame([seen[0]], "src bigint, dst bigint"))
+    assert rows(same, "node", "component") == _py_union(seen)
+
+
+def test_find_makes_unknown_nodes_their_own_class(spark):
+    kept = comp.connected_components(edge_df(spark, [(3, 2, 1), (2, 8, 1)]))
+    asked = spark.createDataFrame([(8,), (8,), (77,), (None,), (2,)], "node bigint")
+    assert rows(comp.find(kept, asked), "node", "component") == [(2, 2), (8, 2), (77, 77)]

@@ -89,3 +89,51 @@ def test_hot_key_is_spread_over_several_files(spark):
         assert back.count() == 200000
         files = back.where("do_location_id = 2").select("_metadata.file_path").distinct().count()
         assert files > 1, sub  # one hot pair is written by several tasks
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bucketed_trips_are_counted_in_place(spark):
+    """K4/K5: no exchange below A1's aggregate over the bucketed pairs; a hot pair lies apart."""
+    from routecov.operators.frequency import trip_frequency
+    from routecov.sinks import bucketed as bk
+    d = fresh()
+    t = spark.range(6000).select(
+        F.when(F.col("id") % 50 == 0, F.lit("a")).otherwise("b").alias("tlc_type"),
+        F.when(F.col("id") % 3 == 0, F.lit(1)).when(F.col("id") % 500 == 1, F.lit(None)).otherwise(F.col("id") % 40).cast("bigint").alias("pu_location_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(2)).otherwise(F.col("id") % 17).cast("bigint").alias("do_location_id"))
+    n = bk.write_bucketed_trips(t, d, "io_trips", 4)
+    assert n["pairs"] + n["hot_pairs"] == 6000 and n["hot_pairs"] == 2000 + t.where("pu_location_id is null").count()
+    assert rows(bk.bucketed_trip_frequency(spark, "io_trips")) == rows(trip_frequency(t))
+    assert rows(bk.read_bucketed_trips(spark, "io_trips").select("pu_location_id"))[:1] is not None
+    plan = _plan(trip_frequency(spark.table("io_trips_pairs")))
+    assert "Exchange" not in plan and "Bucketed: true" in plan and "HashAggregate" in plan
+    assert len({f.split("_")[-1].split(".")[0] for f in glob.glob(d + "/pairs/part-*.parquet")}) <= 4
+    for k in ("pairs", "hot_pairs"):
+        spark.sql(f"DROP TABLE io_trips_{k}")
+
+
+def test_month_folders_with_gaps(spark):
+    d = fresh()
+    df = spark.createDataFrame([("2020", "11", 1), ("2020", "12", 2), ("2021", "02", 3), ("2021", "02", 4)], "y string, m string, v int")
+    wr.write_month_folders(df, d + "/green", "y", "m")
+    assert sorted(os.listdir(d + "/green")) == ["2020", "2021"] and sorted(os.listdir(d + "/green/2021")) == ["02"]
+    assert rows(rd.read_months(spark, d, "green", "2020-12", "2021-06", layout="folders"), "v") == [(2,), (3,), (4,)]
+    assert [p[-7:] for p in rd.missing_months(spark, d, "green", "2020-11", "2021-03")] == ["2021/01", "2021/03"]
+    import pytest
+    with pytest.raises(ValueError):
+        rd.read_months(spark, d, "green", "2022-01", "2022-02", layout="folders")
+
+
+def test_only_scratch_folders_are_deleted(spark):
+    import pytest
+    from routecov.session import delete_path, scratch_path
+    path = scratch_path(spark, "gone")
+    spark.range(2).write.parquet(path)
+    delete_path(spark, path)
+    with pytest.raises(Exception):
+        spark.read.parquet(path).count()
+    with pytest.raises(ValueError):
+        delete_path(spark, fresh())

@@ -67,3 +67,69 @@ def test_neighbour_job_reports_zones_without_centroid(spark):
     iso = spark.createDataFrame([], "location_id long")
     res = jobs.neighbor_etl(spark, f"{base}/centroids", f"{base}/pairs", iso, f"{base}/lookup", f"{base}/out")
     assert res == {"edges": 1, "zones_without_centroid": 1}
+
+
+def _month_files(spark, base):
+    """Yellow ids turn to text in 1995-02, fhv ids in 1995-03: each provider has two schemas."""
+    m = td.metered_trips(spark, SF001).drop("file_path")
+    for i, month in enumerate(("1995/01", "1995/02", "1995/03")):
+        y = m.where(F.date_format("tpep_pickup_datetime", "yyyy/MM") == month)
+        f = y.select(F.col("tpep_pickup_datetime").alias("pickup_datetime"), F.col("tpep_dropoff_datetime").alias("dropOff_datetime"),
+                     F.col("PULocationID").alias("PUlocationID"), F.col("DOLocationID").alias("DOlocationID"))
+        if i >= 1:
+            y = y.withColumn("PULocationID", F.col("PULocationID").cast("string"))
+        if i >= 2:
+            f = f.withColumn("PUlocationID", F.col("PUlocationID").cast("string"))
+        y.write.parquet(f"{base}/raw/yellow/{month}")
+        f.write.parquet(f"{base}/raw/fhv/{month}")
+    return m.where(F.date_format("tpep_pickup_datetime", "yyyy/MM").isin("1995/01", "1995/02", "1995/03"))
+
+
+def test_providers_that_change_in_different_months(spark):
+    base = tempfile.mkdtemp(prefix="routecov-drift-")
+    n = _month_files(spark, base).count()
+    res = jobs.trip_etl(spark, f"{base}/raw", f"{base}/clean", bucketed="jobs_trips")
+    assert res["written_count"] == res["raw_count"] == 2 * n and res["dropped"] == 0 and res["counts_match"]
+    assert res["folders_read"] == 6 and sorted(res["providers_without_folders"]) == ["fhvhv", "green"]
+    assert spark.table("jobs_trips_pairs").count() + spark.table("jobs_trips_hot_pairs").count() == 2 * n
+    for k in ("pairs", "hot_pairs"):
+        spark.sql(f"DROP TABLE jobs_trips_{k}")
+
+
+def test_cleaning_and_pair_frequency_jobs(spark):
+    from routecov.operators import clean as cl
+    base = tempfile.mkdtemp(prefix="routecov-clean-")
+    m = _month_files(spark, base)
+    path = F.concat(F.lit("/"), F.date_format("tpep_pickup_datetime", "yyyy-MM"), F.lit(".parquet"))
+    metered = cl.clean_metered_trips(m.withColumn("file_path", path)).count()
+    plain = jobs.cleaning_etl(spark, f"{base}/raw", f"{base}/pairs")
+    assert plain["counts_match"] and sorted(plain["providers_without_folders"]) == ["fhvhv", "green"]
+    back = spark.read.parquet(f"{base}/pairs")
+    assert {(r.cab, r.year): r["count"] for r in back.groupBy("cab", "year").count().collect()} == {("yellow", 1995): metered, ("fhv", 1995): m.count()}
+    for _ in range(2):  # the second run finds every file in the side table
+        kept = jobs.cleaning_etl(spark, f"{base}/raw", f"{base}/pairs2", moments=f"{base}/moments")
+        assert kept["written_count"] == plain["written_count"]
+    assert spark.read.parquet(f"{base}/moments/yellow").count() == len(glob.glob(f"{base}/raw/yellow/*/*/part-*.parquet"))
+    spark.createDataFrame([(1, 2, 5, "A"), (2, 1, 5, "A"), (5, 1, 3, "A"), (7, 1, 1, "B")],
+                          "location_id long, neighbor_location_id long, distance int, borough string").write.partitionBy("borough").option(
+        "header", True).csv(f"{base}/dist")
+    iso = spark.createDataFrame([(5,)], "location_id long")
+    res = jobs.pair_frequency_etl(spark, f"{base}/pairs", f"{base}/dist", iso, f"{base}/freq", borough="A")
+    got = {(r.cab, r.PUDOPair.pulocationID, r.PUDOPair.dolocationID): r.Frequency for r in spark.read.parquet(f"{base}/freq").collect()}
+    want = {(r.cab, r.pulocationID, r.dolocationID): r["count"] for r in back.where("pulocationID in (1, 2) and dolocationID in (1, 2) and pulocationID != dolocationID")
+            .groupBy("cab", "pulocationID", "dolocationID").count().collect()}
+    assert got == want and res["counts_match"]
+
+
+def test_neighbour_job_from_polygons(spark):
+    base = tempfile.mkdtemp(prefix="routecov-poly-")
+    squares = [(f"MULTIPOLYGON ((({x} 0, {x + 1} 0, {x + 1} 1, {x} 1, {x} 0)))", x + 1, "A" if x < 3 else "B") for x in range(5)]
+    spark.createDataFrame(squares, "the_geom string, LocationID int, borough string").write.option("header", True).csv(f"{base}/zones_csv")
+    spark.createDataFrame([(i, f"z{i}", "A" if i < 4 else "B", "s") for i in range(1, 6)], "LocationID int, Zone string, Borough string, service_zone string").select(
+        "LocationID", "Borough", "Zone", "service_zone").write.option("header", True).csv(f"{base}/lookup_csv")
+    jobs.zone_etl(spark, f"{base}/zones_csv", f"{base}/lookup_csv", f"{base}/profile", f"{base}/zones")
+    counts = open(glob.glob(f"{base}/profile/lookup_borough_location_count/part-*")[0]).read().splitlines()
+    assert counts == ["borough,location_count", "A,3", "B,2"]
+    iso = spark.createDataFrame([], "location_id long")
+    res = jobs.neighbor_etl(spark, f"{base}/zones/zones", None, iso, f"{base}/zones/lookup", f"{base}/out", zones_csv=f"{base}/zones_csv")
+    assert res == {"edges": 6, "zones_without_centroid": 0}  # 1-2, 2-3, 4-5, both ways; 3-4 are of two boroughs
