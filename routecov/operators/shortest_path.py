@@ -16,8 +16,8 @@ has r edges, so all candidates of one cost meet in one round and the order
 (dist, hops, path) is total: the result does not depend on partitioning or
 arrival order.  The state never goes through a shuffle: it is joined where it
 lies and written from the same tasks.  With non-negative weights the loop stops
-after (most edges of a best path + 1) rounds; a round is one write, whose
-observed number of improved rows ends the loop.  Each version is a table in the
+after (most edges of a best path + 1) rounds; some rounds share one write, and
+the loop ends when the last of them improved no row (observed during the write).  Each version is a table in the
 shared scratch folder, so a lost executor repeats part of one round.
 """
 
@@ -27,15 +27,17 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from routecov.operators.sizing import BROADCAST_MAX_ROWS
-from routecov.operators.skew import heavy_keys, skew_join
+from routecov.operators.skew import heavy_keys, shuffle_tasks, skew_join
 from routecov.session import cut_lineage
 from routecov.sinks.bucketed import Rounds
 
 _LONG = 1 << 62
+#: Rows of the state that one bucket is made for (some ten bytes and a path each).
+BUCKET_ROWS = 500_000
 
 
-def _costed(edges: DataFrame) -> tuple[DataFrame, int, str, bool]:
-    """Edges (src, dst, cost), the factor S, the type of costs, and whether the edges may be broadcast."""
+def _costed(edges: DataFrame) -> tuple[DataFrame, int, str, int, int]:
+    """Edges (src, dst, step), the factor S, the type of costs, and the numbers of edges and nodes reached."""
     e = cut_lineage(edges.select(F.col("src").cast("bigint").alias("src"), F.col("dst").cast("bigint").alias("dst"),
                                  F.col("weight").cast("bigint").alias("weight")))
     # one pass over the materialised edges: weight check, bounds of a path and size proof together
@@ -48,11 +50,11 @@ def _costed(edges: DataFrame) -> tuple[DataFrame, int, str, bool]:
     kind = "bigint" if fits else "decimal(38,0)"
     costed = e.where("weight is not null").select(
         "src", "dst", (F.col("weight").cast(kind) * F.lit(factor).cast(kind) + F.lit(1).cast(kind)).cast(kind).alias("step"))
-    return costed, factor, kind, seen["rows"] <= BROADCAST_MAX_ROWS  # three numbers a row
+    return costed, factor, kind, seen["rows"], seen["nodes"]
 
 
 def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "source",
-                   max_rounds: int = 100_000, max_dist: int | None = None) -> DataFrame:
+                   max_rounds: int = 100_000, max_dist: int | None = None, rounds_a_write: int = 2) -> DataFrame:
     """N8+N9: best path from every listed source to every reachable node.
 
     Returns (source, node, dist, hops, path array<bigint>); the source itself
@@ -62,32 +64,35 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "sour
 
     A small edge table is broadcast; beyond the bound frontier and edges are
     joined by a shuffle of both, nodes with very many edges split."""
-    e, factor, kind, small = _costed(edges)
-    hubs = None
+    e, factor, kind, n_edges, n_nodes = _costed(edges)
+    small, hubs = n_edges <= BROADCAST_MAX_ROWS, None  # three numbers a row
     if small:
         e = F.broadcast(e)
     else:
         hubs = heavy_keys(e, ["src"])
     seed = (sources.select(F.col(source_col).cast("bigint").alias("source"))
             .where(F.col("source").isNotNull()).distinct())
-    rounds = Rounds(seed.sparkSession, "shortest_paths", ["source", "node"])
+    n_rows = seed.count() * (n_nodes + 1)
+    rounds = Rounds(seed.sparkSession, "shortest_paths", ["source", "node"], min(shuffle_tasks(seed), -(-n_rows // BUCKET_ROWS) or 1))
     state = rounds.put(seed.select("source", F.col("source").alias("node"), F.lit(0).cast(kind).alias("cost"),
                                    F.array("source").alias("path"), F.lit(0).alias("at")), dealt=False)
-    for r in range(1, max_rounds + 1):
-        frontier = state.where(F.col("at") == r - 1).select("source", F.col("node").alias("src"), "cost", "path")
-        reached = frontier.join(e, "src") if small else skew_join(e, frontier, ["src"], heavy=hubs)
-        reached = reached.select("source", F.col("dst").alias("node"), (F.col("cost") + F.col("step")).cast(kind).alias("cost"),
-                                 F.concat("path", F.array("dst")).alias("path"))
-        if max_dist is not None:
-            reached = reached.where(F.expr(f"cost div {factor}") <= max_dist)
-        found = (reached.groupBy("source", "node").agg(F.min(F.struct("cost", "path")).alias("_new")))
-        better = F.col("_new").isNotNull() & (F.col("cost").isNull() | (F.col("_new.cost") < F.col("cost")))
+    r = 0
+    while r < max_rounds:
+        for _ in range(max(1, rounds_a_write)):
+            r += 1
+            frontier = state.where(F.col("at") == r - 1).select("source", F.col("node").alias("src"), "cost", "path")
+            reached = frontier.join(e, "src") if small else skew_join(e, frontier, ["src"], heavy=hubs)
+            reached = reached.select("source", F.col("dst").alias("node"), (F.col("cost") + F.col("step")).cast(kind).alias("cost"),
+                                     F.concat("path", F.array("dst")).alias("path"))
+            if max_dist is not None:
+                reached = reached.where(F.expr(f"cost div {factor}") <= max_dist)
+            found = reached.groupBy("source", "node").agg(F.min(F.struct("cost", "path")).alias("_new"))
+            better = F.col("_new").isNotNull() & (F.col("cost").isNull() | (F.col("_new.cost") < F.col("cost")))
+            state = (state.join(found, ["source", "node"], "full_outer")
+                     .select("source", "node", *[F.when(better, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in ("cost", "path")],
+                             F.when(better, F.lit(r)).otherwise(F.col("at")).alias("at")))
         seen = Observation()
-        step = (state.join(found, ["source", "node"], "full_outer")
-                .select("source", "node", *[F.when(better, F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in ("cost", "path")],
-                        F.when(better, F.lit(r)).otherwise(F.col("at")).alias("at"))
-                .observe(seen, F.count(F.when(F.col("at") == r, 1)).alias("improved")))
-        state = rounds.put(step)
+        state = rounds.put(state.observe(seen, F.count(F.when(F.col("at") == r, 1)).alias("improved")))
         if not seen.get["improved"]:
             break
     else:

@@ -14,20 +14,25 @@ from pyspark.sql import functions as F
 from routecov.session import cut_lineage
 
 
+#: Parts that a task's share of a hot key is split into: parts fall on tasks by
+#: hash, and several small ones on each come out more even than one large one.
+PARTS = 8
+
+
 def shuffle_tasks(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def heavy_keys(df: DataFrame, on: list[str], tasks: int | None = None) -> DataFrame:
     """(keys, _copies): keys of more than rows / ``tasks`` rows and the number
-    of tasks to split each over; fewer than ``tasks`` rows.  Null keys meet
+    of parts to split each into; fewer than ``tasks`` rows.  Null keys meet
     nothing and are left out.  Reads ``df`` once, with a partial aggregate."""
     tasks = tasks or shuffle_tasks(df)
     present = df.dropna(how="any", subset=on)
     counts = cut_lineage(present.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")))
     total = counts.select(F.sum("_n")).scalar()
     return cut_lineage(counts.where(F.col("_n") * tasks > total)
-                       .select(*on, F.ceil(F.col("_n") * F.lit(tasks) / total).cast("int").alias("_copies")))
+                       .select(*on, F.ceil(F.col("_n") * F.lit(tasks * PARTS) / total).cast("int").alias("_copies")))
 
 
 def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner",

@@ -149,9 +149,11 @@ def pair_frequency_etl(spark: SparkSession, pairs: str, distance_dir: str, isola
     freq = (fq.keep_zones(fq.drop_same_zone(trips), allowed).groupBy("cab", "year", fq.PU, fq.DO)
             .agg(F.count(F.lit(1)).alias("Frequency")))
     out = freq.select("cab", "year", F.struct(F.col(fq.PU).alias("pulocationID"), F.col(fq.DO).alias("dolocationID")).alias("PUDOPair"), "Frequency")
-    out, seen = wr.observed(out)
+    out = cut_lineage(out)  # at most a row a provider, year and pair of zones
+    n = out.count()
     wr.write_partitioned(out, output, ["cab", "year"])
-    return wr.verify_written(spark, seen.get["rows"], output)
+    # without any pair there is no file to read back
+    return wr.verify_written(spark, n, output) if n else {"source_count": 0, "written_count": 0, "counts_match": True}
 
 
 def zone_etl(spark: SparkSession, zones_csv: str, lookup_csv: str, profile_out: str,

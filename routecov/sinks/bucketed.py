@@ -40,13 +40,13 @@ class Rounds:
     version from the same tasks; the version before is deleted once the next
     one is complete, so a lost executor repeats part of one round only."""
 
-    def __init__(self, spark: SparkSession, name: str, keys: list[str]):
-        self.spark, self.name, self.keys = spark, name, keys
+    def __init__(self, spark: SparkSession, name: str, keys: list[str], buckets: int | None = None):
+        self.spark, self.name, self.keys, self.buckets = spark, name, keys, buckets
         self.table = self.path = None
 
     def put(self, df: DataFrame, dealt: bool = True) -> DataFrame:
         path = scratch_path(self.spark, self.name)
-        table = write_bucketed(df, path, self.keys, dealt=dealt)
+        table = write_bucketed(df, path, self.keys, self.buckets, dealt=dealt)
         if self.table:
             self.spark.sql(f"DROP TABLE {self.table}")
             delete_path(self.spark, self.path)

@@ -163,7 +163,7 @@ def test_only_candidates_are_shuffled(spark, monkeypatch):
         return put(self, df, dealt)
     monkeypatch.setattr(bucketed.Rounds, "put", recorded)
     e = edge_df(spark, [(a, (a + k) % 30, 1 + (a + k) % 4) for a in range(30) for k in (1, 2, 7)])
-    out = sp.shortest_paths(e, spark.range(30).select(F.col("id").alias("source")))
+    out = sp.shortest_paths(e, spark.range(30).select(F.col("id").alias("source")), rounds_a_write=1)
     assert out.count() == 900 and len(plans) > 3
     for plan in plans[1:]:
         assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan

@@ -110,15 +110,20 @@ def test_cleaning_and_pair_frequency_jobs(spark):
         kept = jobs.cleaning_etl(spark, f"{base}/raw", f"{base}/pairs2", moments=f"{base}/moments")
         assert kept["written_count"] == plain["written_count"]
     assert spark.read.parquet(f"{base}/moments/yellow").count() == len(glob.glob(f"{base}/raw/yellow/*/*/part-*.parquet"))
-    spark.createDataFrame([(1, 2, 5, "A"), (2, 1, 5, "A"), (5, 1, 3, "A"), (7, 1, 1, "B")],
+    ids = sorted({r[0] for r in back.where("pulocationID != dolocationID and cab = 'fhv'").limit(40).select("pulocationID").union(
+        back.where("cab = 'fhv'").limit(40).select("dolocationID")).collect()})
+    allowed = [i for i in ids if i != 5]
+    spark.createDataFrame([(i, 2, 5, "A") for i in ids] + [(5, 1, 3, "A"), (99, 1, 1, "B")],
                           "location_id long, neighbor_location_id long, distance int, borough string").write.partitionBy("borough").option(
         "header", True).csv(f"{base}/dist")
     iso = spark.createDataFrame([(5,)], "location_id long")
     res = jobs.pair_frequency_etl(spark, f"{base}/pairs", f"{base}/dist", iso, f"{base}/freq", borough="A")
     got = {(r.cab, r.PUDOPair.pulocationID, r.PUDOPair.dolocationID): r.Frequency for r in spark.read.parquet(f"{base}/freq").collect()}
-    want = {(r.cab, r.pulocationID, r.dolocationID): r["count"] for r in back.where("pulocationID in (1, 2) and dolocationID in (1, 2) and pulocationID != dolocationID")
+    want = {(r.cab, r.pulocationID, r.dolocationID): r["count"] for r in back.where(F.col("pulocationID").isin(allowed) & F.col("dolocationID").isin(allowed) & (F.col("pulocationID") != F.col("dolocationID")))
             .groupBy("cab", "pulocationID", "dolocationID").count().collect()}
-    assert got == want and res["counts_match"]
+    assert got == want and want and res["counts_match"]
+    none = jobs.pair_frequency_etl(spark, f"{base}/pairs", f"{base}/dist", iso, f"{base}/none", borough="Nowhere")
+    assert none == {"source_count": 0, "written_count": 0, "counts_match": True}
 
 
 def test_neighbour_job_from_polygons(spark):
