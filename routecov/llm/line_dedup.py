@@ -171,8 +171,9 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS, least_chars: int | None
     lines = lines.withColumns({"h1": F.xxhash64("line"), "h2": F.hash("line")})
     groups = lines.groupBy("h1", "h2").agg(F.min(F.struct(*_DOC, "no")).alias("first"), F.first("line").alias("line"), F.count("*").alias("n"))
     path = scratch_path(spark, "lines")
-    groups.withColumn("len", F.length("line")).write.parquet(path)
-    distinct = spark.read.parquet(path).withColumn("id", F.monotonically_increasing_id())
+    # numbered as they are written: a number made anew by each later read would follow how files are split then
+    groups.withColumns({"len": F.length("line"), "id": F.monotonically_increasing_id()}).write.parquet(path)
+    distinct = spark.read.parquet(path)
     pairs = near_lines(distinct.where(F.col("len") >= near).select("id", "line", "len"), edits)
     ends = _bounded(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
     firsts = cut_lineage(distinct.select("id", "first").join(ends, "id", "leftsemi"))

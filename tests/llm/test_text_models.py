@@ -201,3 +201,24 @@ def test_near_duplicates_equal_their_sql_twin(spark):
         cols = [d[0] for d in res.description]
         assert sorted(cols) == sorted(got.columns)
         assert sorted([tuple(r[c] for c in cols) for r in got.collect()], key=str) == sorted(res.fetchall(), key=str)
+
+
+def test_line_numbers_do_not_follow_file_splits(spark, frame, monkeypatch):
+    """The number of cores that files are split for changes in the middle of the run; each near repeat still goes, and no first line."""
+    rnd = random.Random(12)
+    first = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz ", k=50)) + f" {i}" for i in range(30)]
+    rows = [(i, f"{a}\nown line {i}") for i, a in enumerate(first)] + [(500 + i, a[:20] + "Z" + a[21:]) for i, a in enumerate(first)]
+    near = line_dedup.near_lines
+
+    def then_more_cores(*args):
+        pairs = near(*args)
+        spark.conf.set("spark.sql.files.minPartitionNum", "32")
+        return pairs
+    monkeypatch.setattr(line_dedup, "near_lines", then_more_cores)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r.doc_id: r.text for r in line_dedup.without_repeats(frame(rows, 9)).collect()}
+    finally:
+        for c in ("spark.sql.files.minPartitionNum", "spark.sql.adaptive.coalescePartitions.enabled"):
+            spark.conf.unset(c)
+    assert got == {**{i: rows[i][1] for i in range(30)}, **{500 + i: "" for i in range(30)}}
