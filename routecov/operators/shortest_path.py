@@ -14,8 +14,8 @@ each edge costs weight * S + 1, S being above any number of edges on a path.
 Among equal costs the smaller id sequence wins.  A row that improves in round r
 has r edges, so all candidates of one cost meet in one round and the order
 (dist, hops, path) is total: the result does not depend on partitioning or
-arrival order.  The state never goes through a shuffle: it is joined where it
-lies and written from the same tasks.  With non-negative weights the loop stops
+arrival order.  A state of more than ``BUCKET_ROWS`` rows never goes through a
+shuffle: it is joined where it lies and written from the same tasks.  With non-negative weights the loop stops
 after (most edges of a best path + 1) rounds; some rounds share one write, and
 the loop ends when the last of them improved no row (observed during the write).  Each version is a table in the
 shared scratch folder, so a lost executor repeats part of one round.
@@ -32,7 +32,8 @@ from routecov.session import cut_lineage
 from routecov.sinks.bucketed import Rounds
 
 _LONG = 1 << 62
-#: Rows of the state that one bucket is made for (some ten bytes and a path each).
+#: A state of at most so many rows is one bucket.  Spark deals sides of fewer
+#: buckets than shuffle partitions anew, so any larger state has as many as those.
 BUCKET_ROWS = 500_000
 
 
@@ -73,7 +74,7 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, source_col: str = "sour
     seed = (sources.select(F.col(source_col).cast("bigint").alias("source"))
             .where(F.col("source").isNotNull()).distinct())
     n_rows = seed.count() * (n_nodes + 1)
-    rounds = Rounds(seed.sparkSession, "shortest_paths", ["source", "node"], min(shuffle_tasks(seed), -(-n_rows // BUCKET_ROWS) or 1))
+    rounds = Rounds(seed.sparkSession, "shortest_paths", ["source", "node"], 1 if n_rows <= BUCKET_ROWS else shuffle_tasks(seed))
     state = rounds.put(seed.select("source", F.col("source").alias("node"), F.lit(0).cast(kind).alias("cost"),
                                    F.array("source").alias("path"), F.lit(0).alias("at")), dealt=False)
     r = 0

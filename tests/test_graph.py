@@ -154,8 +154,9 @@ def test_missing_centroids_are_reported(spark):
 
 
 def test_only_candidates_are_shuffled(spark, monkeypatch):
-    """Each round's plan holds one shuffle, of the candidates; the state is read in place by its buckets."""
+    """Each round's plan holds one shuffle, of the candidates; a state above one bucket is read in place."""
     from routecov.sinks import bucketed
+    monkeypatch.setattr(sp, "BUCKET_ROWS", 0)
     plans, put = [], bucketed.Rounds.put
 
     def recorded(self, df, dealt=True):
