@@ -135,13 +135,33 @@ def near_set(seed):
     return sorted(lines)
 
 
-def test_near_lines_equal_brute_force(spark, monkeypatch):
+def test_late_lines_equal_brute_force(spark, monkeypatch):
     lines = near_set(5)
-    df = spark.createDataFrame(list(enumerate(lines)), "id long, line string")
-    for edits, crowd in ((1, 8), (2, 8), (2, 2), (3, 8)):
+    random.Random(3).shuffle(lines)  # the order has nothing to do with the text
+    df = spark.createDataFrame([(i, (i,), x) for i, x in enumerate(lines)], "id long, at struct<n:long>, line string")
+    for edits, crowd, comparisons in ((1, 8, 32), (2, 8, 32), (2, 2, 32), (2, 2, 0), (3, 8, 32)):
         monkeypatch.setattr(line_dedup, "CROWD", crowd)
-        want = {(i, j) for i in range(len(lines)) for j in range(i + 1, len(lines)) if distance(lines[i], lines[j]) <= edits}
-        assert {tuple(r) for r in line_dedup.near_lines(df, edits).collect()} == want
+        monkeypatch.setattr(line_dedup, "COMPARISONS", comparisons)
+        want = {j for j in range(len(lines)) if any(distance(lines[i], lines[j]) <= edits for i in range(j))}
+        got = [r.id for r in line_dedup.late_lines(df, edits).collect()]
+        assert sorted(got) == sorted(want), (edits, crowd, comparisons)
+
+
+def test_crowd_of_near_lines_is_decided_without_pairs(spark, monkeypatch):
+    """Many versions of one line, those in the middle a step further from the first: nobody is lost, pairs stay linear."""
+    base = "this line has been copied with small changes into very many documents"
+    rnd, lines = random.Random(8), [base]
+    while len(lines) < 200:
+        t = list(rnd.choice(lines[:20]))
+        t[rnd.randrange(len(t))] = rnd.choice("0123456789")
+        if "".join(t) not in lines:
+            lines.append("".join(t))
+    made, real = [], line_dedup._later
+    monkeypatch.setattr(line_dedup, "_later", lambda pairs, *more: made.append(pairs.count()) or real(pairs, *more))
+    df = spark.createDataFrame([(i, (i,), x) for i, x in enumerate(lines)], "id long, at struct<n:long>, line string")
+    got = sorted(r.id for r in line_dedup.late_lines(df).collect())
+    assert got == [j for j in range(len(lines)) if any(distance(lines[i], lines[j]) <= 2 for i in range(j))]
+    assert sum(made) < 200 * 199 / 2 / 4, made
 
 
 def brute_lines(rows, edits, least):
@@ -183,6 +203,12 @@ def test_short_lines_go_when_equal(frame):
     assert got == {1: (rows[0][1], 4, 0), 2: ("second own\n\n \t", 4, 1), 3: (f"{other}\nx\n\u3000\n\u3000", 5, 1), 4: ("", 2, 2)}
 
 
+def test_line_dedup_leaves_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, "x" * 40, 7, 8), (2, "x" * 41, 9, 10)], "doc_id long, text string, __t1 int, __dropped int")
+    got = sorted(tuple(r) for r in line_dedup.without_repeats(df).select("doc_id", "text", "__t1", "__dropped").collect())
+    assert got == [(1, "x" * 40, 7, 8), (2, "", 9, 10)]
+
+
 def test_line_plan_is_native(spark, frame):
     df = line_dedup.without_repeats(frame([(1, "x" * 40), (2, "x" * 41)]))
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -208,13 +234,13 @@ def test_line_numbers_do_not_follow_file_splits(spark, frame, monkeypatch):
     rnd = random.Random(12)
     first = ["".join(rnd.choices("abcdefghijklmnopqrstuvwxyz ", k=50)) + f" {i}" for i in range(30)]
     rows = [(i, f"{a}\nown line {i}") for i, a in enumerate(first)] + [(500 + i, a[:20] + "Z" + a[21:]) for i, a in enumerate(first)]
-    near = line_dedup.near_lines
+    late = line_dedup.late_lines
 
     def then_more_cores(*args):
-        pairs = near(*args)
+        ids = late(*args)
         spark.conf.set("spark.sql.files.minPartitionNum", "32")
-        return pairs
-    monkeypatch.setattr(line_dedup, "near_lines", then_more_cores)
+        return ids
+    monkeypatch.setattr(line_dedup, "late_lines", then_more_cores)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         got = {r.doc_id: r.text for r in line_dedup.without_repeats(frame(rows, 9)).collect()}
