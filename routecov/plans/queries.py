@@ -378,7 +378,7 @@ def f9_sigma_filter(spark, sf):
 @query("f10_file_month_filter")
 def f10_file_month_filter(spark, sf):
     m = td.metered_trips(spark, sf)
-    return (m.where(cl.year_month_of("tpep_pickup_datetime") == cl.year_month_of_file("file_path"))
+    return (m.where(cl.in_month("tpep_pickup_datetime"))
             .select("PULocationID", "DOLocationID", "file_path"))
 
 

@@ -173,3 +173,19 @@ def test_exact_percentiles(spark):
         df = spark.createDataFrame([(v,) for v in [*values, None]], "x double").repartition(5)
         want = tuple(sorted(values)[max(1, math.ceil(q * n)) - 1] if n else None for q in (0.25, 0.5, 0.75))
         assert tuple(pf.exact_percentiles(df, "x").first()) == want
+
+
+def test_month_rule_is_no_join_key(spark):
+    """Pick-up time and file from two sides of a join: the month's texts must not be its sort keys."""
+    pickups = spark.createDataFrame([(1, T(2021, 3, 31, 23, 59)), (2, T(2021, 4, 1)), (3, T(2021, 4, 1)), (4, None), (5, T(2021, 5, 2)), (6, T(2021, 3, 1))],
+                                    "k long, pickup timestamp")
+    files = spark.createDataFrame([(1, "/y/t_2021-03.parquet"), (2, "/y/t_2021-03.parquet"), (3, "/y/t_2021-04.parquet"), (4, "/y/t_2021-04.parquet"),
+                                   (5, "/y/part-2021.parquet"), (6, None), (1, "/y/t_2021-02.parquet")], "k long, file_path string")
+    joined = files.join(pickups.hint("merge"), "k")
+    got = joined.where(cl.in_month("pickup"))
+    assert rows(got, "k", "file_path") == [(1, "/y/t_2021-03.parquet"), (3, "/y/t_2021-04.parquet")]
+    assert rows(got) == rows(joined.where(cl.year_month_of("pickup") == cl.year_month_of_file()))
+    for df in (got,):
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        keys = [line.split("Inner")[0] for line in plan.splitlines() if "SortMergeJoin" in line]
+        assert keys and not any("date_format" in k or "regexp_extract" in k for k in keys)
