@@ -140,7 +140,7 @@ def clean_metered_trips(raw: DataFrame, columns: dict[str, str] | None = None,
     kept = not_null(raw, [pu, do, "total_amount", "fare_amount", "payment_type", "RatecodeID"])
     kept = (kept.where(F.col("passenger_count") != 0)
             .where(F.col(pu) != F.col(do))
-            .where(year_month_of(pickup) == (year_month_of_file(file_col) if month is None else month))
+            .where(in_month(pickup, year_month_of_file(file_col) if month is None else month))
             .where(F.col("payment_type").isin(*payment_types))
             .where(F.col("RatecodeID").isin(*rate_codes))
             .where(F.col("fare_amount") != 0))

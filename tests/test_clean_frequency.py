@@ -185,7 +185,13 @@ def test_month_rule_is_no_join_key(spark):
     got = joined.where(cl.in_month("pickup"))
     assert rows(got, "k", "file_path") == [(1, "/y/t_2021-03.parquet"), (3, "/y/t_2021-04.parquet")]
     assert rows(got) == rows(joined.where(cl.year_month_of("pickup") == cl.year_month_of_file()))
-    for df in (got,):
+    raw = (joined.withColumnsRenamed({"pickup": "tpep_pickup_datetime"})
+           .selectExpr("*", "k AS PULocationID", "k + 1 AS DOLocationID", "1 AS passenger_count", "5.0D AS fare_amount", "10.0D + k AS total_amount",
+                       "1 AS payment_type", "1 AS RatecodeID"))
+    bounds = spark.createDataFrame([("/y/t_2021-03.parquet", 0.0, 99.0), ("/y/t_2021-04.parquet", 0.0, 12.5)], "file_path string, lower_bound double, upper_bound double")
+    clean = cl.clean_metered_trips(raw, bounds=bounds)
+    assert rows(clean) == [(1, 2)]
+    for df in (got, clean):
         plan = df._jdf.queryExecution().sparkPlan().toString()
         keys = [line.split("Inner")[0] for line in plan.splitlines() if "SortMergeJoin" in line]
         assert keys and not any("date_format" in k or "regexp_extract" in k for k in keys)
