@@ -248,3 +248,17 @@ def test_line_numbers_do_not_follow_file_splits(spark, frame, monkeypatch):
         for c in ("spark.sql.files.minPartitionNum", "spark.sql.adaptive.coalescePartitions.enabled"):
             spark.conf.unset(c)
     assert got == {**{i: rows[i][1] for i in range(30)}, **{500 + i: "" for i in range(30)}}
+
+
+def test_twins_of_other_tables(spark):
+    from routecov.llm.queries import QUERIES, SQL_OF_OTHER_TABLES
+    con = duckdb.connect()
+    sf = os.path.dirname(SF01) + "/sf0.001"
+    for t in ("documents", "conversations", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
+    for name, sql in SQL_OF_OTHER_TABLES.items():
+        got = QUERIES[name](spark, sf)
+        res = con.execute(sql)
+        cols = [d[0] for d in res.description]
+        assert sorted(cols) == sorted(got.columns)
+        assert sorted([tuple(r[c] for c in cols) for r in got.collect()], key=str) == sorted(res.fetchall(), key=str)
