@@ -1,8 +1,9 @@
 """Cost-balanced packing of documents into sequences of bounded length.
 
 Tokens: no merge, match or special token of the vocabulary spans white space,
-so the ids of a text are those of its space-separated chunks in a row; chunks
-met lately are kept per worker and only new ones go through the library.
+so the ids of a text are those of its space-separated chunks in a row.  Chunks
+are numbered by Arrow's dictionary coding; those met lately are kept per worker
+and only new ones go through the library.
 
 Packing: whole blocks of a document's ids fill sequences of their own.  What
 is left is dealt into groups of bounded size; in each, as many sequences as
@@ -33,44 +34,72 @@ GROUP_BYTES = 16 << 20
 #: Cost of one token's attention to one other, relative to a token's linear layers (width 4,096).
 QUADRATIC = 1 / 24_576
 MAX_CHUNKS = 250_000
-#: Characters encoded in one go: few enough that their words stay in the processor's cache.
-STEP_CHARS = 60_000
+#: Characters encoded in one go, words whose ids are put in place in one go, and ids handed on in one go.
+STEP_CHARS, STEP_WORDS, STEP_IDS = 2_000_000, 1 << 18, 1 << 20
 
 #: White_Space of Unicode.  str.split() also splits at 1C to 1F, which the tokenizer does not.
 _SPACES = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 _ONLY_PYTHON = re.compile("[\x1c-\x1f]")
-#: Marks that stand together make one token, an apostrophe may start a contraction, "<" a special token.
-_TOGETHER = re.compile(r"[^\w\s][^\w\s]|['<_]")
+# The patterns below are RE2's.
+_MARKS = "".join(rf"\x{{{c:02x}}}" for c in range(256) if re.match(r"[^\w\s]", chr(c)))
+#: Text that is not Latin-1 or may hold a special token ("<").
+_NOT_LATIN = r"[^\x{00}-\x{ff}]|[<\x1c-\x1f]"
+#: Marks that stand together make one token, an apostrophe may start a contraction.
+_TOGETHER = rf"['_]|[{_MARKS}][{_MARKS}]"
+#: A lower-case word of Latin letters, and one with closing marks, which stand apart from the letters before them.
+_LOWER = r"[a-z\x{df}-\x{f6}\x{f8}-\x{ff}]"
+_TAIL = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in "'<")
+_CLOSED = rf"({_LOWER})([{''.join(rf'\x{ord(c):02x}' for c in _TAIL)}]+\s)"
 _ENCODERS: dict[str, Encoder] = {}
 
 
-def _latin(text: str) -> bool:
-    try:
-        text.encode("latin-1")
-    except UnicodeEncodeError:
-        return False
-    return True
+def _strings(col: pa.Array) -> list[str]:
+    return col.to_numpy(zero_copy_only=False).tolist()  # much faster than to_pylist
 
 
-def chunks_of(text: str) -> list[str]:
-    """Parts of a text that the tokenizer encodes independently of each other.
+def parted(texts: pa.Array) -> list[str]:
+    """Texts with ASCII white space between parts that the tokenizer encodes independently of each other.
 
     White space always parts.  In Latin-1 text, which composing leaves as it
-    is, lower case changes nothing, and single stops and commas part as well."""
-    if _ONLY_PYTHON.search(text):
-        return [c for c in _SPACES.split(text) if c]
-    if _latin(text) and not _TOGETHER.search(text):
-        text = text.lower().replace(".", " . ").replace(",", " , ")
-    return text.split()
+    is, lower case changes nothing, and marks that close a word part; single
+    stops and commas part anywhere."""
+    out, closed = [], []
+    other, together = (pc.match_substring_regex(texts, p).to_numpy(zero_copy_only=False).tolist() for p in (_NOT_LATIN, _TOGETHER))
+    for text, foreign, marks in zip(texts.to_pylist(), other, together):
+        if foreign:
+            out.append(" ".join(_SPACES.split(text) if _ONLY_PYTHON.search(text) else text.split()))
+            continue
+        text = text.lower().replace("\xa0", " ").replace("\x85", " ")
+        if marks:
+            closed.append(len(out))
+            out.append(text + " ")
+        else:
+            out.append(text.replace(".", " . ").replace(",", " , "))
+    if closed:
+        for i, text in zip(closed, _strings(pc.replace_substring_regex(pa.array([out[i] for i in closed], pa.large_string()), _CLOSED, r"\1 \2"))):
+            out[i] = text
+    return out
+
+
+def _gather(table: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of ``table`` in a row, and their bounds there."""
+    ends = np.zeros(len(first) + 1, np.int64)
+    np.cumsum(sizes, out=ends[1:])
+    out = np.empty(ends[-1], table.dtype)
+    for a in range(0, len(first), STEP_WORDS):
+        at = ends[a:a + STEP_WORDS + 1]
+        out[at[0]:at[-1]] = table[np.repeat(first[a:a + STEP_WORDS] - at[:-1], sizes[a:a + STEP_WORDS]) + np.arange(at[0], at[-1])]
+    return out, ends
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit bytes.
+    """Ids of texts.
 
-    Unseen chunks of Latin letters and final stops or commas go by their
-    lower-case word.  Many such words are encoded as one text, by the same
-    merges but without the normaliser and pattern, which leave them as they
-    are; the ids that close a word tell them apart."""
+    Parts met lately are kept as one Arrow column, with the place of their ids
+    in one table.  Lower-case words of Latin letters are encoded many as one
+    text, by the same merges but without the normaliser and pattern, which
+    leave them as they are; the ids that close a word tell them apart.  Other
+    such words with closing marks go by their lower-case word."""
 
     def __init__(self, path: str):
         import os
@@ -83,60 +112,70 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.closing = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closing[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.known = pa.array([], pa.large_string())
+        self.table, self.first, self.sizes = np.zeros(0, "<u4"), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def _words(self, words: list[str]) -> None:
-        """Learn lower-case words of Latin letters."""
-        lines = [" ".join(words[i:i + 2000]) for i in range(0, len(words), 2000)]
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of lower-case words of Latin letters, and how many each has."""
+        lines = [" ".join(_strings(words.slice(i, 2000))) for i in range(0, len(words), 2000)]
         encoded = self.plain.encode_batch_fast(lines, add_special_tokens=False)
-        ids = np.concatenate([np.array(e.ids, "<u4") for e in encoded]) if encoded else np.zeros(0, "<u4")
-        ends = (4 * (np.flatnonzero(self.closing[ids]) + 1)).tolist()
-        data, a = ids.tobytes(), 0
-        for w, b in zip(words, ends, strict=True):
-            self.known[w] = data[a:b]
-            a = b
-
-    def _learn(self, fresh: list[str]) -> None:
-        known, older, other, words, derived = self.known, self.older, [], set(), []
-        for w in fresh:
-            if (b := older.get(w)) is not None:
-                known[w] = b
-                continue
-            core = w.rstrip(".,")
-            if not core.isalpha() or not core.isascii() and max(core) > "\xff":
-                other.append(w)
-                continue
-            low = core.lower()
-            if low not in known:
-                if (b := older.get(low)) is not None:
-                    known[low] = b
-                else:
-                    words.add(low)
-            if low != w:
-                derived.append((w, low, w[len(core):]))
-        self._words(list(words))
-        known.update(zip(other, self._library(other)))
-        tails = list({t for _, _, t in derived if t and t not in known})
-        known.update(zip(tails, self._library(tails)))
-        for w, low, tail in derived:
-            known[w] = known[low] + known[tail] if tail else known[low]
-
-    def _library(self, chunks: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+        ids = np.concatenate([np.zeros(0, "<u4"), *(np.array(e.ids, "<u4") for e in encoded)])
+        sizes = np.diff(np.flatnonzero(self.closing[ids]), prepend=-1)
+        if len(sizes) != len(words):
+            raise ValueError("the vocabulary does not close every word")
+        return ids, sizes
+
+    def _library(self, chunks: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)]
+
+    def _learn(self, fresh: pa.Array) -> None:
+        """Append the ids of parts to the table."""
+        lower = pc.match_substring_regex(fresh, f"^{_LOWER}+$")
+        others = _strings(fresh.filter(pc.invert(lower)))
+        cores = [w.rstrip(_TAIL) for w in others]
+        cores = [c.lower() if c.isalpha() and (c.isascii() or max(c) <= "\xff") else "" for c in cores]
+        ids, sizes = self._words(pa.concat_arrays([fresh.filter(lower), pa.array([c for c in cores if c], pa.large_string())]))
+        first = np.cumsum(sizes) - sizes
+        n = pc.sum(lower).as_py() or 0
+        tails = [w[len(c):] if c else w for w, c in zip(others, cores)]
+        distinct = list(set(tails))
+        of_tail = dict(zip(distinct, self._library(distinct)))
+        ends = iter(np.split(ids, first[n:])[1:])
+        rest = [np.concatenate([next(ends), of_tail[t]]) if c else of_tail[t] for t, c in zip(tails, cores)]
+        plain, mask = len(ids) - sizes[n:].sum(), lower.to_numpy(zero_copy_only=False)
+        more = np.fromiter(map(len, rest), np.int64, len(rest))
+        at, size = np.empty(len(fresh), np.int64), np.empty(len(fresh), np.int64)
+        at[mask], size[mask] = first[:n], sizes[:n]
+        at[~mask], size[~mask] = plain + np.cumsum(more) - more, more
+        self.first, self.sizes = np.concatenate([self.first, at + len(self.table)]), np.concatenate([self.sizes, size])
+        self.table = np.concatenate([self.table, ids[:plain], *rest])
+
+    def _forget(self, used: np.ndarray) -> None:
+        """Keep only the parts used last, not more than there may be."""
+        self.known = self.known.take(pa.array(used := np.unique(used)[:MAX_CHUNKS // 2]))
+        self.table, ends = _gather(self.table, self.first[used], self.sizes[used])
+        self.first, self.sizes = ends[:-1], np.diff(ends)
+
+    def ids(self, texts: pa.Array, stop: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, each text's closed by ``stop`` if given, and the texts' bounds in them."""
+        parts = pc.ascii_split_whitespace(pa.array(parted(texts), pa.large_string()))
+        bounds, n = parts.offsets.to_numpy().astype(np.int64), len(self.known)
+        coded = pa.concat_arrays([self.known, parts.values]).dictionary_encode()  # the known parts keep their numbers
+        self._learn(coded.dictionary.slice(n))
+        self.known, index = coded.dictionary, coded.indices.to_numpy()[n:]
+        table, first, sizes = self.table, self.first, self.sizes
+        if len(self.known) > MAX_CHUNKS:
+            self._forget(index)
+        if stop is not None:
+            index = np.insert(index, bounds[1:], len(first))
+            bounds += np.arange(len(bounds))
+            first, sizes, table = np.append(first, len(table)), np.append(sizes, 1), np.append(table, np.uint32(stop))
+        ids, ends = _gather(table, first[index], sizes[index])
+        return ids, ends[bounds]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        chunks = [chunks_of(x) for x in texts]
-        if len(self.known) > MAX_CHUNKS:
-            self.older, self.known = self.known, {}
-        distinct = list(set().union(*chunks))  # a small table of the words at hand stays in the processor's cache
-        found = dict(zip(distinct, map(self.known.get, distinct)))
-        fresh = [w for w, b in found.items() if b is None]
-        self._learn(fresh)
-        known, get = self.known, found.__getitem__
-        for w in fresh:
-            found[w] = known[w]
-        return [b"".join(map(get, words)) for words in chunks]
+        ids, bounds = self.ids(pa.array(texts, pa.large_string()))
+        return [ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
 
 
 def encoder(path: str) -> Encoder:
@@ -151,33 +190,26 @@ _PIECES = pa.schema([("pack", pa.int64()), ("doc_id", pa.int64()), ("no_id", pa.
 
 def _pieces(path: str, size: int, end: int):
     """Blocks of ``size`` ids and each document's remainder."""
-    stop = np.array([end], "<u4").tobytes()
-
-    def out(rows: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows) if rows else [[]] * 7, _PIECES.types)],
-                                          schema=_PIECES)
-
     def pieces(tokens: Encoder, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        packs, docs, texts, nones = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3).to_pylist()
-        rows, held, i = [], 0, 0
-        sizes = pc.fill_null(pc.utf8_length(texts), 0).to_pylist()
+        texts, columns = batch.column(2), [batch.column(c).to_numpy() for c in (0, 1, 3)]
+        chars = np.concatenate([[0], np.cumsum(pc.utf8_length(texts).to_numpy(), dtype=np.int64)])
+        i = 0
         while i < len(texts):
-            j, weight = i, 0
-            while j < len(texts) and (j == i or weight < STEP_CHARS):
-                weight += sizes[j]
-                j += 1
-            for pack, doc, no_id, ids in zip(packs[i:j], docs[i:j], nones[i:j], tokens.encode(texts.slice(i, j - i).to_pylist())):
-                ids += stop
-                n = len(ids) // 4
-                for at in range(0, n, size):
-                    part = ids[4 * at:4 * (at + size)]
-                    rows.append((pack, doc, no_id, at, len(part) // 4, n, part))
-                    held += len(part)
-                    if held > 1 << 22 or len(rows) > 20_000:
-                        yield out(rows)
-                        rows, held = [], 0
+            j = min(len(texts), max(i + 1, int(np.searchsorted(chars, chars[i] + STEP_CHARS))))
+            ids, bounds = tokens.ids(texts.slice(i, j - i), end)
+            blocks = -(-np.diff(bounds) // size)
+            row = np.repeat(np.arange(j - i), blocks)
+            start = size * (np.arange(len(row)) - np.repeat(np.cumsum(blocks) - blocks, blocks))
+            edge = np.append(bounds[row] + start, bounds[-1])  # pieces follow each other without gaps
+            a = 0
+            while a < len(row):
+                b = max(a + 1, int(np.searchsorted(edge, edge[a] + STEP_IDS, "right")) - 1)
+                r, part = row[a:b], ids[edge[a]:edge[b]]
+                data = pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer((4 * (edge[a:b + 1] - edge[a])).astype(np.int32)), pa.py_buffer(part)])
+                yield pa.RecordBatch.from_arrays([*(pa.array(c[i + r]) for c in columns), pa.array(start[a:b]), pa.array(np.diff(edge[a:b + 1])),
+                                                  pa.array(np.diff(bounds)[r]), data], schema=_PIECES)
+                a = b
             i = j
-        yield out(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoder(path)

@@ -51,6 +51,40 @@ def test_encoder_equals_library():
         assert np.array(w.ids, "<u4").tobytes() == got, repr(text)
 
 
+def test_closing_marks_are_encoded_once(monkeypatch):
+    """Words before marks go by their letters; only the marks go through the whole library."""
+    encode, rnd = packing.Encoder(WORDS), random.Random(5)
+    words = ["".join(rnd.choice("aeinorstéß") for _ in range(9)) for _ in range(500)]
+    text = " ".join(w.title() + rnd.choice(["###", "!!", ".,", "***"]) for w in words)
+    sent, library = [], encode._library
+    monkeypatch.setattr(encode, "_library", lambda chunks: sent.extend(chunks) or library(chunks))
+    got = encode.encode([text, "— " + text, "it's. 'a!' b' "])
+    assert got == [np.array(encode.tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in [text, "— " + text, "it's. 'a!' b' "]]
+    assert len(sent) < 20
+
+
+def test_encoder_forgets(monkeypatch):
+    monkeypatch.setattr(packing, "MAX_CHUNKS", 40)
+    monkeypatch.setattr(packing, "STEP_WORDS", 7)
+    encode, sample = packing.Encoder(WORDS), texts(300, 6)
+    for i in range(0, 300, 10):
+        want = encode.tokenizer.encode_batch(sample[i:i + 10], add_special_tokens=False)
+        assert encode.encode(sample[i:i + 10]) == [np.array(w.ids, "<u4").tobytes() for w in want]
+        assert len(encode.known) == len(encode.first) == len(encode.sizes) and len(encode.table) == encode.sizes.sum()
+
+
+def test_pieces_are_cut_alike_in_any_step(frame, monkeypatch):
+    import pyarrow as pa
+    batch = pa.record_batch([pa.array([0, 1, 0]), pa.array([7, 8, 9]), pa.array(["a few words " * 90, "", "one more"]), pa.array([0, 0, 0])],
+                            ["pack", "doc_id", "text", "no_id"])
+    want = pa.Table.from_batches(packing._pieces(WORDS, 64, 1)(iter([batch]))).to_pylist()
+    monkeypatch.setattr(packing, "STEP_CHARS", 5)
+    monkeypatch.setattr(packing, "STEP_IDS", 100)
+    assert pa.Table.from_batches(packing._pieces(WORDS, 64, 1)(iter([batch]))).to_pylist() == want
+    assert [(r["doc_id"], r["start"], r["length"]) for r in want] == [(7, 0, 64), (7, 64, 64), (7, 128, 64), (7, 192, 64), (7, 256, 15), (8, 0, 1), (9, 0, 3)]
+    assert all(len(r["ids"]) == 4 * r["length"] for r in want)
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_assign_places_every_token_once(seed):
     rnd = random.Random(seed)
