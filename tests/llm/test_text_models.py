@@ -2,6 +2,7 @@
 
 import os
 import random
+import re
 
 import duckdb
 
@@ -68,6 +69,54 @@ def test_disguises_of_any_length_and_mark_are_restored():
     assert decoder.restore("-" * 200_000 + "1d10t").strip() == "idiot"
 
 
+class Counted(list):
+    """A character model that counts its readers."""
+    looks = 0
+
+    def __getitem__(self, i):
+        Counted.looks += 1
+        return super().__getitem__(i)
+
+
+def test_plain_stretches_are_not_searched():
+    log = Counted(_chars(["bleerorthation", "the", "house"]))
+    Counted.looks = 0
+    assert toxicity.Decoder(log).restore("thebleerorthationhouse") in ("thebleerorthationhouse", "theblerorthationhouse")
+    assert Counted.looks <= 4
+
+
+def test_restored_tokens_are_the_best_readings():
+    """Every token's reading is that of a search over all its characters."""
+    log, rnd = _chars(["bleer", "the", "house", "offer", "ésel"]), random.Random(4)
+
+    def best(token):
+        paths = {(0, 0): (0.0, "")}
+        for i, char in enumerate(token):
+            nxt = {}
+            for (a, b), (score, read) in paths.items():
+                for out, cost, c in toxicity._options(token[i - 1] if i else "", char):
+                    key = (a, b) if out == "" else (0, 0) if c == b == 0 else (b, c)
+                    s = score - cost + (0.0 if key != (b, c) or out == "" or c == b == 0 else log[a][b][c])
+                    if key not in nxt or s > nxt[key][0]:
+                        nxt[key] = (s, read if out == "" or c == b == 0 else read + out)
+            paths = nxt
+        return max((s + (log[a][b][0] if b else 0.0), a, b, read) for (a, b), (s, read) in paths.items())[3]
+
+    decoder = toxicity.Decoder(log)
+    for _ in range(3000):
+        token = "".join(rnd.choice("aabbeellosst*.-_0134$@!|%(²éñжое") for _ in range(rnd.randint(1, 12)))
+        assert decoder.restore(token).strip() == best(token).strip(), token
+
+
+def test_spaced_runs_are_found_in_any_text(monkeypatch):
+    rnd = random.Random(5)
+    texts = ["a b c d", "x.y.z", "a-a-a-a b", "k i l", "k* i", "* d i *", "ss  tt  u  v"]
+    texts += ["".join(rnd.choice("aabb1 .* -,é") for _ in range(rnd.randint(1, 40))) for _ in range(2000)]
+    got = [list(toxicity._spaced(t)) for t in texts]
+    monkeypatch.setattr(toxicity, "_FOUR", re.compile(""))
+    assert got == [list(toxicity._spaced(t)) for t in texts] and got[0] == ["a b c d"]
+
+
 def test_toxicity_learns_words_and_scores_all_rows(spark, frame):
     rnd = random.Random(2)
     plain = [f"word{i}".translate(str.maketrans("0123456789", "abcdefghij")) for i in range(60)]
