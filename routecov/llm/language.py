@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ MAX_LANGUAGES = 1_000
 #: Cost (negative log10 frequency) of what a language has not.
 PENALTY = 7.0
 UNKNOWN = "und"
-MEMO = 300_000
+MEMO = 150_000
 STEP_CHARS = 250_000
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -46,8 +47,17 @@ def grams_of(word: str, n: int) -> list[str]:
     return [word[i:i + n] for i in range(len(word) - n + 1)] if len(word) >= n else []
 
 
+def _steps(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows of about ``STEP_CHARS`` characters in column ``text``, so that no whole batch is held as Python objects."""
+    ends, i = np.cumsum(pc.fill_null(pc.utf8_length(batch.column(text)), 0).to_numpy(zero_copy_only=False), dtype=np.int64), 0
+    while i < len(ends):
+        j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + STEP_CHARS, "right")))
+        yield batch.slice(i, j - i)
+        i = j
+
+
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (step for whole in batches for step in _steps(whole, 1)):
         by: dict[str, Counter] = {}
         for lang, text in zip(*(c.to_pylist() for c in batch.columns)):
             by.setdefault(lang, Counter()).update(words_of(text))
@@ -155,22 +165,18 @@ def train(docs: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: int
     return Model(sorted(r["lang"] for r in classes), rows)
 
 
-def _predict(shared, names: tuple[str, str]):
+def _predict(shared, names: tuple[str, str], text: int, kept: list[int]):
+    """``text``: place of the text in a row; ``kept``: places of the columns handed on."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not hasattr(shared, "scorer"):
             shared.scorer = Scorer(shared.value)
         for batch in batches:
-            texts, out, i = batch.column(0).to_pylist(), [], 0
-            while i < len(texts):
-                j, weight = i, 0
-                while j < len(texts) and (j == i or weight < STEP_CHARS):
-                    weight += len(texts[j] or "")
-                    j += 1
-                out += shared.scorer.score(texts[i:j])
-                i = j
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array([x for x, _ in out], pa.string()), pa.array([x for _, x in out], pa.float64())],
-                [*batch.schema.names[1:], *names])
+            for step in _steps(batch, text):
+                out = shared.scorer.score(step.column(text).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [*(step.column(i) for i in kept), pa.array([x for x, _ in out], pa.string()), pa.array([x for _, x in out], pa.float64())],
+                    [*(step.schema.names[i] for i in kept), *names])
+        pa.default_memory_pool().release_unused()
     return run
 
 
@@ -183,7 +189,9 @@ def predicted(docs: DataFrame, model: Model, keep: list[str], names: tuple[str,
     its size is bounded by languages, words and n-grams kept."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
-    return docs.select(F.col("text").alias("__text"), *keep).mapInArrow(_predict(shared, names), schema)
+    if "text" in keep:  # sent to Python once
+        return docs.select(*keep).mapInArrow(_predict(shared, names, keep.index("text"), list(range(len(keep)))), schema)
+    return docs.select(F.col("text").alias("__text"), *keep).mapInArrow(_predict(shared, names, 0, list(range(1, len(keep) + 1))), schema)
 
 
 def op1_language(spark, sf_dir: str) -> DataFrame:

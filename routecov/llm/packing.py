@@ -219,6 +219,7 @@ def _pieces(path: str, size: int, end: int):
                 yield from pieces(tokens, batch)
         finally:
             gc.enable()
+            pa.default_memory_pool().release_unused()
     return run
 
 

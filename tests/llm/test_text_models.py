@@ -5,6 +5,7 @@ import random
 import re
 
 import duckdb
+import pyarrow as pa
 
 from conftest import SF01
 from corpus_frames import frame  # noqa: F401 - a fixture
@@ -37,6 +38,24 @@ def test_language_rows(frame):
     assert language.predicted(docs.limit(0), model, ["doc_id"]).collect() == []
 
 
+def test_language_holds_no_whole_batch(frame, monkeypatch):
+    """Texts become Python objects in steps, results leave in steps, and a kept text is sent to Python once."""
+    monkeypatch.setattr(language, "STEP_CHARS", 20)
+    texts = ["the houses", None, "der haus", "", "the " * 30, "haus", "der the the"]
+    batch = pa.record_batch([pa.array(["en"] * 7), pa.array([t or "" for t in texts])], ["lang", "text"])
+    steps = list(language._steps(batch, 1))
+    assert pa.Table.from_batches(steps).to_pylist() == batch.to_pylist() and len(steps) == 3
+    counted = {}
+    for r in pa.Table.from_batches(language._counts(iter([batch]))).to_pylist():
+        counted[r["n"], r["gram"]] = counted.get((r["n"], r["gram"]), 0) + r["c"]
+    assert counted[0, "the"] == 33 and counted[5, " the "] == 33 and counted[0, "haus"] == 2
+    model = language.Model(["de", "en"], [("en", 0, "the", 9), ("de", 0, "der", 9), ("en", 5, " hous", 3), ("de", 5, " haus", 3)])
+    docs = frame(list(enumerate(texts)))
+    got = language.predicted(docs, model, docs.columns)
+    assert sorted((r.doc_id, r.text) for r in got.collect()) == list(enumerate(texts))
+    assert "__text" not in got._jdf.queryExecution().toString()
+
+
 def _chars(words):
     counts = {}
     for w in words:
