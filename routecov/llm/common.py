@@ -14,7 +14,7 @@ from routecov.session import cut_lineage
 __all__ = ["read_table", "text_of", "remainder", "cut_lineage", "binary_rows", "slabs"]
 
 #: Bytes of text that one vectorised step works on (arrays take about 40 times this).
-SLAB_BYTES = 1 << 20
+SLAB_BYTES = 1 << 18
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

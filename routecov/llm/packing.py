@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import read_table, text_of
+from .common import binary_rows, read_table, text_of
 
 #: Bytes of text whose remainders are packed together.
 GROUP_BYTES = 16 << 20
@@ -260,24 +260,27 @@ def assign(lengths: list[int], size: int, quadratic: float = QUADRATIC) -> list[
     return placed
 
 
+_PACKED = pa.schema([("doc_id", pa.int64()), ("no_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()),
+                     ("ids", pa.binary()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
+
+
 def _pack(size: int, quadratic: float):
-    def run(rows):
-        import pandas as pd
-        rows = rows.sort_values(["doc_id", "no_id", "start", "length"], kind="stable").reset_index(drop=True)
-        whole = (rows["length"] == size).to_numpy()
-        full, part = rows[whole], rows[~whole].reset_index(drop=True)
-        base = int(rows["pack"].iloc[0]) << 32
-        done = full[["doc_id", "no_id", "start", "length", "doc_tokens", "ids"]].copy()
-        done["sequence_id"] = base + np.arange(len(done))
-        done["offset"] = 0
-        placed = np.array(assign(part["length"].tolist(), size, quadratic), np.int64).reshape(-1, 5)
-        ids, i, at, n = part["ids"].tolist(), placed[:, 0], placed[:, 1], placed[:, 2]
-        packed = pd.DataFrame({
-            "doc_id": part["doc_id"].to_numpy()[i], "no_id": part["no_id"].to_numpy()[i], "start": part["start"].to_numpy()[i] + at, "length": n,
-            "doc_tokens": part["doc_tokens"].to_numpy()[i],
-            "ids": [ids[a][4 * b:4 * (b + c)] for a, b, c in zip(i, at, n)],
-            "sequence_id": base + len(done) + placed[:, 3], "offset": placed[:, 4]})
-        return pd.concat([done, packed]) if len(done) else packed
+    def run(rows: pa.Table) -> pa.Table:
+        doc, no_id, start, length, tokens = (rows[c].to_numpy() for c in ("doc_id", "no_id", "start", "length", "doc_tokens"))
+        order = np.lexsort((length, start, no_id, doc))
+        full, part = order[length[order] == size], order[length[order] != size]
+        placed = np.array(assign(length[part].tolist(), size, quadratic), np.int64).reshape(-1, 5)
+        none, base = np.zeros(len(full), np.int64), rows["pack"][0].as_py() << 32
+        i, at, n = (np.concatenate(x) for x in ((full, part[placed[:, 0]]), (none, placed[:, 1]), (length[full], placed[:, 2])))
+        data, offsets = binary_rows(pa.concat_arrays(rows["ids"].chunks))
+        low, view = offsets[i] + 4 * at, memoryview(data)
+        ids = b"".join([view[a:b] for a, b in zip(low.tolist(), (low + 4 * n).tolist())])
+        ends = np.concatenate([[0], np.cumsum(4 * n)]).astype(np.int32)
+        return pa.Table.from_arrays(
+            [*(pa.array(x) for x in (doc[i], no_id[i], start[i] + at, n, tokens[i])),
+             pa.Array.from_buffers(pa.binary(), len(i), [None, pa.py_buffer(ends), pa.py_buffer(ids)]),
+             pa.array(base + np.concatenate([np.arange(len(full)), len(full) + placed[:, 3]])), pa.array(np.concatenate([none, placed[:, 4]]))],
+            schema=_PACKED)
     return run
 
 
@@ -296,7 +299,7 @@ def packed(docs: DataFrame, tokenizer: str, size: int = 2048, end: int = 1, quad
     packs = max(1, -(-total // group_bytes))
     rows = texts.select(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(packs)).alias("pack"), "doc_id", "text", "no_id")
     pieces = rows.mapInArrow(_pieces(tokenizer, size, end), "pack long, doc_id long, no_id long, start long, length long, doc_tokens long, ids binary")
-    return pieces.groupBy("pack").applyInPandas(
+    return pieces.groupBy("pack").applyInArrow(
         _pack(size, quadratic),
         "doc_id long, no_id long, start long, length long, doc_tokens long, ids binary, sequence_id long, offset long").select(
         F.when(F.col("no_id") == 0, F.col("doc_id")).alias("doc_id"), "start", "length", "ids", F.crc32("ids").alias("ids_crc32"), "doc_tokens",

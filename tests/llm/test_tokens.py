@@ -73,6 +73,19 @@ def test_encoder_forgets(monkeypatch):
         assert len(encode.known) == len(encode.first) == len(encode.sizes) and len(encode.table) == encode.sizes.sum()
 
 
+def test_a_group_is_packed_as_arrow():
+    """Ids of a group are never spelt out as objects."""
+    import pyarrow as pa
+    ids = [np.arange(n, dtype="<u4").tobytes() for n in (3, 8, 2, 8, 1)]
+    rows = {"pack": [2] * 5, "doc_id": [9, 7, 7, 5, 5], "no_id": [0] * 5, "start": [0, 0, 8, 0, 8], "length": [3, 8, 2, 8, 1],
+            "doc_tokens": [3, 10, 10, 9, 9], "ids": ids}
+    whole = pa.table(rows, schema=packing._PIECES)
+    got = packing._pack(8, packing.QUADRATIC)(pa.concat_tables([whole.slice(0, 2), whole.slice(2)])).to_pylist()
+    assert [(r["doc_id"], r["start"], r["length"], r["sequence_id"] - (2 << 32), r["offset"]) for r in got] == [
+        (5, 0, 8, 0, 0), (7, 0, 8, 1, 0), (9, 0, 3, 2, 0), (7, 8, 2, 2, 3), (5, 8, 1, 2, 5)]
+    assert [r["ids"] for r in got] == [ids[3], ids[1], ids[0], ids[2], ids[4]]
+
+
 def test_pieces_are_cut_alike_in_any_step(frame, monkeypatch):
     import pyarrow as pa
     batch = pa.record_batch([pa.array([0, 1, 0]), pa.array([7, 8, 9]), pa.array(["a few words " * 90, "", "one more"]), pa.array([0, 0, 0])],
