@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -76,8 +76,8 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Model:
     """Costs of words and n-grams by language."""
 
-    def __init__(self, languages: list[str], rows: list[tuple[str, int, str, int]]):
-        """rows: (language, length or 0 for a word, text, count)."""
+    def __init__(self, languages: list[str], rows: Iterable[tuple[str, int, str, int]]):
+        """rows: (language, length or 0 for a word, text, count), in any order."""
         self.languages = languages
         totals = np.zeros((LONGEST + 1, len(languages)))
         place = {lang: i for i, lang in enumerate(languages)}
@@ -161,7 +161,8 @@ def train(docs: DataFrame, sample: int = SAMPLE, words: int = WORDS, grams: int
         F.sum("c").alias("c"))
     rank = F.row_number().over(Window.partitionBy("lang", "n").orderBy(F.desc("c"), "gram"))
     kept = counts.withColumn("rank", rank).where(F.col("rank") <= F.when(F.col("n") == 0, words).otherwise(grams))
-    rows = [tuple(r) for r in kept.select("lang", "n", "gram", "c").orderBy("lang", "n", "gram").collect()]
+    counted = kept.select("lang", "n", "gram", "c").toArrow()  # columns, so the driver makes no row objects of all of it
+    rows = (r for part in counted.to_batches(10_000) for r in zip(*(c.to_pylist() for c in part.columns)))
     return Model(sorted(r["lang"] for r in classes), rows)
 
 

@@ -31,10 +31,12 @@ CROWD, LEVELS = 8, 8
 COMPARISONS = 32
 #: Bytes of an already materialised side that a join may broadcast.
 BROADCAST_BYTES = 16 << 20
+#: Bytes of it in one partition.
+PARTITION_BYTES = 1 << 20
 
 
 def _bounded(df: DataFrame) -> DataFrame:
-    """``df``, materialised, with a broadcast hint if its measured bytes are few."""
+    """``df``, materialised; if its measured bytes are few, in few partitions and with a broadcast hint."""
     df = cut_lineage(df)
     size = F.lit(16 * len(df.columns))  # 16 bytes a number, 48 more a struct, 8 an element of an array
     for f in df.schema.fields:
@@ -42,7 +44,8 @@ def _bounded(df: DataFrame) -> DataFrame:
             size = size + 48
         elif f.dataType.typeName() == "array":
             size = size + 8 * F.size(f.name)
-    return F.broadcast(df) if (df.agg(F.sum(size)).first()[0] or 0) <= BROADCAST_BYTES else df
+    held = df.agg(F.sum(size)).first()[0] or 0
+    return F.broadcast(df.coalesce(1 + held // PARTITION_BYTES)) if held <= BROADCAST_BYTES else df
 
 
 def shifts(edits: int) -> list[tuple[int, int, int]]:

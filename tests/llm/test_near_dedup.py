@@ -2,6 +2,7 @@
 
 import random
 import re
+import uuid
 
 from corpus_frames import frame  # noqa: F401 - a fixture
 from routecov.llm import near_dedup as nd
@@ -68,3 +69,36 @@ def test_star_components(spark):
     got = {tuple(r) for r in star_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {(i, 1) for i in range(1, 41)} | {(100, 100), (101, 100), (102, 100)}
     assert star_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def tasks_of(spark, work):
+    """Result of ``work`` and the number of tasks that it ran, on many shuffle partitions that are not put together."""
+    held = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        out = work()
+        status = spark.sparkContext.statusTracker()
+        stages = {s for j in status.getJobIdsForGroup(group) for s in status.getJobInfo(j).stageIds}
+        return out, sum(i.numCompletedTasks for s in stages if (i := status.getStageInfo(s)))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_a_small_graph_costs_few_tasks(spark):
+    rng = random.Random(3)
+    edges = [(rng.randrange(600), rng.randrange(600)) for _ in range(400)] + [(1000, 1000 + i) for i in range(1, 500)]
+    rows = spark.createDataFrame(edges, "a long, b long")
+    got, tasks = tasks_of(spark, lambda: {tuple(r) for r in star_components(rows).collect()})
+    root = {}
+    for a, b in sorted((min(e), max(e)) for e in edges if e[0] != e[1]):
+        root.setdefault(a, a), root.setdefault(b, b)
+        low, high = sorted((root[a], root[b]))
+        root = {k: low if v == high else v for k, v in root.items()}
+    assert got == set(root.items())
+    assert tasks < 2000  # 5,258 when each step of a round had a task for each shuffle partition, or several

@@ -38,6 +38,24 @@ def test_language_rows(frame):
     assert language.predicted(docs.limit(0), model, ["doc_id"]).collect() == []
 
 
+def test_language_model_reaches_the_driver_as_columns(frame, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+    docs = frame([(i, f"wort{i} haus der", "de") for i in range(40)] + [(i, f"word{i} house the", "en") for i in range(40, 80)])
+    sizes, collect = [], DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: sizes.append(len(out := collect(self))) or out)
+    model = language.train(docs)
+    assert sizes == [2]  # languages; words and n-grams came as rows as well
+    assert len(model.ids[0]) == 6 and model.cost.shape[1] == 2  # words are runs of letters
+    assert model.word_cost("wort")[0] < model.word_cost("wort")[1] == language.PENALTY
+
+
+def test_few_bytes_lie_in_few_partitions(spark):
+    rows = spark.range(1000).repartition(48, "id")
+    small = line_dedup._bounded(rows)
+    assert small.rdd.getNumPartitions() == 1
+    assert sorted(r.id for r in small.collect()) == list(range(1000))
+
+
 def test_language_holds_no_whole_batch(frame, monkeypatch):
     """Texts become Python objects in steps, results leave in steps, and a kept text is sent to Python once."""
     monkeypatch.setattr(language, "STEP_CHARS", 20)
